@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 TINY = 1e-300
 
@@ -128,32 +129,32 @@ def _rows(fn, *cols: pd.Series) -> pd.Series:
     return pd.Series([one(args) for args in zip(*cols)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _chi2(x: pd.Series, df: pd.Series) -> pd.Series:
     return _rows(chi2_tail, x, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _f(x: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _rows(f_tail, x, d1, d2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _normal(z: pd.Series) -> pd.Series:
     return _rows(normal_tail, z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _adf(z: pd.Series) -> pd.Series:
     return _rows(adf_p, z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _kpss(z: pd.Series) -> pd.Series:
     return _rows(kpss_p, z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _log_cdf(z: pd.Series) -> pd.Series:
     """ln of the standard normal distribution function, exact far into the left tail."""
     def one(x: float) -> float:
@@ -166,7 +167,7 @@ def _log_cdf(z: pd.Series) -> pd.Series:
     return pd.Series([one(x) if x == x else None for x in z], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _quantile(p: pd.Series) -> pd.Series:
     inv = NormalDist().inv_cdf
     return pd.Series([inv(x) if 0 < x < 1 else None for x in p], dtype="float64")

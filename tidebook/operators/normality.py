@@ -162,6 +162,6 @@ def qq_points(long: DataFrame) -> DataFrame:
     edge = F.pow(F.lit(0.5), 1.0 / n)
     pos = F.when(i == n, edge).when(i == 1, 1.0 - edge).otherwise((i - 0.3175) / (n + 0.365))
     return points.select(
-        "series", "place", pos.alias("position"),
+        "series", "n", "place", pos.alias("position"),
         normal_quantile(pos).alias("theoretical"), F.col("value").alias("ordered"),
     )
