@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import returns as R
 from ..operators.ordering import positions
 from ..session import scratch_path, shared_dir
+from ..sources.messages import MICROS
 
 BANDS = (2, 3, 5, 0)
 FWD = (2, 3, 5, 10)
@@ -92,7 +93,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_files(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "messages")
-    messages(spark, sf_dir).write.json(path)
+    messages(spark, sf_dir).write.option("timestampFormat", MICROS).json(path)
     return path
 
 

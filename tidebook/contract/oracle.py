@@ -232,9 +232,9 @@ SELECT symbol, epoch_us(ts) AS timestamp_us, epoch_us(t) AS trading_hour_us, {r(
        {r('spread', 8)} AS spread, {r('log_return', 8)} AS log_return, {r('variance_proxy', 8)} AS variance_proxy,
        {r('sqrt(variance_proxy)', 8)} AS volatility FROM x2"""
 SELECTED = ["log_return", "volatility", "spread", "microprice", *past(), *BAND_NAMES]
-ORACLE["t1_select_features"] = f"WITH {DERIVED} " + " UNION ALL ".join(
+ORACLE["t1_select_features"] = f"WITH {DERIVED} SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, count({c}) AS rows FROM fe" for c in SELECTED
-)
+) + ") WHERE rows > 0"
 
 # -- transforms ----------------------------------------------------------------------------------
 
@@ -387,7 +387,7 @@ SELECT symbol, tick AS tick_us, {r('CASE WHEN ba IS NOT NULL THEN bb END')} AS b
 ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
 ORACLE["b5_encode_snapshots"] = f"WITH {LEVELS} SELECT symbol, {ISO} AS timestamp, count(*) FILTER (is_bid) AS n_bids FROM lv GROUP BY sid, symbol, ts"
 ORACLE["b6_write_daily"] = f"WITH {LEVELS} SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS rows FROM sn GROUP BY 1"
-ORACLE["b7_damaged_files"] = f"WITH {LEVELS} SELECT count(*) AS rows, 'broken.parquet' AS bad FROM sn"
+ORACLE["b7_damaged_files"] = f"WITH {LEVELS} SELECT count(*) AS rows, 'date=2024-02-01/broken.parquet' AS bad FROM sn"
 
 # -- ingest --------------------------------------------------------------------------------------
 
@@ -533,7 +533,7 @@ m AS (SELECT *, CAST(sum(c) OVER (PARTITION BY series, lag) AS DOUBLE) AS n, CAS
       CAST(sum(c) OVER (PARTITION BY series, lag, y) AS DOUBLE) AS cy FROM j)
 SELECT series, lag, CAST(n AS BIGINT) AS pairs, {r('CASE WHEN n >= 50 THEN sum(c / n * ln(c * n / (cx * cy))) END')} AS mi FROM m GROUP BY series, lag, n"""
 ORACLE["s19_quantile_acf"] = f"""
-WITH {SERIES}, tq AS (SELECT series, t.tau, quantile_cont(value, t.tau) AS thr FROM se, (SELECT unnest([0.01::DOUBLE, 0.05::DOUBLE, 0.1::DOUBLE]) AS tau) t GROUP BY series, t.tau),
+WITH {SERIES}, tq AS (SELECT series, unnest([0.01::DOUBLE, 0.05::DOUBLE, 0.1::DOUBLE]) AS tau, unnest(quantile_cont(value, [0.01, 0.05, 0.1])) AS thr FROM se GROUP BY series),
 i AS (SELECT se.series, tau, idx, CASE WHEN value <= thr THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS i FROM se JOIN tq USING (series)),
 p AS (SELECT a.series, a.tau, k AS lag, a.i AS x, b.i AS y FROM i a, (SELECT unnest(range(1, 21)) AS k) JOIN i b ON b.series = a.series AND b.tau = a.tau AND b.idx = a.idx - k),
 g AS (SELECT series, tau, lag, CAST(count(*) AS DOUBLE) AS m, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy FROM p GROUP BY series, tau, lag),

@@ -8,11 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-import numpy as np
-import pandas as pd
-
-from ..session import shared_dir
-from .ordering import small_side
+from .ordering import BROADCAST_ROWS, materialized, small_side
 from .ranks import quantiles_of_runs, value_runs
 
 LOG_2PI = math.log(2 * math.pi)
@@ -61,17 +57,32 @@ def fit_normal(long: DataFrame) -> DataFrame:
     return m.select("series", "n", F.lit("Normal").alias("model"), F.lit(2).alias("k"), "mu", "sigma", ll.alias("loglik"))
 
 
-def _iterate(params: DataFrame, step: Callable[[DataFrame], DataFrame], rounds: int, every: int = 6) -> DataFrame:
-    """Repeat ``step``; the small parameter table is written to the checkpoint folder now and then so
-    that the plan stays short and a lost executor repeats a few rounds only."""
-    shared_dir(params.sparkSession)
-    for i in range(rounds):
-        params = step(params)
-        if (i + 1) % every == 0:
-            params = params.checkpoint()
+def _iterate(
+    params: DataFrame, step: Callable[[DataFrame], DataFrame], rounds: int, every: int = 6, tol: float | None = None
+) -> DataFrame:
+    """Repeat ``step``; the small parameter table is written to the checkpoint folder every few rounds,
+    so the plan stays short and a lost executor repeats a few rounds only. With ``tol`` the rounds
+    end once no model's mean log-likelihood moves by more."""
+    params = materialized(params)
+    for done in range(every, rounds + every, every):
+        before = params
+        for _ in range(min(every, rounds - (done - every))):
+            params = step(params)
+        params = materialized(params)
+        if tol is not None and "loglik" in before.columns:
+            old = before.select("series", "components", F.col("loglik").alias("_old"))
+            gain = F.max(F.coalesce(F.abs(F.col("loglik") - F.col("_old")) / F.col("n"), F.lit(float("inf"))))
+            moved = params.join(old, ["series", "components"]).agg(gain).first()[0]
+            if moved is None or moved <= tol:
+                break
     return params
 
 
+def _hint(params: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Broadcast the parameter table in every round if it is counted to be small."""
+    return F.broadcast if params.count() <= BROADCAST_ROWS else (lambda df: df)
+
+
 def _t_constant(nu: Column) -> Column:
     """ln of gamma((nu+1)/2) / (gamma(nu/2) sqrt(nu pi)) from a table keyed by the fixed grid."""
     table = {float(v): math.lgamma((v + 1) / 2) - math.lgamma(v / 2) - 0.5 * math.log(v * math.pi) for v in _NU_ALL}
@@ -98,11 +109,14 @@ def fit_student_t(long: DataFrame, rounds: int = 12) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mu"), F.var_pop("value").alias("s2")
     ).filter((F.col("n") >= 3) & (F.col("s2") > 0))
 
+    start = materialized(start)
+    hint = _hint(start)
+
     def with_grid(base: DataFrame, nus: Column) -> DataFrame:
         return base.withColumn("nu", F.explode(nus)).select("series", "n", "nu", "mu", "s2")
 
     def joined(params: DataFrame) -> DataFrame:
-        return long.select("series", "value").join(small_side(
+        return long.select("series", "value").join(hint(
             params.groupBy("series").agg(F.collect_list(F.struct("nu", "mu", "s2")).alias("_p"))
         ), "series").select("series", "value", F.explode("_p").alias("p")).select("series", "value", "p.*")
 
@@ -134,7 +148,7 @@ def fit_student_t(long: DataFrame, rounds: int = 12) -> DataFrame:
         return scored.groupBy("series").agg(pick).select("series", "b.*")
 
     coarse = _iterate(with_grid(start, F.array(*[F.lit(x) for x in _NU_COARSE])), step, rounds)
-    first = best(likelihood(coarse)).checkpoint()
+    first = materialized(best(likelihood(coarse)))
     grid = F.array(*[F.lit(x) for x in _NU_ALL])
     at = F.array_position(grid, F.col("nu"))
     lo = F.greatest(at - 8, F.lit(1))
@@ -146,7 +160,7 @@ def fit_student_t(long: DataFrame, rounds: int = 12) -> DataFrame:
     )
 
 
-def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 48) -> DataFrame:
+def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96, tol: float = 1e-3) -> DataFrame:
     """Gaussian mixtures by EM; all series and all component counts share each round's aggregate.
 
     Starts from quantile slices of each series, so repeated runs agree.
@@ -170,58 +184,52 @@ def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 48)
         "series", "n", "_s2", "p.*"
     ).withColumn("loglik", F.lit(None).cast("double"))
 
-    def e_step(frames):
-        """Partial sums of an EM round over the rows of one task, one row per model."""
-        sums: dict[tuple, list] = {}
-        for pdf in frames:
-            for (series, c), part in pdf.groupby(["series", "components"], sort=False):
-                x = part["value"].to_numpy()[:, None]
-                first = part.iloc[0]
-                w, m, v = (np.asarray(first[k], dtype=float) for k in ("w", "m", "v"))
-                logp = np.log(np.maximum(w, 1e-300)) - 0.5 * (LOG_2PI + np.log(v) + (x - m) ** 2 / v)
-                top = logp.max(axis=1, keepdims=True)
-                p = np.exp(logp - top)
-                total = p.sum(axis=1, keepdims=True)
-                r = p / total
-                d = x - m
-                vec = np.concatenate([
-                    [float((top + np.log(total)).sum())], r.sum(0), (r * d).sum(0), (r * d * d).sum(0)
-                ])
-                key = (series, int(c))
-                sums[key] = sums[key] + vec if key in sums else vec
-        yield pd.DataFrame(
-            [(s, c, i, float(y)) for (s, c), vec in sums.items() for i, y in enumerate(vec)],
-            columns=["series", "components", "i", "y"],
-        )
+    params = materialized(params)
+    hint = _hint(params)
 
     def step(p: DataFrame) -> DataFrame:
+        x = F.col("value")
         rows = long.select("series", "value").join(
-            small_side(p.select("series", "components", "w", "m", "v")), "series"
+            hint(p.select("series", "n", "_s2", "components", "w", "m", "v")), "series"
+        )
+        logs = rows.withColumn("_l", F.transform(
+            F.arrays_zip("w", "m", "v"),
+            lambda t: F.log(F.greatest(t["w"], F.lit(1e-300)))
+            - 0.5 * (LOG_2PI + F.log(t["v"]) + (x - t["m"]) * (x - t["m"]) / t["v"]),
+        )).withColumn("_top", F.array_max("_l")).withColumn(
+            "_ll", F.col("_top") + F.log(F.aggregate("_l", F.lit(0.0), lambda s, a: s + F.exp(a - F.col("_top"))))
         )
-        part = rows.mapInPandas(e_step, "series string, components int, i int, y double")
-        summed = part.groupBy("series", "components", "i").agg(F.sum("y").alias("y")).groupBy(
-            "series", "components"
-        ).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "y"))), lambda t: t.y).alias("s"))
-        c = F.col("components")
-        mass, dev, sq = (F.slice("s", 2 + j * c, c) for j in range(3))
+        model = ["series", "n", "_s2", "components"]
+        shares = logs.select(
+            *model, "value", "m", "_ll", F.transform("_l", lambda a: F.exp(a - F.col("_ll"))).alias("_r")
+        )
+        # One aggregate a round: a fixed, small number of sums per component.
+        sums = [F.sum("_ll").alias("loglik")]
+        for k in range(max(components)):
+            r, d = F.get("_r", k), x - F.get("m", k)
+            sums += [
+                F.sum(r).alias(f"_r{k}"), F.sum(r * d).alias(f"_d{k}"), F.sum(r * d * d).alias(f"_q{k}"),
+                F.max(F.get("m", k)).alias(f"_m{k}"),
+            ]
+        together = shares.groupBy(*model).agg(*sums)
         floor = F.col("_s2") * 1e-6
-        merged = p.select("series", "n", "_s2", "components", F.col("m").alias("_m")).join(
-            summed, ["series", "components"]
-        ).select("series", "n", "_s2", "components", "_m", F.get("s", 0).alias("loglik"),
-                 mass.alias("_r"), dev.alias("_d"), sq.alias("_q"))
-        moves = F.arrays_zip("_r", "_d", "_q", "_m")
-        return merged.select(
-            "series", "n", "_s2", "components",
-            F.transform("_r", lambda r: r / F.col("n")).alias("w"),
-            F.transform(moves, lambda t: t["_m"] + t["_d"] / F.greatest(t["_r"], F.lit(1e-300))).alias("m"),
-            F.transform(moves, lambda t: F.greatest(
-                t["_q"] / F.greatest(t["_r"], F.lit(1e-300))
-                - F.pow(t["_d"] / F.greatest(t["_r"], F.lit(1e-300)), F.lit(2)), floor,
-            )).alias("v"),
+
+        def each(build) -> Column:
+            return F.array_compact(F.array(*[
+                build(F.greatest(F.col(f"_r{k}"), F.when(F.col(f"_r{k}").isNotNull(), F.lit(1e-300))),
+                      F.col(f"_d{k}"), F.col(f"_q{k}"), F.col(f"_m{k}"))
+                for k in range(max(components))
+            ]))
+
+        return together.select(
+            *model,
+            each(lambda r, d, q, m: r / F.col("n")).alias("w"),
+            each(lambda r, d, q, m: m + d / r).alias("m"),
+            each(lambda r, d, q, m: F.when(r.isNotNull(), F.greatest(q / r - d / r * d / r, floor))).alias("v"),
             "loglik",
         )
 
-    final = _iterate(params, step, rounds)
+    final = _iterate(params, step, rounds, every=8, tol=tol)
     return final.select(
         "series", "n", F.concat(F.lit("GMM(K="), "components", F.lit(")")).alias("model"),
         (3 * F.col("components") - 1).alias("k"), "w", "m", "v", "loglik",

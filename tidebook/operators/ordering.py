@@ -17,15 +17,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 CHUNK = 16_384
 BROADCAST_ROWS = 200_000
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the checkpoint folder, so it is computed once and survives
+    lost executors."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a join side for broadcast if it is counted to be small; else leave the choice to AQE."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    """A join side that is expected to be small: computed once, counted, and broadcast only if the
+    count is within ``max_rows``. A larger side is left to a shuffled join under AQE."""
+    table = materialized(df)
+    return F.broadcast(table) if table.count() <= max_rows else table
 
 
 def blocked_window(

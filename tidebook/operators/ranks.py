@@ -1,8 +1,8 @@
 """Order statistics over any number of rows: sorted value runs, quantiles, average ranks.
 
-Equal values are merged first, so a value that fills a third of a series is one row. Runs are then
-placed in value blocks (equal-width between the exact minimum and maximum, crowded blocks divided
-again), and block totals give every run the number of rows below it. Minimum, maximum and counts
+Rows are placed in value blocks (equal-width between the exact minimum and maximum, crowded blocks
+divided again) and equal values are merged before anything is shuffled, so a value that fills a third
+of a series is one row. Block totals give every run the number of rows below it. Minimum, maximum and counts
 are exact, so a repeated task finds the same blocks.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .ordering import small_side
 
 BLOCKS = 1024
-RUNS_PER_BLOCK = 50_000
+ROWS_PER_BLOCK = 50_000
 
 
 def _bin(v: Column, lo: Column, hi: Column, n: Column) -> Column:
@@ -27,21 +27,20 @@ def _bin(v: Column, lo: Column, hi: Column, n: Column) -> Column:
 def value_runs(long: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
     """``(keys, value, cnt, below, n)``: distinct values with the number of rows strictly below."""
     keys = list(keys)
-    runs = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
-    span = runs.groupBy(*keys).agg(
-        F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.sum("cnt").alias("n")
-    )
-    coarse = runs.join(span, keys).withColumn(
-        "_b1", _bin(F.col("value"), F.col("_lo"), F.col("_hi"), F.lit(BLOCKS))
+    v = F.col("value")
+    span = small_side(long.groupBy(*keys).agg(
+        F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.count(F.lit(1)).alias("n")
+    ))
+    coarse = long.select(*keys, "value").join(span, keys).withColumn(
+        "_b1", _bin(v, F.col("_lo"), F.col("_hi"), F.lit(BLOCKS))
     ).drop("_lo", "_hi")
-    crowd = coarse.groupBy(*keys, "_b1").agg(
-        F.min("value").alias("_lo"),
-        F.max("value").alias("_hi"),
-        F.ceil(F.count(F.lit(1)) / RUNS_PER_BLOCK).alias("_parts"),
-    )
+    crowd = small_side(coarse.groupBy(*keys, "_b1").agg(
+        F.min(v).alias("_lo"), F.max(v).alias("_hi"),
+        F.ceil(F.count(F.lit(1)) / ROWS_PER_BLOCK).alias("_parts"),
+    ))
     fine = coarse.join(crowd, [*keys, "_b1"]).withColumn(
-        "_b2", _bin(F.col("value"), F.col("_lo"), F.col("_hi"), F.col("_parts"))
-    ).drop("_lo", "_hi", "_parts")
+        "_b2", _bin(v, F.col("_lo"), F.col("_hi"), F.col("_parts"))
+    ).groupBy(*keys, "n", "_b1", "_b2", "value").agg(F.count(F.lit(1)).alias("cnt"))
     block = [*keys, "_b1", "_b2"]
     prior = Window.partitionBy(*keys).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
     offsets = fine.groupBy(*block).agg(F.sum("cnt").alias("_rows")).select(

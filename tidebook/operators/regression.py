@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tails import adf_pvalue, chi2_sf, f_sf, kpss_pvalue
-from .ordering import CHUNK, halo_chunks, small_side
+from .ordering import CHUNK, halo_chunks, materialized, small_side
 
 SLICE = 4096
 
@@ -55,10 +55,10 @@ def _grams(long: DataFrame, params: DataFrame, back: Column, design) -> DataFram
 
 def _params(long: DataFrame, lags: Column | int, scale: bool = True) -> DataFrame:
     lags = F.lit(lags) if isinstance(lags, int) else lags
-    sd = F.stddev_pop("value")
-    return long.groupBy("series").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), sd.alias("sd")
-    ).select(
+    stats = long.groupBy("series").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd")
+    )
+    return materialized(stats).select(
         "series", "n", "mean", lags.cast("int").alias("lags"),
         F.col("mean").alias("shift"),
         F.when(F.lit(scale) & (F.col("sd") > 0), F.col("sd")).otherwise(F.lit(1.0)).alias("scale"),
@@ -149,7 +149,7 @@ def adf(long: DataFrame, min_n: int = 15) -> DataFrame:
     All lag choices are compared on one matrix. The chosen model uses the earlier rows too; those
     few rows come from the kept head of the series.
     """
-    base = _params(long, adf_max_lag(F.count(F.lit(1))))
+    base = _params(long, adf_max_lag(F.col("n")))
     params = base.filter((F.col("n") >= min_n) & (F.col("scale") > 0))
 
     def design(x, own, first, k):
@@ -230,9 +230,9 @@ def kpss(long: DataFrame, min_n: int = 15) -> DataFrame:
     variance, written as the mean of squared moving sums.
     """
     n = F.col("n")
-    base = long.groupBy("series").agg(
+    base = materialized(long.groupBy("series").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd")
-    )
+    ))
     params = base.filter((n >= min_n) & (F.col("sd") > 0)).withColumn(
         "cov", F.floor(F.pow(n.cast("double"), F.lit(2 / 9)) + 1e-9).cast("int")
     )
@@ -265,7 +265,9 @@ def kpss(long: DataFrame, min_n: int = 15) -> DataFrame:
             out.append(min(int(gamma * m ** (1 / 3)), int(m) - 1))
         return pd.Series(out, dtype="int32")
 
-    chosen = params.join(lagsums, "series").select("series", "n", "mean", "sd", pick("s", "n").alias("lags"))
+    chosen = materialized(
+        params.join(lagsums, "series").select("series", "n", "mean", "sd", pick("s", "n").alias("lags"))
+    )
 
     def partials(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("idx")

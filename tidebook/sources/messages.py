@@ -8,7 +8,11 @@ from ..operators.messages import flatten_messages
 from ..schema import L2_MESSAGE
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def read_l2_messages(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "json", **options) -> DataFrame:
     """Flattened book entries from a folder of message files (``json`` or ``parquet``)."""
     reader = spark.readStream if streaming else spark.read
+    options = {"timestampFormat": MICROS, **options}
     return flatten_messages(reader.schema(L2_MESSAGE).format(fmt).options(**options).load(path))

@@ -44,12 +44,17 @@ def parse_lob(df: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(filename, path)`` of the Parquet files in a folder, read by the file source itself."""
+    """``(filename, length)`` of the Parquet files in a folder, read by the file source itself."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true").load(path)
     )
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), "path", "length")
+    return files.select(_relative(F.col("path"), path).alias("filename"), "length")
+
+
+def _relative(file: Column, folder: str) -> Column:
+    """Path below the folder: the same file name may occur under several days."""
+    return F.substring_index(file, "/" + folder.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
 
 
 def pending_files(files: DataFrame, log: DataFrame, label: str = LABEL) -> DataFrame:
@@ -81,7 +86,7 @@ def bad_files(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", "true").load(path)
     )
     return files.filter((F.col("length") < 12) | (tail != "50415231")).select(
-        F.element_at(F.split("path", "/"), -1).alias("filename")
+        _relative(F.col("path"), path).alias("filename")
     )
 
 
@@ -95,7 +100,7 @@ def ingest(spark: SparkSession, source: str, table: str, log_path: str, label: s
     files = pending_files(list_files(spark, source), read_log(spark, log_path), label)
     good = files.join(bad_files(spark, source), "filename", "left_anti")
     names = good.select("filename")
-    every = _reader(spark, source, True).select("*", F.col("_metadata.file_name").alias("_file"))
+    every = _reader(spark, source, True).select("*", _relative(F.col("_metadata.file_path"), source).alias("_file"))
     rows = every.dropna().join(names.withColumnRenamed("filename", "_file"), "_file", "left_semi")
     parsed = parse_lob(rows)
     append_raw(parsed.drop("_file"), table)

@@ -65,52 +65,71 @@ def _apply(book: dict, r) -> list[tuple[int, tuple, bool]]:
 
 
 def maintain_book(
-    entries: DataFrame, emit: str = "changes", every: str = "30 seconds", delay: str = "1 minute",
+    entries: DataFrame, emit_kind: str = "changes", every: str = "30 seconds", delay: str = "1 minute",
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Apply flattened entries to the live book.
 
-    ``emit="changes"`` gives every level change; ``emit="snapshots"`` gives, for each tick that has
+    ``emit_kind="changes"`` gives every level change; ``emit_kind="snapshots"`` gives, for each tick that has
     passed, the levels live at it. Entries at or before the last applied ``(seq, pos)`` are late and
     dropped; event times older than the watermark are dropped by Spark.
     """
     width = _micros(every)
-    snapshots = emit == "snapshots"
+    snapshots = emit_kind == "snapshots"
+    timed = snapshots and entries.isStreaming
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         symbol, bucket = key
         seq, pos, tick, book = -1, -1, None, {}
         if state.exists:
             seq, pos, tick, ids, prices, sizes, sides = state.get
+            tick = None if tick < 0 else tick
             book = {int(i): (p, z, s) for i, p, z, s in zip(ids, prices, sizes, sides)}
-        batch = pd.concat(list(frames)).sort_values(["seq", "pos"])
         out = []
-        for r in batch.itertuples(index=False):
+
+        def emit(upto: int) -> None:
+            for t in range(upto if tick is None else tick, upto):
+                out.extend((symbol, bucket, pd.Timestamp(t * width * 1000), k, *v) for k, v in book.items())
+
+        if state.hasTimedOut:
+            rows = ()
+        else:
+            rows = pd.concat(list(frames)).sort_values(["seq", "pos"]).itertuples(index=False)
+        for r in rows:
             if (r.seq, r.pos) <= (seq, pos):
                 continue
             micros = r.ts.value // 1000
             if snapshots:
                 # Ticks strictly before this entry saw the book as it was.
                 upto = -(-micros // width)
-                for t in range(upto if tick is None else tick, upto):
-                    out += [(symbol, bucket, pd.Timestamp(t * width * 1000), k, *v) for k, v in book.items()]
-                tick = upto
+                emit(upto)
+                tick = upto if tick is None else max(tick, upto)
                 _apply(book, r)
             else:
                 out += [(symbol, bucket, r.seq, r.pos, r.ts, k, *v, live) for k, v, live in _apply(book, r)]
             seq, pos = r.seq, r.pos
+        if timed:
+            # Everything before the watermark has arrived, so ticks up to it are final even if this
+            # bucket has been silent.
+            seen = state.getCurrentWatermarkMs() * 1000
+            upto = -(-seen // width)
+            if seen > 0 and tick is not None and upto > tick:
+                emit(upto)
+                tick = upto
         if book:
             ids, levels = list(book), list(book.values())
             p, z, s = (list(x) for x in zip(*levels))
         else:
             ids, p, z, s = [], [], [], []
         state.update((int(seq), int(pos), -1 if tick is None else int(tick), ids, p, z, s))
+        if timed and tick is not None:
+            state.setTimeoutTimestamp(max(tick * width // 1000, state.getCurrentWatermarkMs()) + 1)
         cols = [c.split()[0] for c in (LEVELS if snapshots else CHANGES).split(", ")]
         yield pd.DataFrame(out, columns=cols)
 
     keyed = _keyed(entries.withWatermark("ts", delay) if entries.isStreaming else entries, buckets)
     return keyed.groupBy("symbol", "bucket").applyInPandasWithState(
-        step, LEVELS if snapshots else CHANGES, STATE, "append", "NoTimeout"
+        step, LEVELS if snapshots else CHANGES, STATE, "append", "EventTimeTimeout" if timed else "NoTimeout"
     )
 
 
