@@ -123,18 +123,20 @@ def fit_student_t(long: DataFrame, rounds: int = 12) -> DataFrame:
     v, nu, mu, s2 = F.col("value"), F.col("nu"), F.col("mu"), F.col("s2")
     d2 = (v - mu) * (v - mu)
 
+    # Moments around the previous location keep the sums well conditioned. Built once, used each round.
+    w = (nu + 1.0) / (nu + d2 / s2)
+    sums = [
+        F.count(F.lit(1)).alias("n"), F.sum(w).alias("_w"), F.sum(w * (v - mu)).alias("_wx"),
+        F.sum(w * d2).alias("_wxx"), F.max(mu).alias("_mu"),
+    ]
+    move = F.col("_wx") / F.col("_w")
+    updated = [
+        (F.col("_mu") + move).alias("mu"),
+        ((F.col("_wxx") - F.col("_w") * move * move) / F.col("n")).alias("s2"),
+    ]
+
     def step(params: DataFrame) -> DataFrame:
-        w = (nu + 1.0) / (nu + d2 / s2)
-        # Moments around the previous location keep the sums well conditioned.
-        agg = joined(params).groupBy("series", "nu").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(w).alias("_w"), F.sum(w * (v - mu)).alias("_wx"),
-            F.sum(w * d2).alias("_wxx"), F.max(mu).alias("_mu"),
-        )
-        move = F.col("_wx") / F.col("_w")
-        return agg.select(
-            "series", "n", "nu", (F.col("_mu") + move).alias("mu"),
-            ((F.col("_wxx") - F.col("_w") * move * move) / F.col("n")).alias("s2"),
-        )
+        return joined(params).groupBy("series", "nu").agg(*sums).select("series", "n", "nu", *updated)
 
     def likelihood(params: DataFrame) -> DataFrame:
         body = -(nu + 1.0) / 2.0 * F.log1p(d2 / (s2 * nu)) - F.log(s2) / 2.0
@@ -187,49 +189,51 @@ def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96,
     params = materialized(params)
     hint = _hint(params)
 
+    # The expressions are built once; a round only applies them.
+    x, top = F.col("value"), F.col("_top")
+    model = ["series", "n", "_s2", "components"]
+    logs = F.transform(
+        F.arrays_zip("w", "m", "v"),
+        lambda t: F.log(F.greatest(t["w"], F.lit(1e-300)))
+        - 0.5 * (LOG_2PI + F.log(t["v"]) + (x - t["m"]) * (x - t["m"]) / t["v"]),
+    ).alias("_l")
+    peak = F.array_max("_l").alias("_top")
+    row_ll = (top + F.log(F.aggregate("_l", F.lit(0.0), lambda s, a: s + F.exp(a - top)))).alias("_ll")
+    shares = F.transform("_l", lambda a: F.exp(a - F.col("_ll"))).alias("_r")
+    # One aggregate a round: a fixed, small number of sums per component.
+    sums = [F.sum("_ll").alias("loglik")]
+    for k in range(max(components)):
+        r, d = F.get("_r", k), x - F.get("m", k)
+        sums += [
+            F.sum(r).alias(f"_r{k}"), F.sum(r * d).alias(f"_d{k}"), F.sum(r * d * d).alias(f"_q{k}"),
+            F.max(F.get("m", k)).alias(f"_m{k}"),
+        ]
+
+    def each(build) -> Column:
+        return F.array_compact(F.array(*[
+            build(F.greatest(F.col(f"_r{k}"), F.when(F.col(f"_r{k}").isNotNull(), F.lit(1e-300))),
+                  F.col(f"_d{k}"), F.col(f"_q{k}"), F.col(f"_m{k}"))
+            for k in range(max(components))
+        ]))
+
+    floor = F.col("_s2") * 1e-6
+    updated = [
+        each(lambda r, d, q, m: r / F.col("n")).alias("w"),
+        each(lambda r, d, q, m: m + d / r).alias("m"),
+        each(lambda r, d, q, m: F.when(r.isNotNull(), F.greatest(q / r - d / r * d / r, floor))).alias("v"),
+    ]
+    values = long.select("series", "value")
+
     def step(p: DataFrame) -> DataFrame:
-        x = F.col("value")
-        rows = long.select("series", "value").join(
-            hint(p.select("series", "n", "_s2", "components", "w", "m", "v")), "series"
-        )
-        logs = rows.withColumn("_l", F.transform(
-            F.arrays_zip("w", "m", "v"),
-            lambda t: F.log(F.greatest(t["w"], F.lit(1e-300)))
-            - 0.5 * (LOG_2PI + F.log(t["v"]) + (x - t["m"]) * (x - t["m"]) / t["v"]),
-        )).withColumn("_top", F.array_max("_l")).withColumn(
-            "_ll", F.col("_top") + F.log(F.aggregate("_l", F.lit(0.0), lambda s, a: s + F.exp(a - F.col("_top"))))
-        )
-        model = ["series", "n", "_s2", "components"]
-        shares = logs.select(
-            *model, "value", "m", "_ll", F.transform("_l", lambda a: F.exp(a - F.col("_ll"))).alias("_r")
-        )
-        # One aggregate a round: a fixed, small number of sums per component.
-        sums = [F.sum("_ll").alias("loglik")]
-        for k in range(max(components)):
-            r, d = F.get("_r", k), x - F.get("m", k)
-            sums += [
-                F.sum(r).alias(f"_r{k}"), F.sum(r * d).alias(f"_d{k}"), F.sum(r * d * d).alias(f"_q{k}"),
-                F.max(F.get("m", k)).alias(f"_m{k}"),
-            ]
-        together = shares.groupBy(*model).agg(*sums)
-        floor = F.col("_s2") * 1e-6
-
-        def each(build) -> Column:
-            return F.array_compact(F.array(*[
-                build(F.greatest(F.col(f"_r{k}"), F.when(F.col(f"_r{k}").isNotNull(), F.lit(1e-300))),
-                      F.col(f"_d{k}"), F.col(f"_q{k}"), F.col(f"_m{k}"))
-                for k in range(max(components))
-            ]))
-
-        return together.select(
-            *model,
-            each(lambda r, d, q, m: r / F.col("n")).alias("w"),
-            each(lambda r, d, q, m: m + d / r).alias("m"),
-            each(lambda r, d, q, m: F.when(r.isNotNull(), F.greatest(q / r - d / r * d / r, floor))).alias("v"),
-            "loglik",
+        rows = values.join(hint(p.drop("loglik")), "series")
+        return (
+            rows.select(*model, "value", "m", logs).select("*", peak).select("*", row_ll)
+            .select(*model, "value", "m", "_ll", shares)
+            .groupBy(*model).agg(*sums)
+            .select(*model, *updated, "loglik")
         )
 
-    final = _iterate(params, step, rounds, every=8, tol=tol)
+    final = _iterate(params, step, rounds, every=5, tol=tol)
     return final.select(
         "series", "n", F.concat(F.lit("GMM(K="), "components", F.lit(")")).alias("model"),
         (3 * F.col("components") - 1).alias("k"), "w", "m", "v", "loglik",
