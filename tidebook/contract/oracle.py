@@ -9,7 +9,7 @@ ORACLE: dict[str, str] = {}
 
 
 def r(expr: str, digits: int = 6) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0::DOUBLE"
+    return f"floor(CAST({expr} AS DOUBLE) * 1e{digits}::DOUBLE + 0.5::DOUBLE) / 1e{digits}::DOUBLE"
 
 
 def suffix(k: int) -> str:

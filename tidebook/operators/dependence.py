@@ -171,7 +171,7 @@ def _mi_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _mutual(df: DataFrame, key: str, left, right, bins: int) -> DataFrame:
+def _mutual(df: DataFrame, left, right, bins: int) -> DataFrame:
     names = list(dict.fromkeys([*left, *(right or [])]))
     clean = df.dropna(subset=names).select(*[F.col(f).cast("double").alias(f) for f in names])
     edges = {r["series"]: r["q"] for r in _edges(clean.unpivot([], names, "series", "value"), bins).collect()}
@@ -186,13 +186,13 @@ def _mutual(df: DataFrame, key: str, left, right, bins: int) -> DataFrame:
     return _mi_from_counts(counts, ["feature_a", "feature_b"]).drop("n")
 
 
-def mi_matrix(df: DataFrame, key: str, feats: Sequence[str], bins: int = MI_BINS) -> DataFrame:
+def mi_matrix(df: DataFrame, feats: Sequence[str], bins: int = MI_BINS) -> DataFrame:
     """Upper triangle of mutual information on quantile bins; the diagonal is 0 by definition."""
-    return _mutual(df, key, feats, None, bins)
+    return _mutual(df, feats, None, bins)
 
 
-def mi_targets(df: DataFrame, key: str, feats: Sequence[str], targets: Sequence[str], bins: int = MI_BINS) -> DataFrame:
-    return _mutual(df, key, feats, targets, bins)
+def mi_targets(df: DataFrame, feats: Sequence[str], targets: Sequence[str], bins: int = MI_BINS) -> DataFrame:
+    return _mutual(df, feats, targets, bins)
 
 
 def lagged_mi(long: DataFrame, max_lag: int = 20, bins: int = MI_BINS) -> DataFrame:

@@ -21,9 +21,8 @@ from .ordering import small_side
 # Candidate order decides ties.
 CANDIDATES = ("identity", "asinh", "yeo-johnson", "log", "sqrt", "box-cox")
 LAMBDA_GRID = tuple(round(-2.0 + 0.1 * i, 1) for i in range(41))
-WIDE_GRID = tuple(
-    sorted(LAMBDA_GRID + tuple(s * round(2.5 + 0.5 * i, 1) for i in range(16) for s in (-1, 1)))
-)
+WIDE_GRID = tuple(float(i) for i in range(-10, 11))
+REFINE = (0.1, 0.01, 0.001)  # each grid spans one step of the grid before it, both ways
 MIN_ROWS = 10
 
 
@@ -129,18 +128,18 @@ def best_lambda(profile: DataFrame) -> DataFrame:
 
 
 def fit_lambda(long: DataFrame, family: str, grid: Sequence[float] = WIDE_GRID) -> DataFrame:
-    """Maximum-likelihood lambda per feature to 1e-3: a coarse grid, then two finer ones around it."""
+    """Maximum-likelihood lambda per feature to 1e-3: a coarse grid, then finer ones around its best.
+
+    The profile has one peak, so 21 values a pass are enough; each pass is one aggregate.
+    """
     if family == "box-cox":
         positive = long.groupBy("feature").agg(F.min("value").alias("_lo")).filter("_lo > 0")
         long = long.join(small_side(positive), "feature").select("feature", "value")
     best = best_lambda(lambda_profile(long, family, F.array(*[F.lit(float(g)) for g in grid])))
-    for half, step in ((0.5, 0.025), (0.025, 0.001)):
-        m = round(half / step)
-        near = F.transform(
-            F.sequence(F.lit(-m), F.lit(m)), lambda i: F.round(F.col("_at") + i * step, 3)
-        )
-        around = long.join(best.select("feature", F.col("lambda").alias("_at")), "feature")
-        best = best_lambda(lambda_profile(around, family, near))
+    for step in REFINE:
+        near = F.transform(F.sequence(F.lit(-10), F.lit(10)), lambda i: F.round(F.col("lambda") + i * step, 3))
+        side = small_side(best.select("feature", near.alias("_grid")))
+        best = best_lambda(lambda_profile(long.join(side, "feature"), family, F.col("_grid")))
     return best
 
 

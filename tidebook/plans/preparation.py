@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from ..operators import fitting as T
 from ..operators import hours as H
 from ..operators import standardize as Z
+from ..operators.ordering import materialized
 from ..schema import BINS, CLIP, FWD_PREFIX, HALF_LIFE, NOT_SCALED
 from ..sources.snapshots import sample_rows, write_table
 
@@ -33,7 +34,9 @@ def run_transform(
     """Fit on a bounded sample of non-context rows (or take fitted transforms), apply to all rows."""
     if chosen is None:
         feats = list(feats or T.select_features(features))
-        sample = sample_rows(features, n, seed).select(*feats).checkpoint()
+        # The bounded sample leaves the top-n as one partition; spread it before the heavy fitting.
+        tasks = features.sparkSession.sparkContext.defaultParallelism
+        sample = materialized(sample_rows(features, n, seed).select(*feats).repartition(tasks))
         chosen = T.transform_map(T.fit_transforms(sample, feats))
     return T.apply_transforms(features, chosen)
 
