@@ -59,7 +59,7 @@ def books(rows):
 
 
 def test_batch_book_at_end_and_over_time(spark, feed, entries):
-    intervals = M.book_intervals(entries).persist()
+    intervals = M.book_intervals(entries, 40).persist()
     assert books(M.book_at_end(intervals).collect()) == {s: replay(feed, s) for s in "AB"}
     levels = M.sample_levels(intervals, M.last_time(entries), "5 minutes").collect()
     ticks = {r["tick"] for r in levels}
@@ -81,7 +81,7 @@ def test_stream_equals_batch(spark, feed, entries, tmp_path):
     assert books(B.current_book(spark.read.parquet(changes)).collect()) == {s: replay(feed, s) for s in "AB"}
     B.run_available(B.maintain_book(stream, "snapshots", "5 minutes"), levels, str(tmp_path / "cp2"))
     until = M.last_time(entries) - timedelta(minutes=1)
-    want = M.sample_levels(M.book_intervals(entries), until, "5 minutes").filter(F.col("tick") < F.lit(until))
+    want = M.sample_levels(M.book_intervals(entries, 100000), until, "5 minutes").filter(F.col("tick") < F.lit(until))
     cols = ["symbol", "tick", "id", "price", "size", "side"]
     got = sorted(map(tuple, spark.read.parquet(levels).select(*cols).filter(F.col("tick") < F.lit(until)).collect()))
     assert got == sorted(map(tuple, want.select(*cols).collect()))

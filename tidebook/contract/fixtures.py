@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import returns as R
-from ..operators.ordering import positions
-from ..session import scratch_path, shared_dir
+from ..operators.ordering import materialized, positions, spread
+from ..session import scratch_path
 from ..sources.messages import MICROS
 
 BANDS = (2, 3, 5, 0)
@@ -99,13 +99,19 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
 
 def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four numeric columns as a feature table with a dense row number."""
-    items = table(spark, sf_dir, "lineitem").select(*LINE_ORDER, *[c for c in LINE_FEATURES if c not in LINE_ORDER])
-    keyed = items.withColumn("_all", F.lit(0)).withColumn("_block", F.expr("l_orderkey div 1000"))
-    return positions(keyed, ["_all"], list(LINE_ORDER), "_block").select("idx", *LINE_FEATURES)
+    columns = list(dict.fromkeys([*LINE_ORDER, *LINE_FEATURES]))
+    items = table(spark, sf_dir, "lineitem").select(*columns)
+    keyed = items.withColumn("_all", F.lit(0)).withColumn("_block", F.expr("l_orderkey div 50000"))
+    return materialized(positions(keyed, ["_all"], list(LINE_ORDER), "_block").select("idx", *LINE_FEATURES))
+
+
+def line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four columns alone, over all cores."""
+    return spread(table(spark, sf_dir, "lineitem").select(*LINE_FEATURES))
 
 
 def line_long(spark: SparkSession, sf_dir: str, name: str = "series") -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(*LINE_FEATURES).unpivot([], list(LINE_FEATURES), name, "value")
+    return line_table(spark, sf_dir).unpivot([], list(LINE_FEATURES), name, "value")
 
 
 def numbered_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,11 +121,10 @@ def numbered_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def return_series(spark: SparkSession, sf_dir: str, strided: bool = True) -> DataFrame:
     """``(series, idx, value)`` of the strided forward returns, written once per query."""
-    shared_dir(spark)
     cols = [f"fwd_logret_{n}" for n in FWD]
     long = R.stride_sample(numbered_returns(spark, sf_dir), cols, strided=strided)
     wanted = [f"fwd_logret_{n}" for n in STRIDES]
-    return R.as_series(long.filter(F.col("column").isin(wanted))).checkpoint()
+    return R.as_series(long.filter(F.col("column").isin(wanted))).transform(materialized)
 
 
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:

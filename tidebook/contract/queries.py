@@ -448,7 +448,7 @@ def _(spark, sf):
 # -- transforms ----------------------------------------------------------------------------------
 
 def _line(spark, sf):
-    return T.feature_long(fx.table(spark, sf, "lineitem"), fx.LINE_FEATURES)
+    return T.feature_long(fx.line_table(spark, sf), fx.LINE_FEATURES)
 
 
 @query("t1_select_features")
@@ -500,13 +500,13 @@ def _(spark, sf):
 
 @query("t6_fit_transforms")
 def _(spark, sf):
-    feats = fx.table(spark, sf, "lineitem").select(*fx.LINE_FEATURES)
+    feats = fx.line_table(spark, sf)
     return out(T.fit_transforms(feats, fx.LINE_FEATURES))
 
 
 @query("t7_save_load_transforms")
 def _(spark, sf):
-    feats = fx.table(spark, sf, "lineitem").select(*fx.LINE_FEATURES)
+    feats = fx.line_table(spark, sf)
     path = scratch_path(spark, "transforms")
     T.save_transforms(spark, T.transform_map(T.fit_transforms(feats, fx.LINE_FEATURES)), path)
     return out(T.apply_transforms(feats, T.load_transforms(spark, path)))
@@ -673,12 +673,12 @@ def _(spark, sf):
 
 @query("s16_mi_matrix")
 def _(spark, sf):
-    return out(D.mi_matrix(fx.table(spark, sf, "lineitem"), fx.LINE_FEATURES), digits=8)
+    return out(D.mi_matrix(fx.line_table(spark, sf), fx.LINE_FEATURES), digits=8)
 
 
 @query("s17_mi_targets")
 def _(spark, sf):
-    pairs = D.mi_targets(fx.table(spark, sf, "lineitem"), fx.LINE_FEATURES[:2], fx.LINE_FEATURES[2:])
+    pairs = D.mi_targets(fx.line_table(spark, sf), fx.LINE_FEATURES[:2], fx.LINE_FEATURES[2:])
     return out(D.top_pairs(pairs, "mi"), digits=8)
 
 

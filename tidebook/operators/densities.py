@@ -23,19 +23,18 @@ def gaussian_kde(long: DataFrame, points: int = 400) -> DataFrame:
     """
     runs = value_runs(long)
     lim = quantiles_of_runs(runs, [0.005, 0.995])
-    mean = runs.groupBy("series").agg((F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("_m"))
-    spread = runs.join(small_side(mean), "series").groupBy("series").agg(
-        F.sqrt(F.sum(F.pow(F.col("value") - F.col("_m"), F.lit(2)) * F.col("cnt")) / (F.max("n") - 1)).alias("_sd")
-    )
-    grid = lim.join(spread, "series").filter("_sd > 0").select(
+    spread = long.groupBy("series").agg(F.stddev_samp("value").alias("_sd"))
+    grid = materialized(lim.join(spread, "series").filter("_sd > 0").select(
         "series", F.col("n"), F.get("q", 0).alias("_lo"), F.get("q", 1).alias("_hi"),
         (F.col("_sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("_h"),
-    ).withColumn("_step", (F.col("_hi") - F.col("_lo")) / (points - 1))
-    rows = runs.drop("n").join(small_side(grid), "series")
+    ).withColumn("_step", (F.col("_hi") - F.col("_lo")) / (points - 1)))
+    rows = runs.drop("n").join(_hint(grid)(grid), "series")
     v, lo, step, h = F.col("value"), F.col("_lo"), F.col("_step"), F.col("_h")
     first = F.greatest(F.ceil((v - REACH * h - lo) / step), F.lit(0))
     last = F.least(F.floor((v + REACH * h - lo) / step), F.lit(points - 1))
-    near = rows.withColumn("_a", first).withColumn("_z", last).filter("_a <= _z").withColumn(
+    # A row becomes up to ``points`` rows, so partitions are set by rows and not by bytes.
+    parts = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = rows.repartition(parts).withColumn("_a", first).withColumn("_z", last).filter("_a <= _z").withColumn(
         "point", F.explode(F.sequence("_a", "_z"))
     )
     z = (lo + F.col("point") * step - v) / h

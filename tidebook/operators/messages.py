@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .book import book_sides
-from .ordering import blocked_window, time_block
+from .ordering import blocked_window
 
 KEYS = ["symbol", "id"]
 
@@ -18,14 +18,15 @@ def flatten_messages(messages: DataFrame) -> DataFrame:
     ).select("symbol", "seq", "pos", "ts", "action", "e.id", "e.price", "e.size", "e.side")
 
 
-def book_intervals(entries: DataFrame, length: str = "hour") -> DataFrame:
+def book_intervals(entries: DataFrame, block: int = 10_000) -> DataFrame:
     """``(symbol, id, price, size, side, valid_from, valid_to)``: when each level had which size.
 
     ``partial`` clears the book and loads; ``insert`` sets a level; ``update`` changes the size of a
-    live level; ``delete`` removes it. An open end is NULL. Time blocks carry the epoch and the last
-    opening entry forward, so a busy symbol or level is spread over its blocks.
+    live level; ``delete`` removes it. An open end is NULL. The feed is cut into blocks of ``block``
+    message numbers, which carry the epoch and the last opening entry forward; so a busy symbol or
+    level is spread over many tasks and no task holds more than a block of it.
     """
-    blocks = entries.withColumn("_block", time_block("ts", length)).withColumn(
+    blocks = entries.withColumn("_block", F.floor(F.col("seq") / block)).withColumn(
         "_start", (F.col("action") == "partial") & (F.col("pos") == 0)
     )
     start = F.col("_start")

@@ -51,11 +51,11 @@ def describe_series(long: DataFrame) -> DataFrame:
     )
     clean = long.filter(is_finite(v))
     runs = value_runs(clean)
-    shape = runs.groupBy("series").agg(F.count(F.lit(1)).alias("unique"))
-    q = quantiles_of_runs(runs, list(PERCENTILES.values())).drop("n")
+    distinct = F.count(F.lit(1)).alias("unique")
+    q = quantiles_of_runs(runs, list(PERCENTILES.values()), extra=[distinct]).drop("n")
     n = F.col("n")
     return (
-        raw.join(moments(clean), "series", "left").join(shape, "series", "left").join(q, "series", "left")
+        raw.join(moments(clean), "series", "left").join(q, "series", "left")
         .select(
             "series",
             F.coalesce(n, F.lit(0)).alias("n"),

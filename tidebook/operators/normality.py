@@ -119,18 +119,13 @@ def anderson_normal(long: DataFrame) -> DataFrame:
     from .ranks import value_runs
 
     runs = value_runs(long)
-    fit = runs.groupBy("series").agg(
-        (F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("mu")
-    )
-    spread = runs.join(small_side(fit), "series").groupBy("series", "mu", "n").agg(
-        F.sqrt(F.sum(F.pow(F.col("value") - F.col("mu"), F.lit(2)) * F.col("cnt")) / (F.max("n") - 1)).alias("sd")
-    ).drop("n")
+    fit = small_side(long.groupBy("series").agg(F.avg("value").alias("mu"), F.stddev_samp("value").alias("sd")))
     z = (F.col("value") - F.col("mu")) / F.col("sd")
     lo, hi, n = F.col("below"), F.col("below") + F.col("cnt"), F.col("n")
     weight_left = (hi * hi - lo * lo).cast("double")
     weight_right = ((n - lo) * (n - lo) - (n - hi) * (n - hi)).cast("double")
     summed = (
-        runs.join(small_side(spread), "series")
+        runs.join(fit, "series")
         .filter("sd > 0")
         .groupBy("series", "n")
         .agg(F.sum(weight_left * normal_log_cdf(z) + weight_right * normal_log_cdf(-z)).alias("s"))

@@ -37,6 +37,13 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= max_rows else table
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for heavy per-row work on a table that comes in few splits; a table with enough
+    splits is left as it is. For plain scans (the splits are known without running anything)."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+
+
 def blocked_window(
     df: DataFrame,
     keys: Sequence[str],

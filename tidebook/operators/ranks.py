@@ -54,25 +54,28 @@ def value_runs(long: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
     )
 
 
-def quantiles_of_runs(runs: DataFrame, probs: Sequence[float], keys: Sequence[str] = ("series",)) -> DataFrame:
-    """Exact quantiles with linear interpolation, one array ``q`` per key."""
+def quantiles_of_runs(
+    runs: DataFrame, probs: Sequence[float], keys: Sequence[str] = ("series",), extra: Sequence[Column] = ()
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, one array ``q`` per key, and any ``extra``
+    aggregates of the runs. The runs that hold the wanted ranks are picked in one aggregate."""
     at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("i"), f(a).cast("long").alias("r"))
-        for i, (a, f) in enumerate((a, f) for a in at for f in (F.floor, F.ceil))
-    ])
-    hit = runs.withColumn(
-        "_w",
-        F.filter(wanted, lambda w: (w.r >= F.col("below")) & (w.r < F.col("below") + F.col("cnt"))),
-    ).filter(F.size("_w") > 0)
-    picked = hit.select(*keys, "n", "value", F.explode("_w").alias("w")).groupBy(*keys, "n").agg(
-        *[F.max(F.when(F.col("w.i") == i, F.col("value"))).alias(f"_v{i}") for i in range(2 * len(probs))]
+    below, value = F.col("below"), F.col("value")
+
+    def held(rank: Column) -> Column:
+        return F.max(F.when((rank >= below) & (rank < below + F.col("cnt")), value))
+
+    picked = runs.groupBy(*keys, "n").agg(
+        *[held(f(a)).alias(f"_v{i}{s}") for i, a in enumerate(at) for s, f in (("a", F.floor), ("z", F.ceil))],
+        *extra,
     )
+    given = [c for c in picked.columns if c not in (*keys, "n") and not c.startswith("_v")]
     return picked.select(
         *keys,
         "n",
+        *given,
         F.array(*[
-            F.col(f"_v{2 * i}") + (F.col(f"_v{2 * i + 1}") - F.col(f"_v{2 * i}")) * (a - F.floor(a))
+            F.col(f"_v{i}a") + (F.col(f"_v{i}z") - F.col(f"_v{i}a")) * (a - F.floor(a))
             for i, a in enumerate(at)
         ]).alias("q"),
     )

@@ -83,9 +83,10 @@ def volatility(df: DataFrame) -> DataFrame:
 
 
 def number_series(
-    df: DataFrame, keys=("symbol",), order=("timestamp",), length: str = "day"
+    df: DataFrame, keys=("symbol",), order=("timestamp",), length: str = "hour"
 ) -> DataFrame:
-    """Add the dense position ``idx`` of every row of a time series."""
+    """Add the dense position ``idx`` of every row of a time series; ``length`` is the time block that
+    one task orders (an hour of trades by default, shorter for a denser feed)."""
     blocks = df.withColumn("_block", time_block(order[0], length))
     return positions(blocks, keys, order, "_block").drop("_block")
 

@@ -18,6 +18,8 @@ def local_session(cpus: int | str = 8, app: str = "tidebook") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test data: let AQE keep enough partitions for all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()

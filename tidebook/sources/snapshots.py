@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyarrow.fs import FileSystem
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordering import materialized
 from ..schema import INGESTION_LOG, PAIRS, SNAPSHOT_FILE
 
 LABEL = "Raw LOB"
@@ -44,12 +48,12 @@ def parse_lob(df: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(filename, length)`` of the Parquet files in a folder, read by the file source itself."""
+    """``(filename, path, length)`` of the Parquet files in a folder, read by the file source itself."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true").load(path)
     )
-    return files.select(_relative(F.col("path"), path).alias("filename"), "length")
+    return files.select(_relative(F.col("path"), path).alias("filename"), "path", "length")
 
 
 def _relative(file: Column, folder: str) -> Column:
@@ -78,16 +82,26 @@ def file_counts(files: DataFrame, rows: DataFrame, readable: DataFrame, label: s
     )
 
 
+def _footers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whether each listed file ends as Parquet files do; reads four bytes a file."""
+    for pdf in frames:
+        ok = []
+        for path, length in zip(pdf["path"], pdf["length"]):
+            uri = path if "://" in path else path.replace(":/", ":///", 1)
+            store, name = FileSystem.from_uri(uri)
+            if length < 12:
+                ok.append(False)
+                continue
+            with store.open_input_file(name) as f:
+                f.seek(length - 4)
+                ok.append(f.read(4) == b"PAR1")
+        yield pd.DataFrame({"filename": pdf["filename"], "ok": ok})
+
+
 def bad_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(filename)`` of files that cannot be opened as Parquet: the magic bytes at the end are gone."""
-    tail = F.expr("right(hex(substring(content, greatest(length - 3, 1), 4)), 8)")
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true").load(path)
-    )
-    return files.filter((F.col("length") < 12) | (tail != "50415231")).select(
-        _relative(F.col("path"), path).alias("filename")
-    )
+    """``(filename)`` of files that are cut off or are no Parquet files, checked where the tasks run."""
+    checked = list_files(spark, path).mapInPandas(_footers, "filename string, ok boolean")
+    return checked.filter(~F.col("ok")).select("filename")
 
 
 def ingest(spark: SparkSession, source: str, table: str, log_path: str, label: str = LABEL) -> DataFrame:
@@ -102,9 +116,9 @@ def ingest(spark: SparkSession, source: str, table: str, log_path: str, label: s
     names = good.select("filename")
     every = _reader(spark, source, True).select("*", _relative(F.col("_metadata.file_path"), source).alias("_file"))
     rows = every.dropna().join(names.withColumnRenamed("filename", "_file"), "_file", "left_semi")
-    parsed = parse_lob(rows)
-    append_raw(parsed.drop("_file"), table)
-    entries = file_counts(good, rows, names, label)
+    # Counted first: once the log is written, the same files are no longer pending.
+    entries = materialized(file_counts(good, rows, names, label))
+    append_raw(parse_lob(rows).drop("_file"), table)
     entries.write.mode("append").parquet(log_path)
     return entries
 
