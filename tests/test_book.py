@@ -61,7 +61,7 @@ def test_single_features_agree_with_all_features(spark, books):
             assert r[c] == want[c], (r["name"], c)
 
 
-def reference_bins(p, v, bins):
+def plain_bins(p, v, bins):
     """Plain restatement of the binning rules for one snapshot."""
     half = bins // 2
     p, v = np.asarray(p, float), np.asarray(v, float)
@@ -98,7 +98,7 @@ def test_uniform_bins(spark):
         for r in Z.uniform_bins(df, bins).collect():
             p, v = cases[r.i] if r.i < len(cases) else ([], [])
             n = min(len(p), len(v))
-            neg, pos = reference_bins(p[:n], v[:n], bins)
+            neg, pos = plain_bins(p[:n], v[:n], bins)
             assert np.allclose(r.neg_bins, neg) and np.allclose(r.pos_bins, pos), (bins, r.i)
             assert sum(r.neg_bins) + sum(r.pos_bins) <= sum(x for x in v if x == x) + 1e-9
 

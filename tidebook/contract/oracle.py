@@ -259,7 +259,7 @@ c AS (SELECT feature, 'identity' AS candidate, NULL::DOUBLE AS off, x AS y FROM
                   ln(x + CASE WHEN lo > 0 THEN 0 ELSE abs(lo) + 1.0 END) FROM l2 JOIN o USING (feature) WHERE lo >= -1e6
  UNION ALL SELECT feature, 'sqrt', CASE WHEN lo >= 0 THEN 0 ELSE abs(lo) + 0.1 END,
                   sqrt(x + CASE WHEN lo >= 0 THEN 0 ELSE abs(lo) + 0.1 END) FROM l2 JOIN o USING (feature) WHERE lo >= -1e6)
-SELECT feature, candidate, count(*) AS n, {r('max(off)')} AS "offset", {r('avg(y)')} AS mean, {r('max(y)')} AS max
+SELECT feature, candidate, count(*) AS n, {r('max(off)', 9)} AS "offset", {r('avg(y)', 9)} AS mean, {r('max(y)', 9)} AS max
 FROM c GROUP BY feature, candidate"""
 GRID = "gr AS (SELECT unnest([" + ", ".join(f"{g}::DOUBLE" for g in LAMBDA_GRID) + "]) AS lam)"
 BOXCOX = "CASE WHEN lam = 0 THEN ln(value) ELSE (pow(value, lam) - 1) / lam END"

@@ -471,7 +471,7 @@ def _(spark, sf):
     return out(cand.groupBy("feature", "candidate").agg(
         F.count(F.lit(1)).alias("n"), F.max("offset").alias("offset"), F.avg("value").alias("mean"),
         F.max("value").alias("max"),
-    ))
+    ), digits=9)
 
 
 @query("t4_lambda_profile")
