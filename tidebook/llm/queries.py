@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import ann, mixing, near_dedup, topk
 from .substring_dedup import remove_repeats
 from .words import table
 
@@ -29,9 +30,9 @@ WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
 p AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13),
 v AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM p),
 f AS (SELECT win, min(doc_id) AS least FROM v GROUP BY win),
-g AS (SELECT DISTINCT doc_id, i + j AS at
+g AS (SELECT DISTINCT doc_id, i + j AS pos
       FROM v JOIN f USING (win), (SELECT unnest(generate_series(0, 12)) AS j) WHERE doc_id > least),
-a AS (SELECT doc_id, list(at) AS gone FROM g GROUP BY doc_id),
+a AS (SELECT doc_id, list(pos) AS gone FROM g GROUP BY doc_id),
 k AS (SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
              CASE WHEN gone IS NULL THEN w
                   ELSE list_transform(list_filter(generate_series(1, len(w)), lambda x: NOT list_contains(gone, x)),
@@ -39,3 +40,62 @@ k AS (SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
       FROM d LEFT JOIN a USING (doc_id))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
        sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k"""
+
+
+@query
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_near_dedup"] = r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+r AS (SELECT a AS node, b AS reach FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reach),
+c AS (SELECT node, min(reach) AS least FROM r GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(least, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(least, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = d.doc_id"""
+
+
+@query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("id % 50 = 0"), 5)
+
+
+SOUND = """vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+ORACLE["op7_exact_topk"] = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE {SOUND}),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.v, v.v) AS BIGINT) AS score
+      FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@query
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = ann.sound_vectors(table(spark, sf_dir, "embeddings"))
+    return ann.nearest(vectors, vectors.filter("id % 20 = 0"), 20)
+
+
+ORACLE["op9_nearest"] = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+           WHERE {SOUND} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.v, v.v) AS score
+      FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
