@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, mixing, near_dedup, topk
+from . import ann, license_scan, mixing, near_dedup, topk
 from .substring_dedup import remove_repeats
 from .words import table
 
@@ -99,3 +99,33 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.v, v.v) AS sco
       FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_license_scan"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '{license_scan.WORD}') AS w FROM documents),
+t(template, label, base, pairs, off, w1, w2) AS (VALUES {license_scan.values_sql()}),
+p AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 1)) AS i FROM d WHERE len(w) > 1),
+h AS (SELECT doc_id, template, label, base, pairs, off, i - 1 AS i
+      FROM (SELECT doc_id, i, w[i] AS w1, w[i + 1] AS w2 FROM p) JOIN t USING (w1, w2)),
+v AS (SELECT doc_id, template, label, base, pairs, i - off AS diagonal, bit_or(1::BIGINT << off) AS bits,
+             min(i) AS low, max(i) AS high FROM h GROUP BY ALL),
+f AS (SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER a <= {license_scan.GAP} IS NOT TRUE THEN 1 ELSE 0 END AS fresh
+      FROM v WINDOW a AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM f),
+m AS (SELECT doc_id, template, label, base, pairs, span, bit_count(bit_or(bits)) AS n, min(low) AS start, max(high) + 1 AS stop
+      FROM g GROUP BY ALL),
+k AS (SELECT *, n / pairs::DOUBLE AS share FROM m WHERE CASE WHEN base THEN n = pairs
+      ELSE n / pairs::DOUBLE >= {license_scan.SHARE} AND stop - start <= 1.5 * (pairs + 1) END),
+s AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM k GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN s USING (doc_id)"""
