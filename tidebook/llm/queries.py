@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann, license_scan, mixing, near_dedup, topk
+from . import ann, language_id, license_scan, mixing, near_dedup, topk
 from .substring_dedup import remove_repeats
 from .words import table
 
@@ -129,3 +130,12 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
 FROM d LEFT JOIN s USING (doc_id)"""
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language_id.crc_part(4) == 2, F.lit(False))
+    model = language_id.fit(docs.filter(~held_out))
+    out = language_id.identify(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
