@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language_id, license_scan, mixing, near_dedup, topk
+from . import ann, language_id, license_scan, mixing, near_dedup, quality, topk
 from .substring_dedup import remove_repeats
 from .words import table
 
@@ -139,3 +139,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.filter(~held_out))
     out = language_id.identify(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
     return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(language_id.crc_part(5) == 0, F.lit(False))
+    model = quality.fit(docs, labels, ~held_out)
+    out = quality.score(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
