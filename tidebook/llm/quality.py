@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .language_id import Grams
+from .sampling import labelled_sample
 from .words import Hasher, slices, text_bytes, word_spans
 
 DIM, SOURCES, LANGS = 256, 32, 16
@@ -166,20 +167,10 @@ def _fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, seed: int = SEED) -> Model | None:
     """A model from ``docs`` and ``labels(doc_id, quality)``. Rows outside ``train`` teach nothing, not even unlabelled."""
-    rows = docs.select("doc_id", *INPUTS) if train is None else docs.filter(train).select("doc_id", *INPUTS)
-    known = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("label"))
-    rank = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)).alias("rank")
-    # Drawn by hash before any text is moved: counts first, then a little more than each bound.
-    marked = rows.select("doc_id").join(known, "doc_id", "left").select("doc_id", "label", rank)
-    sizes = {r.label: r.n for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    shares = {x: (1.2 * (POOL if x is None else LABELLED) + 50) / n * (1 << 30) for x, n in sizes.items()}
-    limit = F.lit(0.0)
-    for x, top in shares.items():
-        limit = F.when(F.col("label").isNull() if x is None else F.col("label") == x, F.lit(top)).otherwise(limit)
-    drawn = marked.filter(F.col("rank") <= limit)
-    # Rank bounds hold for documents of any label, so the scan itself drops nearly all texts.
-    near = rows.filter(rank <= F.lit(max(shares.values(), default=0.0)))
-    found = near.join(drawn, "doc_id").groupBy(F.lit(1).alias("all")).applyInPandas(_fit, "part int, values array<double>").collect()
+    rows = docs if train is None else docs.filter(train)
+    known = labels.filter("quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("label"))
+    drawn = labelled_sample(rows, known, INPUTS, {0: LABELLED, 1: LABELLED, None: POOL}, seed)
+    found = drawn.groupBy(F.lit(1).alias("all")).applyInPandas(_fit, "part int, values array<double>").collect()
     if not found:
         return None
     values = [np.array(r["values"]) for r in sorted(found, key=lambda r: r["part"])]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language_id, license_scan, mixing, near_dedup, quality, topk
+from . import ann, language_id, license_scan, mixing, near_dedup, quality, topk, toxicity
 from .substring_dedup import remove_repeats
 from .words import table
 
@@ -148,3 +148,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, labels, ~held_out)
     out = quality.score(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(language_id.crc_part(3) == 1, F.lit(False))
+    model = toxicity.fit(docs, labels, ~held_out)
+    out = toxicity.score(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
+    return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
