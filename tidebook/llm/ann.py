@@ -5,7 +5,7 @@ Vectors and queries are dealt in blocks of bounded size; each pair of blocks is
 ``|q error| |v| + |q int8| |v error|`` (norms of the actual errors, not worst cases). Pairs whose upper end is below the
 k-th best lower end of their query in the tile cannot be among its k nearest and are dropped; the others are computed
 again in double precision from the original components, and a heap per query keeps the k best. The tiles' short lists
-are merged per query by rank. The bounds hold for any data, so the result is exact (recall 1).
+are merged per query. The bounds hold for any data, so the result is exact (recall 1).
 
 The int8 tiles are multiplied as float32 matrices: every sum of up to 1,000 products stays below 2^24 and so is exact
 (longer vectors use float64). The queries are a stated set against all rows, in blocks.
@@ -20,12 +20,13 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .words import saved
 
-BLOCK_ROWS, CHUNK = 2048, 256
+#: Rows of a block: a sixteenth of all, within these bounds; and queries of a chunk.
+BLOCK_ROWS, CHUNK = (2048, 32_768), 256
 
 
 def sound_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -94,7 +95,10 @@ def _tiles(k: int):
             rows = tile_nearest(
                 queries["id"].to_numpy(np.int64), _matrix(list(queries["v"]), dim),
                 block["id"].to_numpy(np.int64), _matrix(list(block["v"]), dim), k)
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        lists: dict[int, list[dict]] = {}
+        for query, vec, score in rows:
+            lists.setdefault(query, []).append({"loss": -score, "vec_id": vec})
+        return pd.DataFrame({"query_id": np.array(list(lists), np.int64), "best": list(lists.values())})
 
     return run
 
@@ -102,18 +106,19 @@ def _tiles(k: int):
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score`` for queries ``(id, v)`` on vectors ``(id, v)``."""
     n, m = vectors.count(), queries.count()
-    blocks, chunks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-m // CHUNK))
+    rows = min(max(-(-n // 16), BLOCK_ROWS[0]), BLOCK_ROWS[1])
+    blocks, chunks = max(1, -(-n // rows)), max(1, -(-m // CHUNK))
     block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block")
     chunk = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(chunks)).cast("int").alias("chunk")
     left = queries.select("id", "v", chunk, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     right = vectors.select("id", "v", block, F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
     right = right.select("block", "chunk", "id", "v").toDF("b", "c", "id", "v")
+    best = "array<struct<loss: double, vec_id: long>>"
     lists = saved(
-        left.groupBy("block", "chunk").cogroup(right.groupBy("b", "c")).applyInPandas(_tiles(k), "query_id long, vec_id long, score double"),
+        left.groupBy("block", "chunk").cogroup(right.groupBy("b", "c")).applyInPandas(_tiles(k), f"query_id long, best {best}"),
         "tiles",
     )
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        lists.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    # One short sorted list per query and block; the loss is the negative score, so lists sort by score, then id.
+    merged = lists.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
+    return merged.select("query_id", F.posexplode("best").alias("place", "hit")).select(
+        "query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.loss")).alias("score"))
