@@ -6,7 +6,7 @@ how many of its windows reach each threshold difference, against its length; a l
 rows that built no dictionary, turns that into the probability of label 1.
 
 Training (bounded samples, at most ``SAMPLE`` rows of each label by hash, in one task):
-* the toxic dictionary holds the words that are most over-represented in toxic documents;
+* the toxic dictionary holds the words and word beginnings that are most over-represented in toxic documents;
 * the ordinary dictionary holds frequent words of ordinary documents, and then those of their words that the toxic
   dictionary would still explain better (``ROUNDS`` of hard cases), so that shared word parts cancel out.
 
@@ -34,7 +34,9 @@ from .words import Hasher, slices, text_bytes, word_spans
 
 SAMPLE, TOXIC_WORDS, ORDINARY_WORDS, HARD_WORDS, ROUNDS, SEED = 5000, 80, 100, 150, 4, 1
 THRESHOLDS = (3, 4, 5, 6)
-LEAST_DOCS, CACHE = 8, 1_000_000
+#: Lengths of word beginnings that compete with whole words for a place in the toxic dictionary.
+STEMS = (4, 5, 6, 7)
+TOXIC_STEMS, LEAST_DOCS, CACHE = 8, 8, 1_000_000
 #: Ends every window, as matches are not looked for in the last bytes of a block.
 TAIL = b"the of and to"
 
@@ -127,24 +129,35 @@ def train(texts: list[str], labels: np.ndarray) -> Model | None:
         return None
     sets = _document_words(texts)
     # Near copies would repeat the words of one text: documents that share most words with an earlier one are left out.
-    counts, sizes, seen = (Counter(), Counter()), [0, 0], (set(), set())
+    counts, sizes, seen, own_words = (Counter(), Counter()), [0, 0], (set(), set()), (set(), set())
     for words, y in ((sets[i], int(labels[i])) for i in np.flatnonzero(build)):
         long = sorted(w for w in words if len(w) > 8)[:40:8]
         if long and sum(w in seen[y] for w in long) * 2 > len(long) and y:
             continue
         seen[y].update(long)
-        counts[y].update(words)
+        counts[y].update(words | {w[:k] for w in words for k in STEMS if len(w) > k})
         sizes[y] += 1
+        own_words[y].update(words)
     toxic, ordinary = counts[1], counts[0]
+    ordinary_words, toxic_words = own_words
 
     def contrast(w: bytes, n: int) -> float:
         return np.log((n / sizes[1]) / ((ordinary[w] + 0.5) / sizes[0])) * np.sqrt(n)
 
-    telling = sorted(((contrast(w, n), w) for w, n in toxic.items() if n >= LEAST_DOCS and len(w) >= 4), reverse=True)
-    telling = [w for c, w in telling[:TOXIC_WORDS] if c > 0]
-    common = [w for w, _ in sorted(ordinary.items(), key=lambda x: (-x[1], x[0]))[:ORDINARY_WORDS]]
+    ranked = sorted(((contrast(w, n), w) for w, n in toxic.items() if n >= LEAST_DOCS and len(w) >= 4), reverse=True)
+    ranked = [w for c, w in ranked if c > 0]
+    telling = [w for w in ranked if w in toxic_words][:TOXIC_WORDS]
+    # Beginnings that no single word accounts for stand for their rarer words.
+    stems: list[bytes] = []
+    for w in ranked:
+        if len(stems) < TOXIC_STEMS and w not in toxic_words and not any(
+                x.startswith(w) and toxic[x] >= 0.7 * toxic[w] for x in telling + stems) and not any(w.startswith(x) for x in stems):
+            stems.append(w)
+    telling = stems + telling
+    whole = Counter({w: n for w, n in ordinary.items() if w in ordinary_words})
+    common = [w for w, _ in sorted(whole.items(), key=lambda x: (-x[1], x[0]))[:ORDINARY_WORDS]]
     hard: list[bytes] = []
-    rest = [w for w in ordinary if w not in set(telling)]
+    rest = [w for w in whole if w not in set(telling)]
     for _ in range(ROUNDS):
         judge = Contrast(dictionary(telling + common), dictionary(hard + common))
         worst = [(judge.of(w), ordinary[w], w) for w in rest]
