@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language_id, license_scan, mixing, near_dedup, quality, topk, toxicity
+from . import ann, language_id, license_scan, mixing, near_dedup, quality, sentencepiece_sampling, topk, toxicity
 from .substring_dedup import remove_repeats
 from .words import table
 
@@ -157,3 +157,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, labels, ~held_out)
     out = toxicity.score(docs.withColumn("held_out", held_out), model, columns=["doc_id", "held_out"])
     return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = sentencepiece_sampling.Vocabulary()
+    docs = table(spark, sf_dir, "documents")
+    pieces = sentencepiece_sampling.encode(docs, vocabulary, columns=["doc_id", "text"])
+    back = sentencepiece_sampling.decode(pieces, vocabulary)
+    return back.select(
+        "doc_id", "n_pieces", F.xxhash64("pieces").alias("pieces_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
