@@ -10,6 +10,8 @@ sorted and compared word by word, which decides exactly which of them start in a
   windows are dealt by their own words instead, with the least document found by a map-side
   aggregate and the way back salted. Nothing is dropped, whatever repeats.
 * The classes' counts are bounded by ``classes`` numbers; only these reach the driver.
+* Only documents that may lose words meet their ranges in a shuffle; a bounded table of hashed document numbers lets
+  the others pass where they are.
 
 Defined results: a null text has no words. A null ``doc_id`` counts as larger than all others, and
 rows with equal ``doc_id`` are not earlier than each other. A text below ``k`` words loses nothing.
@@ -32,10 +34,11 @@ from pyspark.sql import types as T
 from .words import Hasher, free_name, gram_hashes, joined_words, mix, saved, slices, text_bytes, word_spans
 
 LAST = (1 << 63) - 1
-FLUSH_BYTES = 24 << 20
+SPOTS = 1 << 20
+FLUSH_BYTES, LEVEL = 24 << 20, 3
 SALTS = 32
-#: Super-k-mers of a bucket and of a class, about.
-BUCKET, CLASS = 60_000, 512
+#: Super-k-mers of a bucket and of a class, about, and of a class at which it is hot.
+BUCKET, CLASS, HOT = 60_000, 4096, 65_536
 
 
 def _key() -> tuple[Column, Column]:
@@ -96,7 +99,7 @@ def _packs(k: int, m: int, classes: int, buckets: int, hot: np.ndarray):
     """Super-k-mers of all classes that are not hot, packed per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, packer = Hasher(), zstandard.ZstdCompressor(level=1)
+        hasher, packer = Hasher(), zstandard.ZstdCompressor(level=LEVEL)
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
@@ -247,22 +250,22 @@ def _hot_ranges(rows: DataFrame, k: int, m: int, classes: int, hot: np.ndarray)
     )
 
 
-def repeated_ranges(docs: DataFrame, k: int = 13, m: int = 3, hot_share: float = 0.001) -> DataFrame:
+def repeated_ranges(docs: DataFrame, k: int = 13, m: int = 2, hot_from: int = HOT) -> DataFrame:
     """``doc, mark, ranges`` of all documents that lose words; ranges count words from 0, end excluded.
 
-    A class of minimisers is hot above ``hot_share`` of all super-k-mers or 64 times the mean,
-    whichever is less (but not below 2,000).
+    A class of minimisers is hot above ``hot_from`` super-k-mers or eight times the mean class, whichever is more;
+    all others together with their bucket fit easily into a task.
     """
     doc, mark = _key()
     rows = docs.select(doc.alias("doc"), mark.alias("mark"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = size // 40 + 1
-    classes = 1 << min(24, max(12, int(expected // CLASS).bit_length()))
+    classes = 1 << min(24, max(10, int(expected // CLASS).bit_length()))
     counts = np.zeros(classes, np.int64)
     for kind, n in rows.select("text").mapInArrow(_count_classes(k, m, classes), "class long, n long").groupBy("class").agg(F.sum("n")).collect():
         counts[kind] = n
     total = int(counts.sum())
-    hot = counts > max(2000, min(hot_share * total, 64 * total / classes))
+    hot = counts > max(hot_from, 8 * total / classes)
     buckets = min(classes, max(256, total // BUCKET))
     packs = rows.mapInArrow(_packs(k, m, classes, buckets, hot), "bucket long, pack binary")
     ranges = packs.groupBy("bucket").applyInPandas(_settle(k), RANGES)
@@ -302,14 +305,22 @@ def _without(names: list[str], ranges: str):
     return run
 
 
-def remove_repeats(docs: DataFrame, k: int = 13, m: int = 3, columns: list[str] | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, k: int = 13, m: int = 2, columns: list[str] | None = None, hot_from: int = HOT
+) -> DataFrame:
     """All rows with ``n_words``, ``n_removed``, ``kept_text`` (the words left, joined by one space) and
     its ``kept_sha256``. ``columns``: which columns of ``docs`` to keep (default: all)."""
     added = T.StructType.fromDDL("n_words long, n_removed long, kept_text string, kept_sha256 string")
     names = [c for c in (columns or docs.columns) if c not in added.names]
     need = list(dict.fromkeys([*names, "doc_id", "text"]))
     own = [free_name(c, docs.columns) for c in ("doc", "mark", "ranges")]
-    ranges = repeated_ranges(docs, k, m).toDF(*own)
-    keyed = docs.select(*need, *[c.alias(n) for c, n in zip(_key(), own)])
+    ranges = saved(repeated_ranges(docs, k, m, hot_from).toDF(*own), "ranges")
+    spot = F.pmod(F.xxhash64(*own[:2]), F.lit(SPOTS)).alias(free_name("spot", [*docs.columns, *own]))
+    # At most SPOTS rows, so safe to broadcast; documents without a hit there need not be moved.
+    spots = F.broadcast(ranges.select(spot).distinct())
+    keyed = docs.select(*need, *[c.alias(n) for c, n in zip(_key(), own)]).select("*", spot)
+    met = spots.columns
     schema = T.StructType([*(docs.schema[c] for c in names), *added.fields])
-    return keyed.join(ranges, own[:2], "left").select(*need, own[2]).mapInArrow(_without(names, own[2]), schema)
+    moved = keyed.join(spots, met, "left_semi").join(ranges, own[:2], "left").select(*need, own[2])
+    clean = keyed.join(spots, met, "left_anti").select(*need, F.lit(None).cast(ranges.schema[own[2]].dataType).alias(own[2]))
+    return moved.unionByName(clean).mapInArrow(_without(names, own[2]), schema)

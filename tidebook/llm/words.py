@@ -110,10 +110,19 @@ class Hasher:
                 setattr(self, name, np.concatenate([have, have * np.uint64(pow(b, k, 1 << 64))]))
 
     def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._powers(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.codes[data] * self.up[: len(data)], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * self.down[starts])
+        """Hashes of spans in rising order; about ``SLICE_BYTES`` are worked on at once."""
+        out, i = np.zeros(len(starts), np.uint64), 0
+        while i < len(starts):
+            base = int(starts[i])
+            j = max(i + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+            own = data[base : int(ends[j - 1])]
+            self._powers(len(own) + 1)
+            sums = np.zeros(len(own) + 1, np.uint64)
+            np.cumsum(self.codes[own] * self.up[: len(own)], out=sums[1:])
+            a, b = starts[i:j] - base, ends[i:j] - base
+            out[i:j] = mix((sums[b] - sums[a]) * self.down[a])
+            i = j
+        return out
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
