@@ -32,7 +32,6 @@ from .words import free_name, saved
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SLACK = 1 << 15
-BLOCKS = 4096
 
 
 def word_count(text: Column | str) -> Column:
@@ -145,7 +144,7 @@ def mix_sources(
         "plan",
     )
     ranked = slim.join(plan.filter("extra > 0"), ["key", "size"]).select(
-        "*", F.pmod(F.shiftright("place.h", 20), F.lit(BLOCKS)).alias("block"))
+        "*", F.shiftright("place.h", 52).alias("block"))  # blocks rise with the order
     last = positions(ranked, ["key", "size"], ["place"], "block", "idx").filter("idx = extra - 1")
     choice = small_side(
         plan.join(last.select("key", "size", F.col("place").alias(bound)), ["key", "size"], "left")
