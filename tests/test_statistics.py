@@ -1,13 +1,17 @@
 """Regression and normality tests against direct numpy restatements and published values."""
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 import pytest
 
-from tidebook.functions import tails
+from pyspark.sql import functions as F
+
+from tidebook.functions import normal, tails
 from tidebook.operators import densities as P
+from tidebook.operators import fitting as T
 from tidebook.operators import moments as S
 from tidebook.operators import normality as N
 from tidebook.operators import regression as G
@@ -145,21 +149,74 @@ def test_published_moment_identities(spark):
     assert r.k2_stat == pytest.approx(114.26711101557754, rel=1e-9)
 
 
-def test_shapiro_known_values():
-    # Weights of men, a published textbook sample.
-    x = np.array([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236], dtype=float)
-    w, p = N.shapiro_w(x)
-    assert w == pytest.approx(0.79, abs=0.005) and p == pytest.approx(0.0067, abs=0.0006)
-    rng = np.random.default_rng(0)
-    ps = [N.shapiro_w(rng.normal(size=200))[1] for _ in range(200)]
-    assert 0.01 < np.mean(np.array(ps) < 0.05) < 0.11
+def plain_shapiro(x):
+    """W by Royston's weights, one value at a time."""
+    x, n = np.sort(x), len(x)
+    m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    mm, root = m @ m, n**-0.5
+    last = sum(c * root**i for i, c in enumerate(N.LAST_WEIGHT)) + m[-1] / mm**0.5
+    second = sum(c * root**i for i, c in enumerate(N.NEXT_WEIGHT)) + m[-2] / mm**0.5
+    a = m / ((mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)) ** 0.5
+    a[[0, 1, -2, -1]] = -last, -second, second, last
+    return (a @ x) ** 2 / ((x - x.mean()) ** 2).sum()
+
 
+def frame(spark, groups):
+    parts = [pd.DataFrame({"series": k, "idx": np.arange(len(v)), "value": v}) for k, v in groups.items()]
+    return spark.createDataFrame(pd.concat(parts)).repartition(4)
 
-def test_shapiro_sampling_and_skip(long):
-    got = by_series(N.shapiro(long, max_n=500, over="sample"))
-    assert got["heavy"].shapiro_p < 0.01 and got["flat"].shapiro_p is None
-    skipped = by_series(N.shapiro(long, max_n=500, over="skip"))
-    assert skipped["heavy"].shapiro_p is None and skipped["short"].shapiro_p is not None
+
+def test_shapiro_known_values(spark):
+    # Weights of men, a published textbook sample.
+    men = np.array([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236], dtype=float)
+    rng = np.random.default_rng(0)
+    groups = {f"n{i}": rng.normal(size=200) for i in range(200)} | {"men": men, "three": np.array([1.0, 2.0, 4.0]), "flat": np.ones(9), "two": np.arange(2.0)}
+    got = by_series(N.shapiro(frame(spark, groups)))
+    assert got["men"].shapiro_stat == pytest.approx(0.79, abs=0.005) and got["men"].shapiro_p == pytest.approx(0.0067, abs=0.0006)
+    assert got["three"].shapiro_stat == pytest.approx(0.9643, abs=1e-4) and got["three"].shapiro_p == pytest.approx(0.637, abs=1e-3)
+    assert got["flat"].shapiro_stat is None and got["two"].shapiro_p is None
+    ps = np.array([got[f"n{i}"].shapiro_p for i in range(200)])
+    assert 0.01 < np.mean(ps < 0.05) < 0.11
+
+
+def test_shapiro_uses_all_rows(spark):
+    rng = np.random.default_rng(4)
+    few = rng.integers(0, 11, 60_000) / 10.0  # eleven values only
+    got = by_series(N.shapiro(frame(spark, {"few": few, "long": rng.normal(size=20_000)})))
+    for name, x in (("few", few), ("long", None)):
+        if x is not None:
+            assert got[name].n == 60_000 and got[name].shapiro_stat == pytest.approx(plain_shapiro(x), abs=1e-9)
+    assert got["few"].shapiro_p < 1e-6 and got["long"].shapiro_p > 1e-3
+
+
+def test_normal_functions(spark):
+    ps = [1e-300, 1e-20, 1e-6, 0.01, 0.074, 0.075, 0.3, 0.5, 0.8, 0.925, 0.999999, 0.0, 1.0]
+    zs = [-60.0, -36.0, -34.0, -8.0, -7.07, -1.0, 0.0, 0.5, 4.9, 5.1, 7.2, 30.0]
+    q = normal.with_quantile(spark.createDataFrame([(p,) for p in ps], "p double"), "p", "q").collect()
+    assert all(r.q == pytest.approx(NormalDist().inv_cdf(r.p), rel=1e-12, abs=1e-12) if 0 < r.p < 1 else r.q is None for r in q)
+    t = spark.createDataFrame([(z,) for z in zs], "z double").select("z", normal.tail(F.col("z")).alias("t"), normal.log_cdf(F.col("z")).alias("l")).collect()
+    for r in t:
+        assert r.t == pytest.approx(0.5 * math.erfc(r.z / math.sqrt(2)), rel=1e-7, abs=1e-300)
+        want = math.log(0.5 * math.erfc(-r.z / math.sqrt(2))) if -35 < r.z < 5 else (math.log1p(-0.5 * math.erfc(r.z / math.sqrt(2))) if r.z > 0 else None)
+        assert want is None or r.l == pytest.approx(want, rel=1e-8)
+        assert r.l < 0
+
+
+@pytest.mark.parametrize("scale", [1e-4, 1.0, 1e6])
+def test_lambda_is_not_bounded(spark, scale):
+    """Against a dense search in numpy, also where the best lambda is in the thousands."""
+    x = np.exp(np.random.default_rng(3).normal(size=3000)) * scale
+    got = T.fit_lambda(spark.createDataFrame([("f", float(v)) for v in x], "feature string, value double"), "yeo-johnson").first()
+    logs = np.log1p(x)
+
+    def llf(lam):
+        y = np.expm1(lam * logs) / lam if lam else logs
+        return -len(x) / 2 * np.log(y.var()) + (lam - 1) * logs.sum()
+
+    lam = got["lambda"]
+    near = [lam * (1 + d) for d in np.linspace(-0.5, 0.5, 201)]
+    assert llf(lam) >= max(map(llf, near)) - 1e-4 * abs(llf(lam)) * 1e-3
+    assert (abs(lam) > 1000) == (scale == 1e-4)
 
 
 def test_anderson(long, data):

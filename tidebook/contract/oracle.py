@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from ..functions.normal import log_cdf_sql, quantile_sql, tail_sql
 from ..operators.fitting import LAMBDA_GRID
+from ..operators.normality import LARGE_MEAN, LARGE_SD, LAST_WEIGHT, NEXT_WEIGHT
 from .fixtures import BANDS, FWD, LINE_FEATURES, PAST, STRIDES
 
 ORACLE: dict[str, str] = {}
@@ -568,7 +570,43 @@ ORACLE["s29_model_ranking"] = (
     f"WITH {SERIES}, {NORMAL} SELECT series, 'Normal' AS model, n, 2::BIGINT AS k, {r('loglik')} AS loglik, {r('4 - 2 * loglik')} AS aic, "
     f"{r('ln(n) * 2 - 2 * loglik')} AS bic FROM nf WHERE n >= 50"
 )
+_QQ = "CASE WHEN i = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n) WHEN i = 1 THEN 1 - pow(0.5::DOUBLE, 1.0::DOUBLE / n) ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END"
+ORDERED = """o AS (SELECT {k}, value, row_number() OVER (PARTITION BY {k} ORDER BY value) AS i, count(*) OVER (PARTITION BY {k}) AS n FROM {t})"""
 ORACLE["s30_qq_points"] = f"""
-WITH {SERIES}, o AS (SELECT series, value, row_number() OVER (PARTITION BY series ORDER BY value) AS i, count(*) OVER (PARTITION BY series) AS n FROM se)
-SELECT series, n, i - 1 AS place, {r('CASE WHEN i = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n) WHEN i = 1 THEN 1 - pow(0.5::DOUBLE, 1.0::DOUBLE / n) ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END', 9)} AS position,
-       {r('value', 9)} AS ordered FROM o"""
+WITH {SERIES}, {ORDERED.format(k='series', t='se')}, q AS (SELECT *, {_QQ} AS position FROM o)
+SELECT series, n, i - 1 AS place, {r('position', 9)} AS position, {r(quantile_sql('position'), 9)} AS theoretical, {r('value', 9)} AS ordered FROM q"""
+
+
+def _powers(coef, x: str) -> str:
+    return " + ".join(f"({c!r}::DOUBLE) * pow({x}, {i})" for i, c in enumerate(coef))
+
+
+def shapiro_ctes(k: str, t: str) -> str:
+    """W and p of every group ``k`` of table ``t``, for groups of at least 12 rows."""
+    return f"""{ORDERED.format(k=k, t=t)}, op AS (SELECT *, (i - 0.375::DOUBLE) / (n + 0.25::DOUBLE) AS p FROM o),
+om AS (SELECT *, {quantile_sql('p')} AS m FROM op),
+w0 AS (SELECT {k}, n, sum(m * m) AS mm, sum(m * value) FILTER (i > 2 AND i < n - 1) AS mx, var_pop(value) * n AS ss,
+       max(value) FILTER (i = 1) AS x1, max(value) FILTER (i = 2) AS x2, max(value) FILTER (i = n - 1) AS y2, max(value) FILTER (i = n) AS y1,
+       max(m) FILTER (i = n) AS m1, max(m) FILTER (i = n - 1) AS m2 FROM om GROUP BY {k}, n),
+w1 AS (SELECT *, {_powers(LAST_WEIGHT, '(1 / sqrt(n))')} + m1 / sqrt(mm) AS a1, {_powers(NEXT_WEIGHT, '(1 / sqrt(n))')} + m2 / sqrt(mm) AS a2 FROM w0),
+w2 AS (SELECT {k}, n, least(1, pow(a1 * (y1 - x1) + a2 * (y2 - x2) + mx / sqrt((mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)), 2) / ss) AS w FROM w1),
+w3 AS (SELECT *, (ln(1 - w) - ({_powers(LARGE_MEAN, 'ln(n)')})) / exp({_powers(LARGE_SD, 'ln(n)')}) AS z FROM w2),
+sw AS (SELECT {k}, n, w, {tail_sql('z')} AS p FROM w3)"""
+
+
+ORACLE["s2_shapiro"] = f"WITH {SERIES}, {shapiro_ctes('series', 'se')} SELECT series, n, {r('w')} AS shapiro_stat, {r('p')} AS shapiro_p FROM sw"
+ORACLE["t5_normality_score"] = f"""
+WITH {LINE}, {shapiro_ctes('feature', 'll')},
+m0 AS (SELECT feature, avg(value) AS mu FROM ll GROUP BY feature),
+m1 AS (SELECT feature, any_value(mu) AS mean, avg(pow(value - mu, 2)) AS v, avg(pow(value - mu, 3)) AS c, avg(pow(value - mu, 4)) AS d
+       FROM ll JOIN m0 USING (feature) GROUP BY feature),
+m2 AS (SELECT *, c / pow(v, 1.5::DOUBLE) AS skewness, d / (v * v) - 3 AS excess FROM m1)
+SELECT feature, n, {r('mean', 7)} AS mean, {r('sqrt(v)', 7)} AS std, {r('skewness', 7)} AS skewness, {r('excess', 7)} AS excess_kurtosis,
+       {r('p', 7)} AS shapiro_pvalue, {r('p - 0.1 * abs(skewness) - 0.05 * abs(excess)', 7)} AS score FROM m2 JOIN sw USING (feature)"""
+_CRIT = "1.0::DOUBLE + 4.0 / n - 25.0 / n / n"
+ORACLE["s5_anderson_normal"] = f"""
+WITH {SERIES}, {ORDERED.format(k='series', t='se')}, f AS (SELECT series, avg(value) AS mu, stddev_samp(value) AS sd FROM se GROUP BY series),
+z AS (SELECT series, n, i, (value - mu) / sd AS z, -(value - mu) / sd AS y FROM o JOIN f USING (series) WHERE sd > 0),
+a AS (SELECT series, n, -n - sum((2 * i - 1) * {log_cdf_sql('z')} + (2 * (n - i) + 1) * {log_cdf_sql('y')}) / n AS a2 FROM z GROUP BY series, n),
+b AS (SELECT *, round(0.787 / ({_CRIT}), 3) AS crit FROM a)
+SELECT series, n, {r('a2')} AS anderson_stat, {r('crit')} AS anderson_crit_5pct, a2 > crit AS anderson_reject_5pct FROM b"""

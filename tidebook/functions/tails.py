@@ -7,7 +7,6 @@ numerical-analysis forms); MacKinnon (1994) response surface; KPSS (1992) critic
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -15,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from . import normal
+
 TINY = 1e-300
 
 
@@ -139,11 +140,6 @@ def _f(x: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _rows(f_tail, x, d1, d2)
 
 
-@F.pandas_udf(DoubleType())
-def _normal(z: pd.Series) -> pd.Series:
-    return _rows(normal_tail, z)
-
-
 @F.pandas_udf(DoubleType())
 def _adf(z: pd.Series) -> pd.Series:
     return _rows(adf_p, z)
@@ -154,25 +150,6 @@ def _kpss(z: pd.Series) -> pd.Series:
     return _rows(kpss_p, z)
 
 
-@F.pandas_udf(DoubleType())
-def _log_cdf(z: pd.Series) -> pd.Series:
-    """ln of the standard normal distribution function, exact far into the left tail."""
-    def one(x: float) -> float:
-        if x > -35:
-            p = 0.5 * math.erfc(-x / math.sqrt(2))
-            return math.log(p) if x < 5 else math.log1p(-0.5 * math.erfc(x / math.sqrt(2)))
-        y = x * x
-        return -y / 2 - math.log(-x) - 0.5 * math.log(2 * math.pi) + math.log1p(-1 / y + 3 / (y * y))
-
-    return pd.Series([one(x) if x == x else None for x in z], dtype="float64")
-
-
-@F.pandas_udf(DoubleType())
-def _quantile(p: pd.Series) -> pd.Series:
-    inv = NormalDist().inv_cdf
-    return pd.Series([inv(x) if 0 < x < 1 else None for x in p], dtype="float64")
-
-
 def chi2_sf(x: Column, df: Column) -> Column:
     return _chi2(x, df.cast("double"))
 
@@ -182,7 +159,7 @@ def f_sf(x: Column, d1: Column, d2: Column) -> Column:
 
 
 def normal_sf(z: Column) -> Column:
-    return _normal(z)
+    return normal.tail(z)
 
 
 def adf_pvalue(z: Column) -> Column:
@@ -191,11 +168,3 @@ def adf_pvalue(z: Column) -> Column:
 
 def kpss_pvalue(z: Column) -> Column:
     return _kpss(z)
-
-
-def normal_log_cdf(z: Column) -> Column:
-    return _log_cdf(z)
-
-
-def normal_quantile(p: Column) -> Column:
-    return _quantile(p)

@@ -18,16 +18,15 @@ def finite_or_null(x: Column) -> Column:
 
 
 def box_cox(x: Column, lam: Column) -> Column:
-    return F.when(lam == 0.0, F.log(x)).otherwise((F.pow(x, lam) - 1.0) / lam)
+    """``(x^lam - 1) / lam``; by ``expm1``, so nothing cancels for values near 1."""
+    return F.when(lam == 0.0, F.log(x)).otherwise(F.expm1(lam * F.log(x)) / lam)
 
 
 def yeo_johnson(x: Column, lam: Column) -> Column:
-    up, down = x + 1.0, 1.0 - x
+    up, down = F.log1p(x), F.log1p(-x)
     gap = F.lit(2.0) - lam
-    return F.when(
-        x >= 0.0,
-        F.when(lam == 0.0, F.log(up)).otherwise((F.pow(up, lam) - 1.0) / lam),
-    ).otherwise(F.when(gap == 0.0, -F.log(down)).otherwise(-(F.pow(down, gap) - 1.0) / gap))
+    return F.when(x >= 0.0, F.when(lam == 0.0, up).otherwise(F.expm1(lam * up) / lam)).otherwise(
+        F.when(gap == 0.0, -down).otherwise(-F.expm1(gap * down) / gap))
 
 
 def apply_named(x: Column, name: Column | str, lam: Column, offset: Column) -> Column:

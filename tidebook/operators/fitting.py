@@ -1,7 +1,6 @@
 """Choice and application of a normalizing transform per feature.
 
-Fitting reads a bounded uniform sample (10,000 rows by default) in long form
-``(feature, value)``; applying is one row-local projection over the whole table.
+Fitting reads all rows given in long form ``(feature, value)``, a few aggregates in all; applying is one row-local projection over the whole table.
 """
 
 from __future__ import annotations
@@ -16,13 +15,14 @@ from pyspark.sql import functions as F
 from ..functions.transforms import apply_named, box_cox, is_finite, yeo_johnson
 from ..schema import FWD_PREFIX, NOT_TRANSFORMED
 from .normality import shapiro
-from .ordering import small_side
+from .ordering import materialized, small_side
 
 # Candidate order decides ties.
 CANDIDATES = ("identity", "asinh", "yeo-johnson", "log", "sqrt", "box-cox")
 LAMBDA_GRID = tuple(round(-2.0 + 0.1 * i, 1) for i in range(41))
 WIDE_GRID = tuple(float(i) for i in range(-10, 11))
 REFINE = (0.1, 0.01, 0.001)  # each grid spans one step of the grid before it, both ways
+WIDEN = 12  # tenfold, so up to 1e13
 MIN_ROWS = 10
 
 
@@ -128,19 +128,41 @@ def best_lambda(profile: DataFrame) -> DataFrame:
 
 
 def fit_lambda(long: DataFrame, family: str, grid: Sequence[float] = WIDE_GRID) -> DataFrame:
-    """Maximum-likelihood lambda per feature to 1e-3: a coarse grid, then finer ones around its best.
+    """Maximum-likelihood lambda per feature to a thousandth (of itself, if larger): a coarse grid, widened tenfold as
+    long as a feature's best value is at its edge, then finer ones around the best.
 
-    The profile has one peak, so 21 values a pass are enough; each pass is one aggregate.
+    The profile has one peak, so 21 values a pass are enough; each pass is one aggregate over all rows.
     """
     if family == "box-cox":
         positive = long.groupBy("feature").agg(F.min("value").alias("_lo")).filter("_lo > 0")
         long = long.join(small_side(positive), "feature").select("feature", "value")
-    best = best_lambda(lambda_profile(long, family, F.array(*[F.lit(float(g)) for g in grid])))
-    for step in REFINE:
-        near = F.transform(F.sequence(F.lit(-10), F.lit(10)), lambda i: F.round(F.col("lambda") + i * step, 3))
-        side = small_side(best.select("feature", near.alias("_grid")))
-        best = best_lambda(lambda_profile(long.join(side, "feature"), family, F.col("_grid")))
-    return best
+    lam, step = F.col("lambda"), F.col("_step")
+    first = F.array(*[F.lit(float(g)) for g in grid])
+    best = materialized(best_lambda(lambda_profile(long, family, first)).withColumn("_step", F.lit(float(grid[1] - grid[0]))))
+    lo, hi = float(grid[0]), float(grid[-1])
+    edge = (lam <= lo) | (lam >= hi)
+
+    def around(best: DataFrame, size: Column) -> DataFrame:
+        near = F.transform(F.sequence(F.lit(-10), F.lit(10)), lambda i: lam + i * size)
+        side = small_side(best.select("feature", near.alias("_grid"), size.alias("_step")))
+        found = best_lambda(lambda_profile(long.join(side.select("feature", "_grid"), "feature"), family, F.col("_grid")))
+        return found.join(side.select("feature", "_step", (F.col("_grid")[0]).alias("_lo"), (F.col("_grid")[20]).alias("_hi")), "feature")
+
+    settled, open_ = best.filter(~edge).select("feature", "lambda", "llf", "_step"), best.filter(edge)
+    for _ in range(WIDEN):
+        if open_.isEmpty():
+            break
+        wider = materialized(around(open_, step * 10))
+        at_edge = (lam <= F.col("_lo")) | (lam >= F.col("_hi"))
+        settled = settled.unionByName(wider.filter(~at_edge).select("feature", "lambda", "llf", "_step"))
+        open_ = wider.filter(at_edge)
+    best = materialized(settled.unionByName(open_.select("feature", "lambda", "llf", "_step")))
+    for _ in REFINE:
+        best = around(best, step / 10).select("feature", "lambda", "llf", "_step")
+    # Steps above a thousandth of lambda remain only where the grid had to be widened.
+    while not best.filter(step > F.greatest(F.lit(0.002), 0.002 * F.abs(lam))).isEmpty():
+        best = materialized(around(best, step / 10).select("feature", "lambda", "llf", "_step"))
+    return best.select("feature", F.when(step <= 0.002, F.round(lam, 3)).otherwise(lam).alias("lambda"), "llf")
 
 
 def normality_score(values: DataFrame, keys: Sequence[str] = ("feature", "candidate")) -> DataFrame:
@@ -154,9 +176,7 @@ def normality_score(values: DataFrame, keys: Sequence[str] = ("feature", "candid
         F.skewness(v).alias("skewness"),
         F.kurtosis(v).alias("excess_kurtosis"),
     )
-    tested = shapiro(values, keys=keys, over="sample", max_n=5000).select(
-        *keys, F.col("shapiro_p").alias("shapiro_pvalue")
-    )
+    tested = shapiro(values, keys).select(*keys, F.col("shapiro_p").alias("shapiro_pvalue"))
     few = F.col("n") < 3
     score = F.col("shapiro_pvalue") - 0.1 * F.abs("skewness") - 0.05 * F.abs("excess_kurtosis")
     return moments.join(tested, keys, "left").select(
@@ -192,7 +212,7 @@ def fit_transforms(df: DataFrame, feats: Sequence[str] | None = None) -> DataFra
         "excess_kurtosis", F.col("mean").alias("new_mean"), F.col("std").alias("new_std"),
     )
     names = df.sparkSession.createDataFrame([(f,) for f in feats], "feature string")
-    enough = F.coalesce(F.col("n") >= MIN_ROWS, F.lit(False)) & F.col("score").isNotNull()
+    enough = F.coalesce(F.col("n") >= MIN_ROWS, F.lit(False))
     return names.join(stats, "feature", "left").join(chosen, "feature", "left").select(
         "feature",
         F.when(enough, F.col("candidate")).otherwise("identity").alias("transformation"),

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from statistics import NormalDist
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tails import normal_log_cdf, normal_quantile, normal_tail
+from ..functions.normal import log_cdf, once, tail, with_quantile
 from .ordering import small_side
+from .ranks import expand_runs, value_runs
 
 # Royston's (1995) polynomial coefficients, constant term first.
 LAST_WEIGHT = (0.0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056)
@@ -27,88 +25,60 @@ ANDERSON_CRITICAL = (0.576, 0.656, 0.787, 0.918, 1.092)
 ANDERSON_LEVELS = (15.0, 10.0, 5.0, 2.5, 1.0)
 
 
-def _poly(coef: Sequence[float], x: float) -> float:
-    return sum(c * x**i for i, c in enumerate(coef))
-
-
-def shapiro_w(x: np.ndarray) -> tuple[float, float]:
-    """W and p of one bounded sample."""
-    n = len(x)
-    x = np.sort(x)
-    if n < 3 or x[-1] - x[0] <= 0:
-        return math.nan, math.nan
-    inv = NormalDist().inv_cdf
-    m = np.array([inv((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    a = np.zeros(n)
-    if n == 3:
-        a[0], a[-1] = -math.sqrt(0.5), math.sqrt(0.5)
-    else:
-        mm, root = float(m @ m), 1 / math.sqrt(n)
-        last = _poly(LAST_WEIGHT, root) + m[-1] / math.sqrt(mm)
-        if n > 5:
-            second = _poly(NEXT_WEIGHT, root) + m[-2] / math.sqrt(mm)
-            phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)
-            a[:] = m / math.sqrt(phi)
-            a[-2], a[1] = second, -second
-        else:
-            phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * last**2)
-            a[:] = m / math.sqrt(phi)
-        a[-1], a[0] = last, -last
-    c = x - x.mean()
-    w = min(1.0, float(a @ c) ** 2 / float(c @ c))
-    if n == 3:
-        return w, max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
-    if w >= 1:
-        return w, 1.0
-    y = math.log(1 - w)
-    if n <= 11:
-        g = -2.273 + 0.459 * n
-        if y >= g:
-            return w, 1e-99
-        y, mu, sd = -math.log(g - y), _poly(SMALL_MEAN, n), math.exp(_poly(SMALL_SD, n))
-    else:
-        ln = math.log(n)
-        mu, sd = _poly(LARGE_MEAN, ln), math.exp(_poly(LARGE_SD, ln))
-    return w, normal_tail((y - mu) / sd)
-
-
-def sample_groups(df: DataFrame, keys: Sequence[str], n_col: str, size: int, seed: int = 0) -> DataFrame:
-    """At most ``size`` rows per group, chosen uniformly and repeatably by a hash of the row.
-
-    A first cut by hash keeps slightly more than ``size`` rows of each group, so the ranking that
-    follows never sees a large group.
-    """
-    h = F.pmod(F.xxhash64(*df.columns, F.lit(seed)), F.lit(1 << 40))
-    share = (size + 10 * math.sqrt(size) + 50) / F.col(n_col)
-    near = df.withColumn("_h", h).filter(F.col("_h") < share * float(1 << 40))
-    first = Window.partitionBy(*keys).orderBy("_h", *[c for c in df.columns if c not in keys])
-    return near.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= size).drop("_h", "_r")
-
-
-def shapiro(
-    long: DataFrame, keys: Sequence[str] = ("series",), max_n: int = 5000, over: str = "sample", seed: int = 0
-) -> DataFrame:
-    """``keys, shapiro_stat, shapiro_p``. Groups above ``max_n`` rows are sampled or, with
-    ``over="skip"``, get NULL. Every group that reaches the test has at most ``max_n`` rows."""
-    keys = list(keys)
-    counts = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = long.join(small_side(counts), keys)
-    if over == "skip":
-        rows = rows.filter(F.col("_n") <= max_n)
-    cols = [*keys, *[c for c in ("idx",) if c in long.columns], "value", "_n"]
-    bounded = sample_groups(rows.select(*cols), keys, "_n", max_n, seed).select(*keys, "value")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in bounded.schema if f.name in keys)
-
-    def test(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_w(pdf["value"].to_numpy(dtype=float))
-        return pd.DataFrame([[*key, w, p]], columns=[*keys, "shapiro_stat", "shapiro_p"])
+def _poly(coef: Sequence[float], x: Column) -> Column:
+    out = F.lit(0.0)
+    for c in reversed(coef):
+        out = out * x + c
+    return out
 
-    tested = bounded.groupBy(*keys).applyInPandas(test, f"{schema}, shapiro_stat double, shapiro_p double")
 
-    def known(c: str):
-        return F.when(~F.isnan(c), F.col(c)).alias(c)
+def shapiro(long: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """``keys, n, shapiro_stat, shapiro_p`` over all rows of every group, by Royston's (1995) approximation.
 
-    return counts.join(tested, keys, "left").select(*keys, known("shapiro_stat"), known("shapiro_p"))
+    W is a ratio of sums over the ordered values: value runs give every row its place and one aggregate adds up the
+    normal scores, so a group of any size is spread over all tasks. NULL below three rows or without spread.
+    """
+    keys = list(keys)
+    n, v = F.col("n"), F.col("value")
+    places = expand_runs(value_runs(long, keys), keys).select(
+        *keys, "n", "value", (F.col("place") + 1).alias("i"), ((F.col("place") + 0.625) / (n + 0.25)).alias("_p"))
+    places = with_quantile(places, "_p", "m")
+    i, m = F.col("i"), F.col("m")
+
+    def at(place: Column, c: Column) -> Column:
+        return F.max(F.when(i == place, c))
+
+    inner = (i > 2) & (i < n - 1)
+    sums = places.groupBy(*keys, "n").agg(
+        F.sum(m * m).alias("mm"), F.sum(F.when((i > 1) & (i < n), m * v)).alias("mx"),
+        F.sum(F.when(inner, m * v)).alias("mx_inner"), (F.var_pop("value") * n).alias("ss"),
+        at(F.lit(1), v).alias("x1"), at(F.lit(2), v).alias("x2"), at(n - 1, v).alias("y2"), at(n, v).alias("y1"),
+        at(n, m).alias("m1"), at(n - 1, m).alias("m2"),
+    )
+    root = 1.0 / F.sqrt(n)
+    weighted = sums.withColumn(
+        "last", F.when(n == 3, math.sqrt(0.5)).otherwise(_poly(LAST_WEIGHT, root) + F.col("m1") / F.sqrt("mm"))
+    ).withColumn("second", _poly(NEXT_WEIGHT, root) + F.col("m2") / F.sqrt("mm"))
+    last, second, m1, m2, mm = (F.col(c) for c in ("last", "second", "m1", "m2", "mm"))
+    scaled = weighted.withColumn(
+        "phi", F.when(n > 5, (mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * last * last - 2 * second * second)).otherwise(
+            (mm - 2 * m1 * m1) / (1 - 2 * last * last)))
+    ends = last * (F.col("y1") - F.col("x1"))
+    middle = F.when(n > 5, second * (F.col("y2") - F.col("x2")) + F.coalesce("mx_inner", F.lit(0.0)) / F.sqrt("phi")).when(
+        n > 3, F.coalesce("mx", F.lit(0.0)) / F.sqrt("phi")).otherwise(0.0)
+    w = F.least(F.lit(1.0), (ends + middle) ** 2 / F.col("ss"))
+    stat = scaled.select(*keys, "n", F.when((n >= 3) & (F.col("y1") > F.col("x1")), w).alias("shapiro_stat"))
+    return stat.select(*keys, "n", "shapiro_stat", shapiro_p(F.col("shapiro_stat"), n).alias("shapiro_p"))
+
+
+def shapiro_p(w: Column, n: Column) -> Column:
+    """Probability of a smaller W."""
+    third = F.greatest(F.lit(0.0), 6 / math.pi * (F.asin(F.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    y, g, m = F.log(1 - w), 0.459 * n - 2.273, n.cast("double")
+    small = (-F.log(g - y) - _poly(SMALL_MEAN, m)) / F.exp(_poly(SMALL_SD, m))
+    large = once(F.log(n), lambda ln: (y - _poly(LARGE_MEAN, ln)) / F.exp(_poly(LARGE_SD, ln)))
+    return F.when(n == 3, third).when(w >= 1, 1.0).when((n <= 11) & (y >= g), 1e-99).otherwise(
+        once(F.when(n <= 11, small).otherwise(large), tail))
 
 
 def anderson_normal(long: DataFrame) -> DataFrame:
@@ -116,8 +86,6 @@ def anderson_normal(long: DataFrame) -> DataFrame:
 
     Both ranks a value needs come from its run (count and rows below), so ties collapse to a row.
     """
-    from .ranks import value_runs
-
     runs = value_runs(long)
     fit = small_side(long.groupBy("series").agg(F.avg("value").alias("mu"), F.stddev_samp("value").alias("sd")))
     z = (F.col("value") - F.col("mu")) / F.col("sd")
@@ -128,7 +96,7 @@ def anderson_normal(long: DataFrame) -> DataFrame:
         runs.join(fit, "series")
         .filter("sd > 0")
         .groupBy("series", "n")
-        .agg(F.sum(weight_left * normal_log_cdf(z) + weight_right * normal_log_cdf(-z)).alias("s"))
+        .agg(F.sum(weight_left * log_cdf(z) + weight_right * log_cdf(-z)).alias("s"))
     )
     return with_anderson_decision(
         summed.select("series", "n", (-n - F.col("s") / n).alias("anderson_stat"))
@@ -150,13 +118,9 @@ def with_anderson_decision(df: DataFrame) -> DataFrame:
 
 def qq_points(long: DataFrame) -> DataFrame:
     """``(series, place, theoretical, ordered)`` at Filliben's positions."""
-    from .ranks import expand_runs, value_runs
-
     points = expand_runs(value_runs(long))
     n, i = F.col("n"), F.col("place") + 1
     edge = F.pow(F.lit(0.5), 1.0 / n)
     pos = F.when(i == n, edge).when(i == 1, 1.0 - edge).otherwise((i - 0.3175) / (n + 0.365))
-    return points.select(
-        "series", "n", "place", pos.alias("position"),
-        normal_quantile(pos).alias("theoretical"), F.col("value").alias("ordered"),
-    )
+    placed = points.select("series", "n", "place", pos.alias("position"), F.col("value").alias("ordered"))
+    return with_quantile(placed, "position", "theoretical").select("series", "n", "place", "position", "theoretical", "ordered")

@@ -30,7 +30,7 @@ def diagnose(long: DataFrame, arch_lags: int = 12) -> DataFrame:
     rows = dense_series(long).checkpoint()
     shape = describe_series(long)
     m = k2_of(jarque_bera_of(moments(rows))).select("series", "k2_stat", "k2_p", "jb_stat", "jb_p")
-    sh = shapiro(rows, max_n=5000, over="sample")
+    sh = shapiro(rows).drop("n")
     unit_root = adf(rows).drop("n")
     level = kpss(rows).drop("n")
     arch = arch_lm(rows, arch_lags).select("series", "arch_lm_stat", "arch_lm_p", "arch_lags")
@@ -78,7 +78,7 @@ def normality_report(long: DataFrame) -> DataFrame:
         unbiased_skew().alias("skew"), unbiased_kurtosis().alias("excess_kurtosis"),
         F.col("jb_stat").alias("jarque_bera_stat"), F.col("jb_p").alias("jarque_bera_p"),
     )
-    sh = shapiro(long, max_n=5000, over="skip")
+    sh = shapiro(long).drop("n")
     ad = anderson_normal(long).select("series", "anderson_stat", "anderson_crit_5pct", "anderson_reject_5pct")
     return (
         shape.join(sh, "series", "left").join(ad, "series", "left")
@@ -147,7 +147,6 @@ def run_battery(
     mi_max_lag: int = 20,
     taus: Sequence[float] = (0.01, 0.05, 0.10),
     qacf_max_lag: int = 20,
-    shapiro_max_n: int = 5000,
 ) -> DataFrame:
     """Every test of every series as long rows ``(series, path, value, text)``.
 
@@ -166,7 +165,7 @@ def run_battery(
             ("summary.min", F.col("min")), ("summary.max", F.col("max")), ("summary.median", F.get("q", 0)),
             ("normality.jb_stat", F.col("jb_stat")), ("normality.jb_p", F.col("jb_p")),
         ]),
-        _entries(shapiro(rows, max_n=shapiro_max_n, over="skip"), [
+        _entries(shapiro(rows), [
             ("normality.shapiro_stat", F.col("shapiro_stat")), ("normality.shapiro_p", F.col("shapiro_p")),
         ]),
         _entries(anderson_normal(rows), [

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import fitting as T
 from ..operators import hours as H
 from ..operators import standardize as Z
 from ..operators.ordering import materialized
 from ..schema import BINS, CLIP, FWD_PREFIX, HALF_LIFE, NOT_SCALED
-from ..sources.snapshots import sample_rows, write_table
+from ..sources.snapshots import write_table
 
 
 def run_split(
@@ -28,16 +29,14 @@ def run_split(
 
 
 def run_transform(
-    features: DataFrame, n: int = 10_000, seed: int = 0, feats: Sequence[str] | None = None,
-    chosen: Mapping[str, Mapping] | None = None,
+    features: DataFrame, feats: Sequence[str] | None = None, chosen: Mapping[str, Mapping] | None = None,
 ) -> DataFrame:
-    """Fit on a bounded sample of non-context rows (or take fitted transforms), apply to all rows."""
+    """Fit on all non-context rows (or take fitted transforms), apply to all rows. The feature columns are
+    written once, as every step of the fit reads them; to fit on a part, fit on ``sample_rows`` and pass ``chosen``."""
     if chosen is None:
         feats = list(feats or T.select_features(features))
-        # The bounded sample leaves the top-n as one partition; spread it before the heavy fitting.
-        tasks = features.sparkSession.sparkContext.defaultParallelism
-        sample = materialized(sample_rows(features, n, seed).select(*feats).repartition(tasks))
-        chosen = T.transform_map(T.fit_transforms(sample, feats))
+        own = features.filter(~F.coalesce("is_context", F.lit(False))) if "is_context" in features.columns else features
+        chosen = T.transform_map(T.fit_transforms(materialized(own.select(*feats)), feats))
     return T.apply_transforms(features, chosen)
 
 
