@@ -98,3 +98,42 @@ def test_final_book_of_the_given_events(spark):
     from tidebook.contract.fixtures import entries as given
 
     assert M.book_at_end(M.book_intervals(given(spark, "/root/testdata/sf0.01"))).count() == 93
+
+
+def at(minute):
+    return datetime(2024, 1, 1, 0, minute)
+
+
+@pytest.fixture(scope="module")
+def gaps():
+    """An empty partial clears the book; nothing is live until the next insert. The second symbol starts empty."""
+    level = lambda i, price: (i, float(price), 5.0, "Buy")
+    return [
+        ("orderBookL2", "A", 1, at(0), "partial", [level(1, 10), level(2, 11)]),
+        ("orderBookL2", "A", 2, at(3), "partial", []),
+        ("orderBookL2", "A", 3, at(4), "update", []),
+        ("orderBookL2", "A", 4, at(6), "insert", [level(3, 12)]),
+        ("orderBookL2", "B", 5, at(1), "partial", []),
+        ("orderBookL2", "B", 6, at(5), "insert", [level(1, 9)]),
+    ]
+
+
+def as_messages(spark, rows):
+    names = ["table", "symbol", "seq", "ts", "action", "data"]
+    return spark.createDataFrame([tuple(dict(zip(names, r))[c] for c in L2_MESSAGE.fieldNames()) for r in rows], L2_MESSAGE)
+
+
+def test_empty_partial_clears_and_empty_ticks_stay(spark, gaps, tmp_path):
+    messages = as_messages(spark, gaps)
+    rows = M.flatten_messages(messages)
+    assert rows.filter("id is null").count() == 2
+    intervals = M.book_intervals(rows, 2)
+    assert books(M.book_at_end(intervals).collect()) == {"A": {3: (12.0, 5.0, "Buy")}, "B": {1: (9.0, 5.0, "Buy")}}
+    snaps = M.sample_snapshots(intervals, at(7), "1 minute", rows).orderBy("symbol", "tick").collect()
+    live = {(r.symbol, r.tick.minute): len(r.bids) for r in snaps}
+    want = {("A", m): 2 if m < 3 else 0 if m < 6 else 1 for m in range(0, 8)} | {("B", m): 0 if m < 5 else 1 for m in range(1, 8)}
+    assert live == want and all(r.asks == [] for r in snaps)
+    src, changes = str(tmp_path / "in"), str(tmp_path / "changes")
+    messages.coalesce(1).write.option("timestampFormat", MICROS).json(src)
+    B.run_available(B.maintain_book(read_l2_messages(spark, src, streaming=True)), changes, str(tmp_path / "cp"))
+    assert books(B.current_book(spark.read.parquet(changes)).collect()) == books(M.book_at_end(intervals).collect())

@@ -116,7 +116,7 @@ def _(spark, sf):
 
 def _sampled(spark, sf):
     entries = fx.entries(spark, sf)
-    return M.sample_snapshots(M.book_intervals(entries), M.last_time(entries), TICK)
+    return M.sample_snapshots(M.book_intervals(entries), M.last_time(entries), TICK, entries)
 
 
 @query("b3_book_sides")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .book import book_sides
@@ -12,10 +12,15 @@ KEYS = ["symbol", "id"]
 
 
 def flatten_messages(messages: DataFrame) -> DataFrame:
-    """Keep the order-book table; one row per entry with its place ``pos`` in the message."""
-    return messages.filter(F.col("table") == "orderBookL2").select(
-        "symbol", "seq", "ts", "action", F.posexplode("data").alias("pos", "e")
-    ).select("symbol", "seq", "pos", "ts", "action", "e.id", "e.price", "e.size", "e.side")
+    """Keep the order-book table; one row per entry with its place ``pos`` in the message.
+
+    A ``partial`` without entries still clears the book, so it stays as one row without ``id``.
+    """
+    rows = messages.filter(F.col("table") == "orderBookL2").select(
+        "symbol", "seq", "ts", "action", F.posexplode_outer("data").alias("pos", "e")
+    )
+    return rows.filter(F.col("pos").isNotNull() | (F.col("action") == "partial")).select(
+        "symbol", "seq", F.coalesce("pos", F.lit(0)).alias("pos"), "ts", "action", "e.id", "e.price", "e.size", "e.side")
 
 
 def book_intervals(entries: DataFrame, block: int = 10_000) -> DataFrame:
@@ -35,6 +40,7 @@ def book_intervals(entries: DataFrame, block: int = 10_000) -> DataFrame:
         sums={"_epoch": F.when(start, 1).otherwise(0)},
         nexts={"_ends": F.when(start, F.struct("seq", "ts"))},
     )
+    epochs = epochs.filter(F.col("id").isNotNull())  # empty partials have ended their epoch
     action = F.col("action")
     opener = F.when(
         action != "update",
@@ -69,14 +75,34 @@ def sample_levels(intervals: DataFrame, until, every: str = "30 seconds") -> Dat
     end = F.coalesce(F.col("valid_to"), F.lit(until) + F.expr("INTERVAL 1 MICROSECOND"))
     first = F.ceil(F.unix_micros("valid_from") / span)
     last = F.ceil(F.unix_micros(end) / span) - 1
-    kept = intervals.withColumn("_a", first).withColumn("_z", last).filter("_a <= _z")
-    ticks = F.sequence(F.timestamp_micros(F.col("_a") * span), F.timestamp_micros(F.col("_z") * span), width)
-    return kept.select("symbol", F.explode(ticks).alias("tick"), "id", "price", "size", "side")
+    kept = _pieces(intervals.withColumn("_a", first).withColumn("_z", last).filter("_a <= _z"))
+    return kept.select("symbol", F.explode(_ticks(span, width)).alias("tick"), "id", "price", "size", "side")
+
+
+def _pieces(ranges: DataFrame, size: int = 4096) -> DataFrame:
+    """Cut ranges of tick numbers ``[_a, _z]``, so no row lists more than ``size`` ticks."""
+    starts = ranges.withColumn("_a", F.explode(F.sequence("_a", "_z", F.lit(size).cast("long"))))
+    return starts.withColumn("_z", F.least(F.col("_z"), F.col("_a") + size - 1))
 
 
-def sample_snapshots(intervals: DataFrame, until, every: str = "30 seconds") -> DataFrame:
-    """One row per symbol and tick with sorted sides; an unchanged book is repeated."""
-    return book_sides(sample_levels(intervals, until, every))
+def _ticks(span: int, width: Column) -> Column:
+    return F.sequence(F.timestamp_micros(F.col("_a") * span), F.timestamp_micros(F.col("_z") * span), width)
+
+
+def sample_snapshots(intervals: DataFrame, until, every: str = "30 seconds", entries: DataFrame | None = None) -> DataFrame:
+    """One row per symbol and tick with sorted sides; an unchanged book is repeated, and an empty one has empty sides.
+
+    Ticks run from a symbol's first message in ``entries`` (without them: from its first level) to ``until``.
+    """
+    span, width = _micros(every), F.expr(f"INTERVAL {every}")
+    began = intervals.select("symbol", F.col("valid_from").alias("ts")) if entries is None else entries.select("symbol", "ts")
+    ranges = began.groupBy("symbol").agg(F.ceil(F.unix_micros(F.min("ts")) / span).alias("_a")).withColumn(
+        "_z", F.floor(F.unix_micros(F.lit(until)) / span)).filter("_a <= _z")
+    ticks = _pieces(ranges).select("symbol", F.explode(_ticks(span, width)).alias("tick"))
+    sides = book_sides(sample_levels(intervals, until, every))
+    none = F.array().cast(sides.schema["bids"].dataType)
+    filled = {c: F.coalesce(c, none) for c in ("bids", "asks")}
+    return ticks.join(sides, ["symbol", "tick"], "left").withColumns(filled)
 
 
 def _micros(every: str) -> int:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from io import BytesIO
 
 import pandas as pd
-from pyarrow.fs import FileSystem
-
+import pyarrow.parquet as pq
+from pyarrow.lib import ArrowException
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,57 +83,70 @@ def file_counts(files: DataFrame, rows: DataFrame, readable: DataFrame, label: s
     )
 
 
-def _footers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whether each listed file ends as Parquet files do; reads four bytes a file."""
+def _whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whether each file can be read from end to end."""
     for pdf in frames:
         ok = []
-        for path, length in zip(pdf["path"], pdf["length"]):
-            uri = path if "://" in path else path.replace(":/", ":///", 1)
-            store, name = FileSystem.from_uri(uri)
-            if length < 12:
+        for content in pdf["content"]:
+            try:
+                file = pq.ParquetFile(BytesIO(content))
+                ok.append(sum(batch.num_rows for batch in file.iter_batches(1024)) == file.metadata.num_rows)
+            except (ArrowException, OSError, EOFError):
                 ok.append(False)
-                continue
-            with store.open_input_file(name) as f:
-                f.seek(length - 4)
-                ok.append(f.read(4) == b"PAR1")
         yield pd.DataFrame({"filename": pdf["filename"], "ok": ok})
 
 
-def bad_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(filename)`` of files that are cut off or are no Parquet files, checked where the tasks run."""
-    checked = list_files(spark, path).mapInPandas(_footers, "filename string, ok boolean")
-    return checked.filter(~F.col("ok")).select("filename")
+def bad_files(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
+    """``(filename)`` of files that are cut off, damaged inside or no Parquet files.
+
+    Only ``files`` (default: all of the folder) are opened, one at a time per task, through Spark's own file source, so
+    any file system that Spark reads will do. Only file names reach the driver.
+    """
+    names = [r["path"] for r in (list_files(spark, path) if files is None else files).select("path").collect()]
+    if not names:
+        return spark.createDataFrame([], "filename string")
+    contents = spark.read.format("binaryFile").load(names).select(_relative(F.col("path"), path).alias("filename"), "content")
+    return contents.mapInPandas(_whole, "filename string, ok boolean").filter(~F.col("ok")).select("filename")
 
 
 def ingest(spark: SparkSession, source: str, table: str, log_path: str, label: str = LABEL) -> DataFrame:
     """Append all pending day files to the raw table and log them; returns the new log rows.
 
-    One job covers all files. Damaged files are neither loaded nor logged, so they are tried again
-    next time. Rows already in the table are left out, so a run that stopped between the data and
-    the log does not load rows twice.
+    Only pending files are opened. Damaged files are neither loaded nor logged, so they are tried again next time, and
+    an unreadable part fails the run rather than being passed over. Rows already in the table are left out, so a
+    run that stopped between the data and the log does not load rows twice.
     """
-    files = pending_files(list_files(spark, source), read_log(spark, log_path), label)
-    good = files.join(bad_files(spark, source), "filename", "left_anti")
-    names = good.select("filename")
-    every = _reader(spark, source, True).select("*", _relative(F.col("_metadata.file_path"), source).alias("_file"))
-    rows = every.dropna().join(names.withColumnRenamed("filename", "_file"), "_file", "left_semi")
+    pending = materialized(pending_files(list_files(spark, source), read_log(spark, log_path), label))
+    good = materialized(pending.join(bad_files(spark, source, pending), "filename", "left_anti"))
+    paths = [r["path"] for r in good.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], INGESTION_LOG)
+    rows = _reader(spark, paths, False).select("*", _relative(F.col("_metadata.file_path"), source).alias("_file")).dropna()
     # Counted first: once the log is written, the same files are no longer pending.
-    entries = materialized(file_counts(good, rows, names, label))
+    entries = materialized(file_counts(good, rows, good.select("filename"), label))
     append_raw(parse_lob(rows).drop("_file"), table)
     entries.write.mode("append").parquet(log_path)
     return entries
 
 
 def append_raw(df: DataFrame, table: str) -> None:
-    """Append typed snapshots by date, without the ``(symbol, timestamp)`` keys already stored."""
+    """Append typed snapshots by date, without rows that are already stored.
+
+    Rows count as equal only if all their columns are; so rows without timestamp and different books of one moment
+    stay, and a rerun adds nothing. Only the stored rows of the same dates are read.
+    """
     spark = df.sparkSession
-    fresh = df.withColumn("date", F.to_date("timestamp")).dropDuplicates(["symbol", "timestamp"])
+    row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256).alias("_row")
+    fresh = materialized(df.select("*", F.to_date("timestamp").alias("date"), row).dropDuplicates(["_row"]))
     try:
-        stored = spark.read.parquet(table).select("symbol", "timestamp", "date")
-        fresh = fresh.join(stored, ["symbol", "timestamp", "date"], "left_anti")
+        stored = spark.read.parquet(table)
     except AnalysisException:
-        pass
-    fresh.write.partitionBy("date").mode("append").parquet(table)
+        stored = None
+    if stored is not None:
+        dates = fresh.select(F.col("date").alias("_d")).distinct()
+        known = stored.join(F.broadcast(dates), F.col("date").eqNullSafe(F.col("_d")), "left_semi").select(row)
+        fresh = fresh.join(known, "_row", "left_anti")
+    fresh.drop("_row").write.partitionBy("date").mode("append").parquet(table)
 
 
 def load_raw(spark: SparkSession, table: str, cols: Sequence[str] | None = None, where: Column | str | None = None) -> DataFrame:

@@ -36,7 +36,8 @@ def _keyed(entries: DataFrame, buckets: int) -> DataFrame:
         lambda b: F.struct(b.alias("bucket"), F.lit("clear").alias("action"), F.lit(-1).cast("long").alias("pos")),
     )
     entry = F.array(F.struct(own.alias("bucket"), F.col("action").alias("action"), F.col("pos").cast("long").alias("pos")))
-    sent = entries.select(*cols, F.explode(F.when(starts, F.concat(marker, entry)).otherwise(entry)).alias("e"))
+    sent = entries.select(*cols, F.explode(
+        F.when(starts & F.col("id").isNull(), marker).when(starts, F.concat(marker, entry)).otherwise(entry)).alias("e"))
     cleared = F.col("e.action") == "clear"
     return sent.select(
         "symbol", F.col("e.bucket").alias("bucket"), "seq", F.col("e.pos").alias("pos"), "ts",
