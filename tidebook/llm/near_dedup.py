@@ -12,9 +12,11 @@ with probability 3.5e-5, at 0.8 with 6e-7.
    keys, so unique documents never reach the tables.
 4. Each table's members are linked with its least member first (never all pairs); the pairs are confirmed
    on full sets, and confirmed links are contracted to components.
-5. Members of one table that are still in different components are compared as well (pairs already
-   refused are left out), and the components are contracted again. So every pair of different sets that
-   meets in a table is either confirmed or refused on full sets, or joined through others.
+5. Members of one table that are still in different components are compared as well, and the components are
+   contracted again. Left out are pairs already refused, and those that cannot reach the threshold: with the table's
+   least member L (and with a partner from the middle of L's crowd), two sets share at most
+   ``min(|x & L|, |y & L|)`` plus those elements outside L that several of L's partners have. That refuses whole crowds of
+   loose copies around one text, one row each, before pairs are made. So every pair of different sets that meets in a table is either confirmed or refused on full sets, or joined through others.
 
 Defined results: texts without words have empty sets and link with nothing. A null ``doc_id`` keeps its
 row, with null ``component_id`` and ``kept`` false. Rows with equal ``doc_id`` count as linked.
@@ -30,9 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .words import Hasher, free_name, gram_hashes, mix, saved, slices, text_bytes, word_spans
+from .words import Hasher, gram_hashes, mix, saved, slices, text_bytes, word_spans
 
 SHINGLE, PERCENT = 5, 75
+#: From so many partners on, a least member's pairs also get the figures that bound what partners share.
+CROWD = 16
+#: Words of 64 bits that say what a document lacks of the middle of its crowd.
+MASKS = 4
+MASK_NAMES = [f"mask{w}" for w in range(MASKS)]
 
 
 def _lowered(data: np.ndarray) -> np.ndarray:
@@ -108,18 +115,43 @@ def _full_sets(shingle: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``a, b, linked`` of all pairs, by their full sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    sets = saved(texts.mapInArrow(_full_sets(shingle), "id long, grams array<long>").dropDuplicates(["id"]), "sets")
-    left, right = sets.toDF("a", "_ga"), sets.toDF("b", "_gb")
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int, crowd: int = 0) -> DataFrame:
+    """``a, b, shared, linked`` of all pairs, by their full sets. With ``crowd``, pairs whose ``a`` has more partners and
+    some unlinked one also get ``common``: how many elements of b outside a another partner of a has, too."""
+    left, right = sets.select("id", "grams").toDF("a", "_ga"), sets.select("id", "grams").toDF("b", "_gb")
     shared = F.size(F.array_intersect("_ga", "_gb"))
     union = F.size("_ga") + F.size("_gb") - shared
-    return saved(
-        pairs.join(left, "a").join(right, "b").select("a", "b", (100 * shared >= percent * union).alias("linked")),
-        "confirmed",
+    tested = saved(
+        pairs.join(left, "a").join(right, "b").select("a", "b", shared.alias("shared"), (100 * shared >= percent * union).alias("linked")),
+        "compared",
+    )
+    if not crowd:
+        return tested
+    busy = tested.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"))
+    crowded = tested.join(busy.filter(F.col("n") > crowd).filter(~F.col("all_linked")).select("a"), "a").select("a", "b")
+    outside = (
+        crowded.join(left, "a").join(right, "b")
+        .select("a", "b", F.explode(F.array_except("_gb", "_ga")).alias("gram"))
+        .select("a", "b", F.xxhash64("a", "gram").alias("gram"))  # equal hashes can only loosen the bound
     )
+    outside = saved(outside, "outside")
+    twice = outside.groupBy("gram").agg(F.min("b").alias("b1"), F.max("b").alias("b2")).filter("b1 < b2").select("gram")
+    common = outside.join(twice, "gram").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    # Which of MASKS * 64 hashed places of a's elements b lacks something at.
+    lacks = crowded.join(left, "a").join(right, "b").select(
+        "a", "b", F.size("_ga").alias("size_a"), F.array_except("_ga", "_gb").alias("_gone")
+    ).select("a", "b", "size_a", *[_mask(F.col("_gone"), w).alias(f"mask{w}") for w in range(MASKS)])
+    marked = lacks.join(common, ["a", "b"], "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    return saved(tested.join(marked, ["a", "b"], "left"), "tested")
+
+
+def _mask(grams: Column, word: int) -> Column:
+    def add(bits: Column, gram: Column) -> Column:
+        place = F.pmod(gram, F.lit(MASKS * 64))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+        return F.when(F.floor(place / 64) == word, bits.bitwiseOR(bit)).otherwise(bits)
+
+    return F.aggregate(grams, F.lit(0).cast("long"), add)
 
 
 def _near_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -169,28 +201,70 @@ def near_duplicates(
         .select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct(),
         "stars",
     )
-    tested = _confirmed(stars, docs, shingle, percent)
-    links = tested.filter("linked").select("a", "b")
+    ids = entries.select("id").distinct().withColumnRenamed("id", "doc_id")
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    sets = saved(
+        texts.mapInArrow(_full_sets(shingle), "id long, grams array<long>").dropDuplicates(["id"])
+        .withColumn("n", F.size("grams")), "sets")
+    tested = _compared(stars, sets, percent, CROWD)
+
+    # The partner with fewest elements of its own stands in the middle of a crowd: all are compared with it, too.
+    own = F.col("n") - F.col("shared") - F.col("common")
+    middle = (
+        tested.filter("common is not null").join(sets.select(F.col("id").alias("b"), "n"), "b")
+        .groupBy("a").agg(F.min(F.struct(own.alias("own"), (-F.col("common")).alias("c"), F.col("b").alias("mid"))).alias("m"))
+        .select(F.col("a").alias("lead"), "m.mid")
+    )
+    crowds = saved(tested.filter("common is not null").select(F.col("a").alias("lead"), "b", "shared", "common").join(middle, "lead"), "crowds")
+    second = _compared(crowds.filter("b <> mid").select(F.col("mid").alias("a"), "b").distinct(), sets, percent, CROWD)
+    links = tested.unionByName(second).filter("linked").select("a", "b")
     found = saved(components(links), "components")
 
-    # Tables whose members are not all in one component yet.
-    placed = entries.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component"))
+    # Tables whose members (their least one, which all were compared with, left aside) are not all in one component yet.
+    placed = entries.select("key", "id", "n", F.col("lead.id").alias("lead")).filter("id <> lead").join(
+        found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "lead", F.coalesce("component", "id").alias("component"))
     split = (
-        placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-        .filter("c1 <> c2").select("key")
+        placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least_n"))
+        .filter("c1 <> c2").select("key", "least_n")
+    )
+    bounds = (
+        crowds.join(second.filter("common is not null").select(F.col("a").alias("mid"), "b", F.col("shared").alias("shared2"),
+                                                               F.col("common").alias("common2")), ["mid", "b"], "left")
+        .select("lead", F.col("b").alias("id"), "shared", "common", "shared2", "common2")
+    )
+    rest = placed.join(split, "key").join(bounds, ["lead", "id"], "left")
+    # Two sets share at most the lesser share of a third set, and elements outside it that other partners have.
+    partner = F.greatest(F.col("least_n"), F.ceil(F.col("n") * percent / 100))
+    reach = F.least(F.col("shared") + F.col("common"), F.col("shared2") + F.col("common2"))
+    hopeless = (100 + percent) * reach < percent * (F.col("n") + partner)
+    # Apart from its tables, every document is bound by the best known middle that it was compared with.
+    second = second.filter("common is not null")
+    fame = second.groupBy("a").agg(F.count(F.lit(1)).alias("fame"))
+    homes = (
+        second.join(fame, "a").groupBy("b").agg(F.max(F.struct("fame", "a", "size_a", "common", *MASK_NAMES)).alias("h"))
+        .select(F.col("b").alias("id"), F.col("h.a").alias("home"), F.col("h.size_a").alias("home_n"), F.col("h.common").alias("common3"),
+                *[F.col(f"h.mask{w}").alias(f"mask{w}") for w in range(MASKS)])
     )
-    rest = saved(placed.join(split, "key"), "rest")
-    one, two = (rest.toDF("key", f"id{s}", f"n{s}", f"c{s}") for s in "ab")
+    rest = rest.filter(~F.coalesce(hopeless, F.lit(False))).join(homes, "id", "left")
+    rest = saved(rest.select("key", "id", "n", "component", "shared", "common", "shared2", "common2", "home", "home_n", "common3", *MASK_NAMES), "rest")
+    names = ("id", "n", "c", "s", "o", "t", "p", "h", "u", "q", *MASK_NAMES)
+    one, two = (rest.toDF("key", *[f"{x}{side}" for x in names]) for side in "ab")
+    # What either lacks of its home is not shared; hashed places can only hide that, so the bound is safe.
+    lost = sum(F.bit_count(F.col(f"{m}a").bitwiseOR(F.col(f"{m}b"))) for m in MASK_NAMES)
+    at_home = F.when(F.col("ha") == F.col("hb"), F.col("ua") - lost + F.least("qa", "qb"))
+    most = F.least(
+        F.when(F.col("sa").isNotNull() & F.col("sb").isNotNull(), F.least("sa", "sb") + F.least("oa", "ob")),
+        F.when(F.col("ta").isNotNull() & F.col("tb").isNotNull(), F.least("ta", "tb") + F.least("pa", "pb")), at_home)
+    short = (100 + percent) * most < percent * (F.col("na") + F.col("nb"))
     more = (
         one.join(two, "key").filter("ida < idb and ca <> cb")
-        .filter(_near_sizes(F.col("na"), F.col("nb"), percent))
+        .filter(_near_sizes(F.col("na"), F.col("nb"), percent)).filter(~F.coalesce(short, F.lit(False)))
         .select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
         .join(tested.select("a", "b"), ["a", "b"], "left_anti")
     )
     more = saved(more, "more")
     if not more.isEmpty():
-        late = _confirmed(more, docs, shingle, percent).filter("linked").select("a", "b")
+        late = _compared(more, sets, percent).filter("linked").select("a", "b")
         found = components(links.unionByName(late))
     named = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         *prints, F.coalesce("component", "id").alias("component_id"))
@@ -207,6 +281,12 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` that represent their component, with all their columns; of rows repeated under
     one ``doc_id`` one stays, and rows without ``doc_id`` stay."""
-    kept = near_duplicates(docs, **params).filter("kept").select("doc_id").distinct()
-    numbered = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return numbered.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    found = near_duplicates(docs, **params)
+    gone = saved(found.filter("not kept and doc_id is not null").select("doc_id").distinct(), "gone")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id")
+    twice = saved(twice, "twice")
+    if twice.isEmpty():
+        return left
+    once = left.join(twice, "doc_id", "left_anti").select(*docs.columns)
+    return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
