@@ -232,7 +232,9 @@ def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96,
             .select(*model, *updated, "loglik")
         )
 
-    final = _iterate(params, step, rounds, every=5, tol=tol)
+    final = materialized(_iterate(params, step, rounds, every=5, tol=tol))
+    # A round reports the likelihood of the parameters that it was given; one more says that of the last ones.
+    final = final.drop("loglik").join(step(final).select("series", "components", "loglik"), ["series", "components"])
     return final.select(
         "series", "n", F.concat(F.lit("GMM(K="), "components", F.lit(")")).alias("model"),
         (3 * F.col("components") - 1).alias("k"), "w", "m", "v", "loglik",
