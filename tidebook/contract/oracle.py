@@ -546,9 +546,10 @@ WITH {SERIES}, s AS (SELECT series, idx, sign(value) AS s FROM se WHERE value <>
 c AS (SELECT series, count(*) AS n, avg(s) AS cut FROM s GROUP BY series),
 u AS (SELECT s.series, n, s >= cut AS up, lag(s >= cut) OVER (PARTITION BY s.series ORDER BY idx) AS was FROM s JOIN c USING (series)),
 a AS (SELECT series, n, CAST(count(*) FILTER (up) AS DOUBLE) AS pos, CAST(1 + count(*) FILTER (up <> was) AS DOUBLE) AS runs FROM u GROUP BY series, n),
-z AS (SELECT *, 2 * pos * (n - pos) AS two FROM a)
-SELECT series, n, {r('runs')} AS runs, {r('CASE WHEN n >= 50 AND two > n THEN (runs - (two / n + 1)) / sqrt(two * (two - n) / (CAST(n AS DOUBLE) * n) / (n - 1)) END')} AS z,
-       CASE WHEN n < 50 THEN 'not enough non-zero signs' ELSE '' END AS note FROM z"""
+z AS (SELECT *, 2 * pos * (n - pos) AS two FROM a),
+y AS (SELECT *, CASE WHEN n >= 50 AND two > n THEN (runs - (two / n + 1)) / sqrt(two * (two - n) / (CAST(n AS DOUBLE) * n) / (n - 1)) END AS z FROM z)
+SELECT series, n, {r('runs')} AS runs, {r('z')} AS z, CASE WHEN z IS NOT NULL THEN {r('2 * ' + tail_sql('abs(z)'))} END AS p,
+       CASE WHEN n < 50 THEN 'not enough non-zero signs' ELSE '' END AS note FROM y"""
 ORACLE["s24_histogram"] = f"""
 WITH {SERIES}, {MOMENTS}, sp AS (SELECT series, n, lo, hi, (hi - lo) / 60 AS wd FROM mo0),
 h AS (SELECT se.series, least(CAST(floor((value - lo) / wd) AS BIGINT), 59) AS bin, count(*) AS c FROM se JOIN sp USING (series) GROUP BY 1, 2),

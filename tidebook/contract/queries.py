@@ -618,7 +618,7 @@ _series_query("s12_normality_report", X.normality_report)
 _series_query("s13_hetero_report", X.hetero_report)
 _series_query("s18_lagged_mi", D.lagged_mi)
 _series_query("s19_quantile_acf", D.quantile_acf)
-_series_query("s20_runs_test", lambda d: S.runs_test(d).drop("p"))
+_series_query("s20_runs_test", S.runs_test)
 _series_query("s21_tsay_test", G.tsay_test)
 _series_query("s22_run_battery", X.run_battery)
 _series_query("s24_histogram", S.histogram)
