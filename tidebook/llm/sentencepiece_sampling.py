@@ -33,6 +33,8 @@ from .words import Hasher, free_name, mix, slices, text_bytes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SEED = 1.0, 1
 SIGN = "▁"
+#: Steps of a uniform number, and nodes of the tables that a task keeps of units met before.
+GRAIN, NODES = 1 << 32, 1_000_000
 
 
 class Vocabulary:
@@ -82,6 +84,7 @@ class Sampler:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[keys >> np.uint64(44)] = True
         self.longest = int(self.sizes.max(initial=1))
+        self._empty()
 
     def _edges(self, data: np.ndarray, offsets: np.ndarray):
         """All pieces in distinct units: end node, length in bytes, piece id (-1: bytes of one character), log weight."""
@@ -119,7 +122,7 @@ class Sampler:
         return tuple(np.concatenate([f[i] for f in found]) for i in range(4))
 
     def _forward(self, data: np.ndarray, offsets: np.ndarray):
-        """Edges by end node with, per node, cumulative shares of the weight that arrives there."""
+        """Edges by end node with, per node, cumulative shares (in ``GRAIN`` steps) of the weight that arrives there."""
         end, size, piece, log = self._edges(data, offsets)
         unit = np.searchsorted(offsets, end - 1, side="right") - 1
         node = end + unit  # every unit has one node more than bytes
@@ -142,14 +145,43 @@ class Sampler:
             each = np.diff(np.append(heads, b - a))
             alpha[own[heads]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, each)), heads))
         share = np.exp(alpha[node - size] + log - alpha[node])
-        last = np.append(node[1:] != node[:-1], True)
-        total = np.cumsum(share)
-        ends = np.flatnonzero(last)
-        base = np.concatenate([[0.0], total[ends[:-1]]])
-        each = np.diff(np.concatenate([[-1], ends]))
-        within = (total - np.repeat(base, each)) / np.repeat(total[ends] - base, each)
-        within[last] = 1.0
-        return node + within, size, piece
+        heads = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        each = np.diff(np.append(heads, len(node)))
+        # Summed edge by edge within each node, so a unit's figures do not depend on its neighbours in the slice.
+        for k in range(1, int(each.max(initial=1))):
+            at = heads[each > k] + k
+            share[at] += share[at - 1]
+        ends = heads + each - 1
+        part = np.minimum((share / np.repeat(share[ends], each) * GRAIN).astype(np.int64), GRAIN)
+        part[ends] = GRAIN
+        return node * GRAIN + part, size, piece
+
+    def _tables(self, text: np.ndarray, starts: np.ndarray, length: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Slots of distinct units in the task's tables; units not met before are added (bounded by ``NODES``)."""
+        if self.nodes > NODES:
+            self._empty()
+        at = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        new = np.flatnonzero(self.known[at] != hashes) if len(self.known) else np.arange(len(hashes))
+        if len(new):
+            size = length[new]
+            offsets = np.concatenate([[0], np.cumsum(size)])
+            own = text[np.repeat(starts[new] - offsets[:-1], size) + np.arange(offsets[-1])]
+            shares, sizes, pieces = self._forward(own, offsets)
+            self.shares = np.concatenate([self.shares, shares + self.nodes * GRAIN])
+            self.edge_size, self.edge_piece = np.concatenate([self.edge_size, sizes]), np.concatenate([self.edge_piece, pieces])
+            low = offsets[:-1] + np.arange(len(new)) + self.nodes
+            slots = np.arange(len(self.low), len(self.low) + len(new))
+            self.low, self.length = np.concatenate([self.low, low]), np.concatenate([self.length, size])
+            known, slot = np.concatenate([self.known, hashes[new]]), np.concatenate([self.slot, slots])
+            order = np.argsort(known, kind="stable")
+            self.known, self.slot = known[order], slot[order]
+            self.nodes += int(offsets[-1]) + len(new)
+        return self.slot[np.searchsorted(self.known, hashes)]
+
+    def _empty(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.known, self.nodes = np.zeros(0, np.uint64), 0
+        self.slot = self.low = self.length = self.shares = self.edge_size = self.edge_piece = none
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all rows, one after the other, and the rows' bounds in them."""
@@ -170,23 +202,19 @@ class Sampler:
         row = np.searchsorted(bounds, starts, side="right") - 1
         number = np.arange(len(starts)) - np.searchsorted(starts, bounds[:-1])[row]
 
-        _, first, kind = np.unique(self.units.spans(text, starts, ends), return_index=True, return_inverse=True)
-        length = (ends - starts)[first]
-        own_offsets = np.concatenate([[0], np.cumsum(length)])
-        take = np.repeat(starts[first] - own_offsets[:-1], length) + np.arange(own_offsets[-1])
-        own = text[take]
-        cumulative, size, piece = self._forward(own, own_offsets)
+        hashes, first, kind = np.unique(self.units.spans(text, starts, ends), return_index=True, return_inverse=True)
+        slot = self._tables(text, starts[first], (ends - starts)[first], hashes)[kind]
+        size, piece = self.edge_size, self.edge_piece
 
         # Backward from the last node of every occurrence's unit.
-        low = own_offsets[:-1] + np.arange(len(first))
-        at, stop = (low + length)[kind], low[kind]
-        live = np.argsort(kind, kind="stable")  # equal units side by side: their draws look at neighbouring edges
+        stop = self.low[slot]
+        at = stop + self.length[slot]
+        live = np.argsort(slot, kind="stable")  # equal units side by side: their draws look at neighbouring edges
         base = mix(keys.astype(np.uint64)[row] ^ np.uint64(self.seed * 0x9E3779B97F4A7C15 % (1 << 64))) + number.astype(np.uint64)
         chosen, step, used = [], 0, np.zeros(len(starts), np.int64)
         while len(live):
-            u = (mix(base[live] * np.uint64(0xD1342543DE82EF95) + np.uint64(step)) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-            edge = np.searchsorted(cumulative, at[live] + u, side="right")
-            edge = np.minimum(edge, len(size) - 1)
+            u = (mix(base[live] * np.uint64(0xD1342543DE82EF95) + np.uint64(step)) % np.uint64(GRAIN)).astype(np.int64)
+            edge = np.searchsorted(self.shares, at[live] * GRAIN + u, side="right")
             chosen.append((live, edge))
             used[live] += 1
             at[live] -= size[edge]
