@@ -221,11 +221,13 @@ def near_duplicates(
     found = saved(components(links), "components")
 
     # Tables whose members (their least one, which all were compared with, left aside) are not all in one component yet.
-    placed = entries.select("key", "id", "n", F.col("lead.id").alias("lead")).filter("id <> lead").join(
-        found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "lead", F.coalesce("component", "id").alias("component"))
+    members = entries.select("key", "id", "n", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n")).filter("id <> lead")
+    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", "n", "lead", "lead_n", F.coalesce("component", "id").alias("component"))
     split = (
-        placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least_n"))
-        .filter("c1 <> c2").select("key", "least_n")
+        placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
+                                  F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+        .filter("c1 <> c2").select("key", "least_n", "most_n")
     )
     bounds = (
         crowds.join(second.filter("common is not null").select(F.col("a").alias("mid"), "b", F.col("shared").alias("shared2"),
@@ -236,7 +238,9 @@ def near_duplicates(
     # Two sets share at most the lesser share of a third set, and elements outside it that other partners have.
     partner = F.greatest(F.col("least_n"), F.ceil(F.col("n") * percent / 100))
     reach = F.least(F.col("shared") + F.col("common"), F.col("shared2") + F.col("common2"))
-    hopeless = (100 + percent) * reach < percent * (F.col("n") + partner)
+    # Only where sizes let every member be a partner of the lead.
+    complete = (100 * F.col("least_n") >= percent * F.col("lead_n")) & (percent * F.col("most_n") <= 100 * F.col("lead_n"))
+    hopeless = complete & ((100 + percent) * reach < percent * (F.col("n") + partner))
     # Apart from its tables, every document is bound by the best known middle that it was compared with.
     second = second.filter("common is not null")
     fame = second.groupBy("a").agg(F.count(F.lit(1)).alias("fame"))
