@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import free_name, slices, text_bytes
+from .words import free_name, slices, text_bytes, tidy
 
 DIM, CENTROIDS, SAMPLE = 4096, 3, 1500
 REJECT, SHARPNESS, SEED = 0.002, 25.0, 1
@@ -78,7 +78,7 @@ def _frequencies(dim: int):
         place = np.append(np.flatnonzero(found), dim)
         yield pa.RecordBatch.from_pydict({"place": place, "n": np.append(found, n)[place]})
 
-    return run
+    return tidy(run)
 
 
 def spherical_kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +161,7 @@ def _predict(model: Model | None, names: list[str], lettered: str):
                      pa.array(far | ~known)],
                     names=[*names, "lang_pred", "score", "rejected"])
 
-    return run
+    return tidy(run)
 
 
 def identify(docs: DataFrame, model: Model | None, columns: list[str] | None = None) -> DataFrame:

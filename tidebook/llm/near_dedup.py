@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .words import Hasher, gram_hashes, mix, saved, slices, text_bytes, word_spans
+from .words import Hasher, gram_hashes, mix, saved, slices, text_bytes, tidy, word_spans
 
 SHINGLE, PERCENT = 5, 75
 #: From so many partners on, a least member's pairs also get the figures that bound what partners share.
@@ -97,7 +97,7 @@ def _signatures(shingle: int, rows: int, bands: int, seed: int):
                     "keys": pa.FixedSizeListArray.from_arrays(pa.array(flat), 2 * bands).cast(pa.list_(pa.int64())),
                 })
 
-    return run
+    return tidy(run)
 
 
 def _full_sets(shingle: int):
@@ -112,7 +112,7 @@ def _full_sets(shingle: int):
                     "grams": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), grams),
                 })
 
-    return run
+    return tidy(run)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int, crowd: int = 0) -> DataFrame:

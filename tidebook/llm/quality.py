@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .language_id import Grams
 from .sampling import labelled_sample
-from .words import Hasher, slices, text_bytes, word_spans
+from .words import Hasher, slices, text_bytes, tidy, word_spans
 
 DIM, SOURCES, LANGS = 256, 32, 16
 LABELLED, POOL, ROUNDS, SHARE, SURE = 3000, 4000, 4, 0.05, 0.9
@@ -188,7 +188,7 @@ def _score(model: Model | None, names: list[str]):
                     [*(part.column(n) for n in names), *map(pa.array, (content, meta, score))],
                     names=[*names, "content_score", "meta_score", "score"])
 
-    return run
+    return tidy(run)
 
 
 def score(docs: DataFrame, model: Model | None, columns: list[str] | None = None) -> DataFrame:

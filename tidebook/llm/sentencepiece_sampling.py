@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import Hasher, free_name, mix, slices, text_bytes
+from .words import Hasher, free_name, mix, slices, text_bytes, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SEED = 1.0, 1
@@ -276,7 +276,7 @@ def _encode(vocabulary: Vocabulary, names: list[str], key: str, seed: int):
                     [*(part.column(n) for n in names), _as_lists(ids, bounds, known), pa.array(np.diff(bounds))],
                     names=[*names, "pieces", "n_pieces"])
 
-    return run
+    return tidy(run)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, seed: int = SEED, columns: list[str] | None = None) -> DataFrame:
@@ -303,7 +303,7 @@ def _decode(vocabulary: Vocabulary, names: list[str]):
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(n) for n in names), _as_texts(data, bounds, known)], names=[*names, "decoded"])
 
-    return run
+    return tidy(run)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: list[str] | None = None) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import Hasher, free_name, gram_hashes, joined_words, mix, saved, slices, text_bytes, word_spans
+from .words import Hasher, free_name, gram_hashes, joined_words, mix, release_memory, saved, slices, text_bytes, tidy, word_spans
 
 LAST = (1 << 63) - 1
 SPOTS = 1 << 20
@@ -92,7 +92,7 @@ def _count_classes(k: int, m: int, classes: int):
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"class": seen, "n": counts[seen]})
 
-    return run
+    return tidy(run)
 
 
 def _packs(k: int, m: int, classes: int, buckets: int, hot: np.ndarray):
@@ -143,7 +143,7 @@ def _packs(k: int, m: int, classes: int, buckets: int, hot: np.ndarray):
         if held:
             yield flush()
 
-    return run
+    return tidy(run)
 
 
 def _ranges(doc, mark, place, k: int) -> dict:
@@ -201,7 +201,9 @@ def _settle(k: int):
                 least[w] = min(least.get(w, LAST), int(doc[row[i]]))
             gone += [i for i in members if doc[row[i]] > least[raw[ats[i] : ate[i]]]]
         gone = np.array(gone, np.int64)
-        return pd.DataFrame(_ranges(doc[row[gone]], mark[row[gone]], place[row[gone]] + inner[gone], k))
+        out = pd.DataFrame(_ranges(doc[row[gone]], mark[row[gone]], place[row[gone]] + inner[gone], k))
+        release_memory()
+        return out
 
     return run
 
@@ -230,7 +232,7 @@ def _hot_windows(k: int, m: int, classes: int, hot: np.ndarray):
                     "place": (np.repeat(places[own], n) + inner).astype(np.int32),
                 })
 
-    return run
+    return tidy(run)
 
 
 RANGES = "doc long, mark int, from int, to int"
@@ -302,7 +304,7 @@ def _without(names: list[str], ranges: str):
                     names=[*names, "n_words", "n_removed", "kept_text", "kept_sha256"],
                 )
 
-    return run
+    return tidy(run)
 
 
 def remove_repeats(

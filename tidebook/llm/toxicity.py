@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .quality import logistic
 from .sampling import labelled_sample
-from .words import Hasher, slices, text_bytes, word_spans
+from .words import Hasher, slices, text_bytes, tidy, word_spans
 
 SAMPLE, TOXIC_WORDS, ORDINARY_WORDS, HARD_WORDS, ROUNDS, SEED = 5000, 80, 100, 150, 4, 1
 THRESHOLDS = (3, 4, 5, 6)
@@ -209,7 +209,7 @@ def _score(model: Model | None, names: list[str]):
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(n) for n in names), pa.array(score), pa.array(hits)], names=[*names, "score", "windows"])
 
-    return run
+    return tidy(run)
 
 
 def score(docs: DataFrame, model: Model | None, columns: list[str] | None = None) -> DataFrame:

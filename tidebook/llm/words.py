@@ -6,7 +6,8 @@ rule can be applied to UTF-8 bytes. A null text counts as empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,27 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system: workers outlive their tasks, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library frees by itself
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """A batch function that releases what it freed once its task is done."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finalizer (public constants of the splitmix64 generator)."""
     x = x.astype(np.uint64, copy=True)
