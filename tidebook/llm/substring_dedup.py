@@ -35,10 +35,10 @@ from .words import Hasher, free_name, gram_hashes, joined_words, mix, release_me
 
 LAST = (1 << 63) - 1
 SPOTS = 1 << 20
-FLUSH_BYTES, LEVEL = 24 << 20, 3
+FLUSH_BYTES, LEVEL = 10 << 20, 3
 SALTS = 32
 #: Super-k-mers of a bucket and of a class, about, and of a class at which it is hot.
-BUCKET, CLASS, HOT = 60_000, 4096, 65_536
+BUCKET, CLASS, HOT = 30_000, 4096, 65_536
 
 
 def _key() -> tuple[Column, Column]:
