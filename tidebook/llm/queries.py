@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language_id, license_scan, mixing, near_dedup, quality, sentencepiece_sampling, topk, toxicity
+from . import (
+    ann, divergence, hard_negatives, language_id, license_scan, mixing, near_dedup, quality, sentencepiece_sampling, simhash, topk, toxicity,
+)
 from .substring_dedup import remove_repeats
 from .words import table
 
@@ -167,3 +169,60 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = sentencepiece_sampling.decode(pieces, vocabulary)
     return back.select(
         "doc_id", "n_pieces", F.xxhash64("pieces").alias("pieces_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), columns=["doc_id"])
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             CAST(1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (coalesce(s.total, 0) + l.v) AS HUGEINT) AS p,
+             CAST(1 + 1000000000::HUGEINT * (k.n + 1) // (l.total + l.v) AS HUGEINT) AS q
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+a AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(a.value, 0) AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+      LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o
+WHERE part = 'pair' OR rank <= 200"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.whole_vectors(table(spark, sf_dir, "embeddings"), label=label)
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE label IS NOT NULL AND {SOUND}),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT s.alike AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""

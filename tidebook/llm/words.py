@@ -7,7 +7,7 @@ rule can be applied to UTF-8 bytes. A null text counts as empty.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,12 @@ def free_name(base: str, taken: list[str]) -> str:
     return name
 
 
+def carried(columns: Iterable[str], own: Iterable[str]) -> list[str]:
+    """``columns`` without those that a result of ``own`` names would hide, whatever their case."""
+    taken = {c.lower() for c in own}
+    return [c for c in columns if c.lower() not in taken]
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: computed once, cut from its lineage and
     kept when executors are lost."""
