@@ -232,7 +232,8 @@ def near_duplicates(docs: DataFrame, columns: Sequence[str] | None = None, id_co
     roots = joined.join(nodes, "bits")
     first = roots.groupBy("root").agg(F.min("least").alias("first"))
     moved = roots.join(first, "root").select("bits", "first")
-    to = nodes.join(moved, "bits", "left").select("bits", F.coalesce("first", "least").alias("component_id"))
+    # Written, so that the join below shuffles both of its sides and the planner can split a hot fingerprint.
+    to = saved(nodes.join(moved, "bits", "left").select("bits", F.coalesce("first", "least").alias("component_id")), "component-ids")
     return rows.join(to, "bits").select(
         *[c for c in rows.columns if c not in ("bits", "component")],
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
