@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DECISION_LAG, FWD_HORIZONS, FWD_PREFIX, HALF_LIFE, PAST_HORIZONS
+from .decay import HELPERS, decayed, with_decay
 from .ordering import positions, shifted, time_block
 
 BATCH = ("symbol", "target_hour")
@@ -48,34 +49,11 @@ def fwd_logret(df: DataFrame, horizons=FWD_HORIZONS, lag=DECISION_LAG, **kw) ->
     return df.select("*", *fwd_columns(horizons, lag, **kw))
 
 
-def ewma_column(x: Column, half_life: float, partition=BATCH, order=("timestamp",)) -> Column:
-    """``a * sum_i b^(t-i) x_i`` with zero start, nulls skipped; NULL before the first value.
-
-    Sums ``x_i b^-i`` over a running frame, which stays finite for about 1,000 half-lives; longer
-    series use ``ewma_series``.
-    """
-    a = 1.0 - 2.0 ** (-1.0 / half_life)
-    b = F.lit(1.0 - a)
-    w = _order(partition, order)
-    rn = F.row_number().over(w) - 1
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.lit(a) * F.pow(b, rn) * F.sum(x * F.pow(b, -rn)).over(upto)
-
-
 def ewma_variance(df: DataFrame, half_life: float = HALF_LIFE, partition=BATCH, order=("timestamp",)) -> DataFrame:
-    """EWMA of squared ``log_return``; the row number and powers are computed once."""
-    a = 1.0 - 2.0 ** (-1.0 / half_life)
-    b = F.lit(1.0 - a)
-    w = _order(partition, order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """EWMA of squared ``log_return`` (zero start, nulls skipped) in batches of any length."""
     r = F.col("log_return")
-    return (
-        df.withColumn("_rn", F.row_number().over(w) - 1)
-        .withColumn("_z", r * r * F.pow(b, -F.col("_rn")))
-        .withColumn("_c", F.sum("_z").over(upto))
-        .withColumn("variance_proxy", F.lit(a) * F.pow(b, F.col("_rn")) * F.col("_c"))
-        .drop("_rn", "_z", "_c")
-    )
+    rows = decayed(with_decay(df, half_life, partition, order), {"variance_proxy": r * r}, partition, order)
+    return rows.drop(*HELPERS)
 
 
 def volatility(df: DataFrame) -> DataFrame:

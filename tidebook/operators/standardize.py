@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import BINS, CLIP, FWD_PREFIX, HALF_LIFE, NOT_SCALED
+from .decay import HELPERS, decayed, with_decay
 from .fitting import select_features
 
 MIN_DENOM = 1e-6
@@ -134,28 +135,17 @@ def ewma_scale(
     partition: Sequence[str] = ("symbol", "target_hour"),
     order: Sequence[str] = ("timestamp",),
 ) -> DataFrame:
-    """Clipped EWMA z-score of all features: one window pass for the means, one for the variances."""
+    """Clipped EWMA z-score of all features, in batches of any length: one pass for the means, one for the variances."""
     feats = list(feats or select_features(df, NOT_SCALED, (FWD_PREFIX,)))
-    a = 1.0 - 2.0 ** (-1.0 / half_life)
-    b = F.lit(1.0 - a)
-    w = Window.partitionBy(*partition).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rest = [c for c in df.columns if c not in feats]
-    up, down = F.col("_up"), F.lit(a) * F.col("_down")
-    rows = df.select(
-        *rest,
-        *[F.when(~F.isnan(f), F.col(f)).alias(f) for f in feats],
-        (F.row_number().over(w) - 1).alias("_rn"),
-    ).select(*rest, *feats, F.pow(b, -F.col("_rn")).alias("_up"), F.pow(b, F.col("_rn")).alias("_down"))
-    summed = rows.select("*", *[F.sum(F.col(f) * up).over(upto).alias(f"_m_{f}") for f in feats])
-    centred = summed.select(
-        *rest, "_up", "_down", *[(F.col(f) - down * F.col(f"_m_{f}")).alias(f) for f in feats]
-    )
-    squared = centred.select("*", *[F.sum(F.col(f) * F.col(f) * up).over(upto).alias(f"_v_{f}") for f in feats])
+    rows = with_decay(df.select(*rest, *[F.when(~F.isnan(f), F.col(f)).alias(f) for f in feats]), half_life, partition, order)
+    means = decayed(rows, {f"_m_{f}": F.col(f) for f in feats}, partition, order)
+    centred = means.select(*rest, *HELPERS, *[(F.col(f) - F.col(f"_m_{f}")).alias(f) for f in feats])
+    squares = decayed(centred, {f"_v_{f}": F.col(f) * F.col(f) for f in feats}, partition, order)
 
     def scaled(f: str):
-        z = F.col(f) / F.sqrt(down * F.col(f"_v_{f}") + 1e-12)
+        z = F.col(f) / F.sqrt(F.col(f"_v_{f}") + 1e-12)
         return F.greatest(F.lit(-clip), F.least(F.lit(clip), z))
 
-    out = squared.select(*rest, *[F.when(F.col(f).isNotNull(), scaled(f)).alias(f) for f in feats])
+    out = squares.select(*rest, *[F.when(F.col(f).isNotNull(), scaled(f)).alias(f) for f in feats])
     return out.select(*df.columns)
