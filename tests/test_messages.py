@@ -137,3 +137,92 @@ def test_empty_partial_clears_and_empty_ticks_stay(spark, gaps, tmp_path):
     messages.coalesce(1).write.option("timestampFormat", MICROS).json(src)
     B.run_available(B.maintain_book(read_l2_messages(spark, src, streaming=True)), changes, str(tmp_path / "cp"))
     assert books(B.current_book(spark.read.parquet(changes)).collect()) == books(M.book_at_end(intervals).collect())
+
+
+def delayed(feed):
+    """Files of arrival order: every fifth message of A arrives 30 messages late."""
+    arrival = lambda m: m[2] + (30 if m[1] == "A" and m[2] % 5 == 0 else 0)
+    return [[m for m in feed if m[0] == "orderBookL2" and arrival(m) // 80 == k] for k in range(5)]
+
+
+def test_late_entries_are_counted_and_left_out(spark, feed, tmp_path):
+    import duckdb
+
+    src, table = str(tmp_path / "in"), str(tmp_path / "changes")
+    parts = delayed(feed)
+    for part in parts:
+        as_messages(spark, part).coalesce(1).write.mode("append").option("timestampFormat", MICROS).json(src)
+    stream = read_l2_messages(spark, src, streaming=True, maxFilesPerTrigger=1)
+    counts = B.run_available(B.maintain_book(stream, buckets=1), table, str(tmp_path / "cp"))
+    assert counts["behind_watermark"] == 0
+    con = duckdb.connect()
+    con.execute("CREATE TABLE e (file INT, symbol TEXT, seq INT, id INT)")
+    con.executemany("INSERT INTO e VALUES (?, ?, ?, ?)", [(k, m[1], m[2], x[0]) for k, part in enumerate(parts) for m in part for x in m[5]])
+    want = con.execute("""SELECT symbol, count(*), count(DISTINCT id) FROM (SELECT *, max(seq) OVER (PARTITION BY symbol ORDER BY file
+        RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM e) WHERE seq <= before GROUP BY symbol""").fetchall()
+    changes = spark.read.parquet(table)
+    assert sorted(map(tuple, B.late_entries(changes).collect())) == sorted(want) and [w[0] for w in want] == ["A"]
+    late, most = set(), {}
+    for part in parts:
+        late |= {(m[1], m[2]) for m in part if m[2] <= most.get(m[1], -1)}
+        for m in part:
+            most[m[1]] = max(most.get(m[1], -1), m[2])
+    kept = [m for m in feed if (m[1], m[2]) not in late]
+    assert books(B.current_book(changes).collect()) == {s: replay(kept, s) for s in "AB"}
+
+
+def test_entries_behind_the_watermark_are_counted(spark, feed, tmp_path):
+    src, table = str(tmp_path / "in"), str(tmp_path / "levels")
+    own = [m for m in feed if m[1] == "B"]
+    for part in (own[50:150], own[150:250], own[:3]):
+        as_messages(spark, part).coalesce(1).write.mode("append").option("timestampFormat", MICROS).json(src)
+    stream = read_l2_messages(spark, src, streaming=True, maxFilesPerTrigger=1)
+    counts = B.run_available(B.maintain_book(stream, "snapshots", "5 minutes", buckets=2), table, str(tmp_path / "cp"))
+    assert counts["behind_watermark"] == sum(len(m[5]) for m in own[:3] if m[0] == "orderBookL2")
+
+
+class FakeMap:
+    """A map state that counts what is read and written."""
+
+    def __init__(self, rows):
+        self.rows, self.reads, self.writes = dict(rows), 0, 0
+
+    def getValue(self, key):
+        self.reads += 1
+        return self.rows.get(key)
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        self.writes += 1
+        self.rows.pop(key, None)
+
+    def iterator(self):
+        return iter(self.rows.items())
+
+    def clear(self):
+        self.rows = {}
+
+
+def test_only_named_levels_are_read_and_changed_ones_written():
+    state = FakeMap({(i,): (float(i), 1.0, "Buy") for i in range(1000)})
+    levels = B._Levels(state)
+    levels.put(5, (5.0, 2.0, "Buy"))
+    levels.put(5, (5.0, 3.0, "Buy"))
+    levels.put(7, None)
+    assert levels.get(9) and levels.get(9) and levels.get(5000) is None
+    levels.write()
+    assert state.reads == 2 and state.writes == 2 and len(state.rows) == 999
+    assert len(levels.live()) == 999 and len(levels.clear()) == 999 and not state.rows and levels.live() == []
+
+
+def test_frames_are_merged_in_order():
+    import pandas as pd
+
+    def frame(seqs):
+        return pd.DataFrame({"seq": seqs, "pos": 0, "us": 1, "action": "insert", "id": [None if s == 4 else s for s in seqs], "price": 1.0, "size": 1.0, "side": "Buy"})
+
+    rows = list(B._in_order(iter([frame([5, 1, 9]), frame([4, 2]), frame([])])))
+    assert [r[0] for r in rows] == [1, 2, 4, 5, 9] and [r[4] for r in rows] == [1, 2, -1, 5, 9]

@@ -97,6 +97,18 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def delayed_files(spark: SparkSession, sf_dir: str, files: int = 5, delay: int = 40) -> str:
+    """The messages in files of arrival order; a seventh of them arrives ``delay`` message numbers later."""
+    path = scratch_path(spark, "delayed")
+    rows = materialized(messages(spark, sf_dir))
+    share = events(spark, sf_dir).count() // files + 1
+    arrival = F.col("seq") + F.when(F.col("seq") % 7 == 0, delay).otherwise(0)
+    for k in range(files + 1):  # one after the other, as files are read by their time
+        own = rows.filter(F.floor(arrival / share) == k)
+        own.coalesce(1).write.mode("append").option("timestampFormat", MICROS).json(path)
+    return path
+
+
 def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four numeric columns as a feature table with a dense row number."""
     columns = list(dict.fromkeys([*LINE_ORDER, *LINE_FEATURES]))

@@ -370,6 +370,14 @@ ORACLE["b2b_book_intervals"] = (
 )
 ORACLE["b2b_book_at_end"] = f"WITH {INTERVALS} SELECT {LEVEL_OUT} FROM bi WHERE valid_to IS NULL"
 ORACLE["b2a_maintain_book"] = ORACLE["b2b_book_at_end"]
+_DELAYED = INTERVALS.replace("ms AS (SELECT 'X'", "m1 AS (SELECT 'X'", 1).replace(" FROM m0)", """ FROM m0),
+m2 AS (SELECT *, (seq + CASE WHEN seq % 7 = 0 THEN 40 ELSE 0 END) // (SELECT count(*) // 5 + 1 FROM events) AS file FROM m1),
+m3 AS (SELECT *, max(seq) OVER (ORDER BY file RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= seq AS late FROM m2),
+ms AS (SELECT * FROM m3 WHERE late IS NOT TRUE)""", 1)
+ORACLE["b2a_late_entries"] = f"""WITH {_DELAYED},
+lt AS (SELECT symbol, count(*) AS late_entries, count(DISTINCT id) AS levels FROM m3 WHERE late GROUP BY symbol),
+lb AS (SELECT symbol, count(*) AS live, sum(size) AS volume FROM bi WHERE valid_to IS NULL GROUP BY symbol)
+SELECT symbol, late_entries, levels, live, {r('volume')} AS volume FROM lt JOIN lb USING (symbol)"""
 SIX_HOURS = 6 * 3600 * 1_000_000
 TICKS = f"""{INTERVALS},
 lim AS (SELECT epoch_us(min(ts)) // {SIX_HOURS} AS a, epoch_us(max(ts)) // {SIX_HOURS} AS z FROM events),

@@ -139,7 +139,18 @@ def _(spark, sf):
     stream = SM.read_l2_messages(spark, fx.message_files(spark, sf), streaming=True)
     table = scratch_path(spark, "levels")
     B.run_available(B.maintain_book(stream, "snapshots", TICK), table, scratch_path(spark, "levels-cp"))
-    return out(spark.read.parquet(table).drop("bucket"))
+    return out(spark.read.parquet(table).filter("not late").drop("bucket", "late"))
+
+
+@query("b2a_late_entries")
+def _(spark, sf):
+    """Every seventh message is delivered 25 messages late, in files of arrival order that are read one per trigger."""
+    stream = SM.read_l2_messages(spark, fx.delayed_files(spark, sf), streaming=True, maxFilesPerTrigger=1)
+    table = scratch_path(spark, "changes")
+    B.run_available(B.maintain_book(stream, buckets=1), table, scratch_path(spark, "changes-cp"))
+    changes = spark.read.parquet(table)
+    book = B.current_book(changes).groupBy("symbol").agg(F.count(F.lit(1)).alias("live"), F.sum("size").alias("volume"))
+    return out(B.late_entries(changes).join(book, "symbol"))
 
 
 def _daily(spark, sf):
