@@ -413,6 +413,8 @@ ORACLE["i3_pending_files"] = (
 ORACLE["i4_ingest_log"] = f"""WITH {LEVELS}, d AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM sn GROUP BY 1),
   a AS (SELECT n FROM d UNION ALL SELECT 0)
 SELECT 'Raw LOB' AS type, n AS record_count, count(*) AS files FROM a GROUP BY n"""
+ORACLE["i4_ingest_stream"] = ORACLE["i4_ingest_log"]
+ORACLE["i5_stream_table"] = _TYPED
 ORACLE["i6_load_raw"] = f"WITH {LEVELS} SELECT symbol, epoch_us(ts) AS timestamp_us FROM sn WHERE ts >= TIMESTAMP '2024-01-10'"
 ORACLE["i7_sample_rows"] = f"""WITH {TRADES} SELECT event_id, symbol, {r('p')} AS last_traded_price FROM tr WHERE event_id % 5 <> 0
 ORDER BY md5('7|' || event_id), event_id LIMIT 500"""

@@ -25,6 +25,7 @@ from ..session import scratch_path, shared_dir
 from ..sources import messages as SM
 from ..sources import snapshots as I
 from ..streaming import book_state as B
+from ..streaming import ingest as SI
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,6 +235,35 @@ def _(spark, sf):
     )
 
 
+def _streamed(spark, sf):
+    """Days in two deliveries, the second with a damaged and an empty file; the stream is run after each, and once more."""
+    whole, source = spark.read.parquet(_daily(spark, sf)), scratch_path(spark, "delivered")
+    table, log, checkpoint = (scratch_path(spark, x) for x in ("raw", "log", "ingest-cp"))
+    for part in (0, 1):
+        own = whole.filter(F.dayofmonth("date") % 2 == part)
+        own.repartition("date").write.partitionBy("date").mode("append").parquet(source)
+        if part:
+            fx.write_bytes(spark, f"{source}/date=2024-02-01/broken.parquet", b"PAR1 cut short")
+            empty = spark.createDataFrame([], "symbol string, timestamp string, bids string, asks string")
+            empty.coalesce(1).write.parquet(f"{source}/date=2024-02-02")
+        SI.ingest_stream(spark, source, table, log, checkpoint, max_files=20)
+    SI.ingest_stream(spark, source, table, log, checkpoint)  # nothing is pending
+    return table, log
+
+
+@query("i4_ingest_stream")
+def _(spark, sf):
+    table, log = _streamed(spark, sf)
+    return SI.stream_log(spark, log).groupBy("type", F.col("record_count").cast("long").alias("record_count")).agg(
+        F.count(F.lit(1)).alias("files")
+    )
+
+
+@query("i5_stream_table")
+def _(spark, sf):
+    return _typed(I.load_raw(spark, _streamed(spark, sf)[0]))
+
+
 @query("i5_append_raw")
 def _(spark, sf):
     table = scratch_path(spark, "raw")

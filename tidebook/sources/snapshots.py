@@ -16,6 +16,8 @@ from ..operators.ordering import materialized
 from ..schema import INGESTION_LOG, PAIRS, SNAPSHOT_FILE
 
 LABEL = "Raw LOB"
+#: A Parquet file without rows has a footer and no pages, so a longer file that gives no rows is damaged.
+EMPTY_BYTES = 1 << 20
 
 
 def write_daily(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -49,7 +51,8 @@ def parse_lob(df: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(filename, path, length)`` of the Parquet files in a folder, read by the file source itself."""
+    """``(filename, path, length)`` of the Parquet files in a folder, read by the file source itself (which passes over
+    files of zero bytes)."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true").load(path)
@@ -83,30 +86,44 @@ def file_counts(files: DataFrame, rows: DataFrame, readable: DataFrame, label: s
     )
 
 
-def _whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whether each file can be read from end to end."""
+def _opens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whether each small file is a Parquet file without rows."""
     for pdf in frames:
         ok = []
         for content in pdf["content"]:
             try:
-                file = pq.ParquetFile(BytesIO(content))
-                ok.append(sum(batch.num_rows for batch in file.iter_batches(1024)) == file.metadata.num_rows)
+                ok.append(pq.ParquetFile(BytesIO(content)).metadata.num_rows == 0)
             except (ArrowException, OSError, EOFError):
                 ok.append(False)
         yield pd.DataFrame({"filename": pdf["filename"], "ok": ok})
 
 
-def bad_files(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
+def bad_files(spark: SparkSession, path: str, files: DataFrame | None = None, empty_bytes: int = EMPTY_BYTES) -> DataFrame:
     """``(filename)`` of files that are cut off, damaged inside or no Parquet files.
 
-    Only ``files`` (default: all of the folder) are opened, one at a time per task, through Spark's own file source, so
-    any file system that Spark reads will do. Only file names reach the driver.
+    Only ``files`` (default: all of the folder) are opened, by Spark's own reader, so any file system that Spark
+    reads will do and a file of any length is read in splits and row batches: once for the row counts in the footers (no
+    column is read), once for all rows. A file is whole if both agree. Files that gave no row are either empty, which only files up to
+    ``empty_bytes`` can be, or damaged. Only file names reach the driver.
     """
-    names = [r["path"] for r in (list_files(spark, path) if files is None else files).select("path").collect()]
+    known = materialized((list_files(spark, path) if files is None else files).select("filename", "path", "length"))
+    names = [r["path"] for r in known.select("path").collect()]
     if not names:
         return spark.createDataFrame([], "filename string")
-    contents = spark.read.format("binaryFile").load(names).select(_relative(F.col("path"), path).alias("filename"), "content")
-    return contents.mapInPandas(_whole, "filename string, ok boolean").filter(~F.col("ok")).select("filename")
+    rows = _reader(spark, names, True).withColumn("filename", _relative(F.col("_metadata.file_path"), path))
+    promised = rows.groupBy("filename").agg(F.count(F.lit(1)).alias("promised"))
+    # The digest makes every column be decoded.
+    read = rows.groupBy("filename").agg(
+        F.count(F.lit(1)).alias("read"), F.max(F.xxhash64(*SNAPSHOT_FILE.fieldNames())).alias("_digest"))
+    counted = materialized(known.join(promised, "filename", "left").join(read, "filename", "left"))
+    differ = counted.filter("promised > 0 AND NOT (promised <=> read)").select("filename")
+    silent = counted.filter("promised IS NULL")
+    small = [r["path"] for r in silent.filter(F.col("length") <= empty_bytes).select("path").collect()]
+    bad = differ.unionByName(silent.filter(F.col("length") > empty_bytes).select("filename"))
+    if small:
+        contents = spark.read.format("binaryFile").load(small).select(_relative(F.col("path"), path).alias("filename"), "content")
+        bad = bad.unionByName(contents.mapInPandas(_opens, "filename string, ok boolean").filter(~F.col("ok")).select("filename"))
+    return bad
 
 
 def ingest(spark: SparkSession, source: str, table: str, log_path: str, label: str = LABEL) -> DataFrame:
