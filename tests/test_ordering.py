@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidebook.operators import returns as R
 from tidebook.operators.ordering import blocked_window, dense_series, halo_chunks, positions, shifted
-from tidebook.operators.ranks import average_ranks, expand_runs, quantiles, value_runs
+from tidebook.operators.ranks import average_ranks, expand_runs, quantiles, sorted_blocks, value_runs
 
 
 @pytest.fixture(scope="module")
@@ -91,3 +91,27 @@ def test_ewma_series_over_many_chunks(spark):
         s = a * v + (1 - a) * s
         want.append(s)
     assert np.allclose(got, want, rtol=1e-12)
+
+
+def test_blocks_stay_small_under_several_scales(spark):
+    """Most values crowd together; others lie at 1e3 and 1e12, and one value fills a third of all rows."""
+    i = F.col("id")
+    value = F.when(i % 3 == 0, F.lit(0.5)).when(i % 1000 == 1, i * 1e12).when(i % 1000 == 2, i + 1e3).otherwise(F.rand(3) * 1e-6)
+    long = spark.range(600_000).select(F.lit("s").alias("series"), value.alias("value"))
+    sizes = sorted_blocks(long, rows=20_000).groupBy("_block").agg(F.count(F.lit(1)).alias("runs")).toPandas()["runs"]
+    assert len(sizes) >= 8 and sizes.max() < 100_000 and sizes.max() < 4 * sizes.mean()
+    runs = value_runs(long, rows=20_000)
+    got = runs.agg(F.sum("cnt"), F.max("n"), F.max("below"), F.max("value")).first()
+    assert got[0] == got[1] == 600_000 and got[2] == 599_999
+    bad = runs.orderBy("value").toPandas()
+    assert (bad["below"].to_numpy() == bad["cnt"].cumsum().shift(fill_value=0).to_numpy()).all()
+
+
+def test_one_scan_of_the_rows(spark, tmp_path):
+    from tidebook.operators import moments as S
+
+    path = str(tmp_path / "long")
+    spark.range(1000).selectExpr("'s' AS series", "id AS idx", "CAST(id AS DOUBLE) AS value").write.parquet(path)
+    plan = value_runs(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert path not in plan  # the merged runs are read, not the rows again
+    assert S.describe_series(spark.read.parquet(path)).count() == 1

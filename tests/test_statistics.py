@@ -287,3 +287,44 @@ def test_runs_p_and_short(long, data):
     var = (mean - 1) * (2 * pos * (n - pos) - n) / n / (n - 1)
     z = (runs - mean) / math.sqrt(var)
     assert got["ar"].z == pytest.approx(z) and got["ar"].p == pytest.approx(math.erfc(abs(z) / math.sqrt(2)))
+
+
+def test_pair_matrices_make_no_pair_rows(spark):
+    from tidebook.operators import dependence as D
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 6)).cumsum(1)
+    names = [f"c{j}" for j in range(6)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["idx", *names]).repartition(5)
+    rho = D.spearman_matrix(df, "idx", names)
+    assert "Generate" not in rho._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[0]
+    ranks = np.argsort(np.argsort(x, axis=0), axis=0)
+    want = np.corrcoef(ranks.T)
+    got = {(r.feature_a, r.feature_b): r.rho for r in rho.collect()}
+    assert len(got) == 15
+    for (a, b), v in got.items():
+        assert v == pytest.approx(want[names.index(a), names.index(b)], abs=1e-12)
+    counted = D.mi_matrix(df, names)
+    cut = [np.quantile(x[:, j], [i / 10 for i in range(1, 10)]) for j in range(6)]
+    bins = np.column_stack([np.searchsorted(cut[j], x[:, j], side="right") for j in range(6)])
+    for r in counted.collect():
+        joint = np.zeros((10, 10))
+        np.add.at(joint, (bins[:, names.index(r.feature_a)], bins[:, names.index(r.feature_b)]), 1)
+        p = joint / joint.sum()
+        outer = p.sum(1)[:, None] * p.sum(0)[None, :]
+        assert r.mi == pytest.approx((p[p > 0] * np.log(p[p > 0] / outer[p > 0])).sum(), abs=1e-10)
+
+
+def test_lag_products_of_all_kinds_in_one_pass(spark, monkeypatch):
+    from tidebook.operators import dependence as D
+
+    monkeypatch.setattr(D, "CHUNK", 50)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=333) + 40
+    df = spark.createDataFrame([("s", i, float(v)) for i, v in enumerate(x)], "series string, idx long, value double")
+    kinds = {"value": x, "square": x * x, "demeaned_square": (x - x.mean()) ** 2}
+    got = {(r.of, r.lag): r for r in D.lag_products(df, 120).collect()}
+    assert len(got) == 360
+    for (of, k), r in got.items():
+        d = kinds[of] - kinds[of].mean()
+        assert r.p == pytest.approx(d[k:] @ d[:-k], rel=1e-9, abs=1e-7) and r.n == 333 and r.m2 == pytest.approx(d @ d / 333)

@@ -674,8 +674,7 @@ _series_query("s30_qq_points", N.qq_points, digits=9)
 @query("s6_ljung_box")
 def _(spark, sf):
     series = fx.return_series(spark, sf)
-    kinds = [D.ljung_box(series, of=o).withColumn("of", F.lit(o)) for o in ("value", "square", "demeaned_square")]
-    return out(kinds[0].unionByName(kinds[1]).unionByName(kinds[2]))
+    return out(D.ljung_box(series, of=D.KINDS))
 
 
 @query("s11_interpret")

@@ -2,56 +2,82 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tails import chi2_sf
-from .ordering import shifted, small_side
+from .ordering import CHUNK, halo_chunks, materialized, shifted, small_side
 from .ranks import average_ranks, quantiles
 
 MI_BINS = 10
 MIN_PAIRS = 50
 
 
-def autocorrelations(long: DataFrame, max_lag: int, of: str = "value") -> DataFrame:
-    """``(series, n, lag, acf)`` for lags 1..max_lag of the values, their squares (``square``) or
-    their squared deviations (``demeaned_square``). One pass: all lags share a window."""
-    if of == "demeaned_square":
-        mean = long.groupBy("series").agg(F.avg("value").alias("_m"))
-        long = long.join(small_side(mean), "series").select(
-            "series", "idx", F.pow(F.col("value") - F.col("_m"), F.lit(2)).alias("value")
-        )
-    elif of == "square":
-        long = long.select("series", "idx", (F.col("value") * F.col("value")).alias("value"))
+KINDS = ("value", "square", "demeaned_square")
+
+
+def lag_products(long: DataFrame, max_lag: int, of: Sequence[str] = KINDS) -> DataFrame:
+    """``(series, of, n, m2, lag, p)``: sums of products of deviations ``lag`` rows apart, for the values, their squares and
+    their squared deviations at once.
+
+    One aggregate gives all means; then one pass over chunks with copied edge rows, in which a chunk gives one number per kind and lag.
+    """
+    x = F.col("value")
     base = long.groupBy("series").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("m2")
-    )
-    dev = long.join(small_side(base), "series").withColumn("value", F.col("value") - F.col("mean"))
-    lagged = shifted(dev, ["series"], {f"_l{k}": (F.col("value"), k) for k in range(1, max_lag + 1)})
-    sums = lagged.groupBy("series", "n", "m2").agg(
-        *[F.sum(F.col("value") * F.col(f"_l{k}")).alias(f"_p{k}") for k in range(1, max_lag + 1)]
-    )
-    entries = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_p{k}").alias("p")) for k in range(1, max_lag + 1)])
-    return sums.select("series", "n", "m2", F.explode(entries).alias("e")).select(
-        "series", "n", F.col("e.lag").alias("lag"),
-        F.when(F.col("m2") > 0, F.col("e.p") / (F.col("n") * F.col("m2"))).alias("acf"),
-    )
+        F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.avg(x * x).alias("square"), F.var_pop(x).alias("demeaned_square"))
+    rows = halo_chunks(long.select("series", "idx", "value").join(small_side(base), "series"), "idx", CHUNK, back=max_lag)
+    kinds = tuple(of)
+
+    def products(key: tuple, table: pa.Table) -> pa.Table:
+        order = np.argsort(table["idx"].to_numpy())
+        v, own = table["value"].to_numpy()[order], table["own"].to_numpy(zero_copy_only=False)[order]
+        mean, square, spread = (table[c][0].as_py() for c in ("mean", "square", "demeaned_square"))
+        first, sums = int(np.flatnonzero(own)[0]) if own.any() else len(v), []
+        for kind in kinds:
+            d = v - mean if kind == "value" else v * v - square if kind == "square" else (v - mean) ** 2 - spread
+            for k in range(max_lag + 1):
+                start = max(first, k)  # only the first chunk has rows without a row k before them
+                sums.append(float(d[start:] @ d[start - k : len(d) - k]) if start < len(d) else 0.0)
+        n = len(sums)
+        return pa.table({
+            "series": pa.array([key[0].as_py()] * n, pa.string()), "of": np.repeat(kinds, max_lag + 1).tolist(),
+            "lag": np.tile(np.arange(max_lag + 1, dtype=np.int32), len(kinds)), "p": sums})
+
+    parts = rows.groupBy("series", "chunk").applyInArrow(products, "series string, of string, lag int, p double")
+    sums = parts.groupBy("series", "of", "lag").agg(F.sum("p").alias("p"))
+    sizes = base.select("series", "n")
+    whole = sums.filter("lag = 0").select("series", "of", F.col("p").alias("_p0"))
+    return sums.filter("lag > 0").join(whole, ["series", "of"]).join(small_side(sizes), "series").select(
+        "series", "of", "n", (F.col("_p0") / F.col("n")).alias("m2"), "lag", "p")
+
+
+def autocorrelations(long: DataFrame, max_lag: int, of: str | Sequence[str] = "value") -> DataFrame:
+    """``(series, n, lag, acf)`` for lags 1..max_lag of the values, their squares (``square``) or
+    their squared deviations (``demeaned_square``); with several kinds, ``of`` is a column too."""
+    kinds = [of] if isinstance(of, str) else list(of)
+    named = [] if isinstance(of, str) else ["of"]
+    return lag_products(long, max_lag, kinds).select(
+        "series", *named, "n", "lag", F.when(F.col("m2") > 0, F.col("p") / (F.col("n") * F.col("m2"))).alias("acf"))
 
 
-def ljung_box(long: DataFrame, lags: Sequence[int] = (10, 20, 40), of: str = "value") -> DataFrame:
-    """``(series, n, lags, lb_stat, lb_p)``; a lag count the series is too short for gives NULL."""
+def ljung_box(long: DataFrame, lags: Sequence[int] = (10, 20, 40), of: str | Sequence[str] = "value") -> DataFrame:
+    """``(series, n, lags, lb_stat, lb_p)``; a lag count the series is too short for gives NULL. Several kinds ``of`` share
+    one pass and have a column ``of``."""
     acf = autocorrelations(long, max(lags), of)
+    keys = ["series", "n"] if isinstance(of, str) else ["series", "of", "n"]
     n = F.col("n")
     term = F.col("acf") * F.col("acf") / (n - F.col("lag"))
-    sums = acf.groupBy("series", "n").agg(
+    sums = acf.groupBy(*keys).agg(
         *[F.sum(F.when((F.col("lag") <= L) & (n > F.col("lag")), term)).alias(f"_q{L}") for L in lags]
     )
     entries = F.array(*[F.struct(F.lit(L).alias("lags"), F.col(f"_q{L}").alias("q")) for L in lags])
     stat = F.when(n > F.col("e.lags"), n * (n + 2.0) * F.col("e.q"))
-    return sums.select("series", "n", F.explode(entries).alias("e")).select(
-        "series", "n", F.col("e.lags").alias("lags"), stat.alias("lb_stat")
+    return sums.select(*keys, F.explode(entries).alias("e")).select(
+        *keys, F.col("e.lags").alias("lags"), stat.alias("lb_stat")
     ).withColumn("lb_p", chi2_sf(F.col("lb_stat"), F.col("lags")))
 
 
@@ -102,14 +128,24 @@ def _pair_list(left: Sequence[str], right: Sequence[str] | None) -> list[tuple[s
     return [(a, b) for a in left for b in right]
 
 
-def _pairs(wide: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row per listed column pair and input row: ``feature_a, feature_b, x, y``. The list is fixed
-    by the column names; rows are summed up before they leave their task."""
-    entries = F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(a).alias("x"), F.col(b).alias("y"))
-        for a, b in pairs
-    ])
-    return wide.select(F.explode(entries).alias("p")).select("p.*")
+def _columns(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns]) if batch.num_columns else np.zeros((0, 0))
+
+
+def _rank_products(names: Sequence[str], pairs: Sequence[tuple[str, str]], middle: float):
+    """Sums of products of centred ranks: one matrix product per batch, one row per pair and task."""
+    at = [(names.index(a), names.index(b)) for a, b in pairs]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram = np.zeros((len(names), len(names)))
+        for batch in batches:
+            d = _columns(batch) - middle
+            gram += d.T @ d
+        yield pa.RecordBatch.from_pydict({
+            "feature_a": [a for a, _ in pairs], "feature_b": [b for _, b in pairs],
+            "ab": [gram[i, j] for i, j in at], "aa": [gram[i, i] for i, _ in at], "bb": [gram[j, j] for _, j in at]})
+
+    return run
 
 
 def _spearman(df: DataFrame, key: str, left: Sequence[str], right: Sequence[str] | None) -> DataFrame:
@@ -117,11 +153,15 @@ def _spearman(df: DataFrame, key: str, left: Sequence[str], right: Sequence[str]
     ranks = average_ranks(_numbered_long(df, key, names))
     wide = ranks.groupBy("idx").agg(
         *[F.max(F.when(F.col("series") == f, F.col("rank"))).alias(f) for f in names]
-    )
-    rho = _pairs(wide, _pair_list(left, right)).groupBy("feature_a", "feature_b").agg(
-        F.when((F.stddev_pop("x") > 0) & (F.stddev_pop("y") > 0), F.corr("x", "y")).alias("rho")
-    )
-    return rho
+    ).drop("idx")
+    n = df.dropna(subset=names).count()
+    # The mean of average ranks is (n + 1) / 2, so centred sums need no pass of their own.
+    sums = wide.mapInArrow(
+        _rank_products(names, _pair_list(left, right), (n + 1) / 2),
+        "feature_a string, feature_b string, ab double, aa double, bb double",
+    ).groupBy("feature_a", "feature_b").agg(*[F.sum(c).alias(c) for c in ("ab", "aa", "bb")])
+    return sums.select("feature_a", "feature_b", F.when(
+        (F.col("aa") > 0) & (F.col("bb") > 0), F.col("ab") / F.sqrt(F.col("aa") * F.col("bb"))).alias("rho"))
 
 
 def spearman_matrix(df: DataFrame, key: str, feats: Sequence[str]) -> DataFrame:
@@ -171,19 +211,39 @@ def _mi_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _joint_counts(names: Sequence[str], pairs: Sequence[tuple[str, str]], edges: dict[str, list[float]], bins: int):
+    """Joint counts of all pairs: the rows' bins as 0/1 columns, one matrix product per batch, added up per task."""
+    at = [(names.index(a), names.index(b)) for a, b in pairs]
+    cuts = [np.array(edges[f]) for f in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(names) * bins, len(names) * bins))
+        for batch in batches:
+            v = _columns(batch)
+            marks = np.zeros((len(v), len(names) * bins), np.float32)  # whole numbers below 2^24 stay exact
+            for j, cut in enumerate(cuts):
+                marks[np.arange(len(v)), j * bins + np.searchsorted(cut, v[:, j], side="right")] = 1
+            total += marks.T @ marks
+        for (a, b), (i, j) in zip(pairs, at):
+            part = total[i * bins : (i + 1) * bins, j * bins : (j + 1) * bins]
+            x, y = np.nonzero(part)
+            yield pa.RecordBatch.from_pydict({
+                "feature_a": [a] * len(x), "feature_b": [b] * len(x), "x": x.astype(np.int32), "y": y.astype(np.int32), "c": part[x, y].astype(np.int64)})
+
+    return run
+
+
 def _mutual(df: DataFrame, left, right, bins: int) -> DataFrame:
     names = list(dict.fromkeys([*left, *(right or [])]))
     clean = df.dropna(subset=names).select(*[F.col(f).cast("double").alias(f) for f in names])
+    # One row of bounds per column reaches the driver.
     edges = {r["series"]: r["q"] for r in _edges(clean.unpivot([], names, "series", "value"), bins).collect()}
     if not edges:
         edges = {f: [0.0] * (bins - 1) for f in names}
-    binned = clean.select(*[
-        _bin_of(F.col(f), F.array(*[F.lit(e) for e in edges[f]]), bins).alias(f) for f in names
-    ])
-    counts = _pairs(binned, _pair_list(left, right)).groupBy("feature_a", "feature_b", "x", "y").agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    return _mi_from_counts(counts, ["feature_a", "feature_b"]).drop("n")
+    counts = clean.mapInArrow(
+        _joint_counts(names, _pair_list(left, right), edges, bins), "feature_a string, feature_b string, x int, y int, c long"
+    ).groupBy("feature_a", "feature_b", "x", "y").agg(F.sum("c").alias("c"))
+    return _mi_from_counts(materialized(counts), ["feature_a", "feature_b"]).drop("n")
 
 
 def mi_matrix(df: DataFrame, feats: Sequence[str], bins: int = MI_BINS) -> DataFrame:

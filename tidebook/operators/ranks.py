@@ -1,57 +1,58 @@
 """Order statistics over any number of rows: sorted value runs, quantiles, average ranks.
 
-Rows are placed in value blocks (equal-width between the exact minimum and maximum, crowded blocks
-divided again) and equal values are merged before anything is shuffled, so a value that fills a third
-of a series is one row. Block totals give every run the number of rows below it. Minimum, maximum and counts
-are exact, so a repeated task finds the same blocks.
+Equal values are merged first, in one pass over the rows, so a value that fills a third of a series is one row. The merged values are sorted by
+range partitions: bounds are drawn from the values themselves, so outliers, several scales and crowded places give blocks of like
+size. Block totals give every run the number of rows below it. Runs are written once; nothing is approximated.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import small_side
+from .ordering import materialized, small_side
 
-BLOCKS = 1024
 ROWS_PER_BLOCK = 50_000
 
 
-def _bin(v: Column, lo: Column, hi: Column, n: Column) -> Column:
-    part = F.when(hi > lo, F.floor((v - lo) / (hi - lo) * n)).otherwise(F.lit(0))
-    return F.greatest(F.least(part, n - 1), F.lit(0)).cast("long")
+def _counted_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the running count within the partition."""
+    total = 0
+    for batch in batches:
+        upto = total + np.cumsum(batch.column("cnt").to_numpy(zero_copy_only=False))
+        total = int(upto[-1]) if len(upto) else total
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto, pa.int64())], names=[*batch.schema.names, "_upto"])
 
 
-def value_runs(long: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
-    """``(keys, value, cnt, below, n)``: distinct values with the number of rows strictly below."""
+def sorted_blocks(long: DataFrame, keys: Sequence[str] = ("series",), rows: int = ROWS_PER_BLOCK) -> DataFrame:
+    """``(keys, value, cnt, _block, _upto)``: distinct values in ordered blocks of about ``rows`` runs, with the running count
+    inside a block."""
+    merged = materialized(long.filter(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt")))
+    least = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(least, -(-merged.count() // rows))
+    ordered = merged.repartitionByRange(blocks, *keys, "value").sortWithinPartitions(*keys, "value").withColumn(
+        "_block", F.spark_partition_id())
+    schema = ordered.withColumn("_upto", F.lit(0).cast("long")).schema
+    return materialized(ordered.mapInArrow(_counted_up, schema))
+
+
+def value_runs(long: DataFrame, keys: Sequence[str] = ("series",), rows: int = ROWS_PER_BLOCK) -> DataFrame:
+    """``(keys, value, cnt, below, n)``: distinct values with the number of rows strictly below. Nulls are left out."""
     keys = list(keys)
-    v = F.col("value")
-    span = small_side(long.groupBy(*keys).agg(
-        F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.count(F.lit(1)).alias("n")
-    ))
-    coarse = long.select(*keys, "value").join(span, keys).withColumn(
-        "_b1", _bin(v, F.col("_lo"), F.col("_hi"), F.lit(BLOCKS))
-    ).drop("_lo", "_hi")
-    crowd = small_side(coarse.groupBy(*keys, "_b1").agg(
-        F.min(v).alias("_lo"), F.max(v).alias("_hi"),
-        F.ceil(F.count(F.lit(1)) / ROWS_PER_BLOCK).alias("_parts"),
-    ))
-    fine = coarse.join(crowd, [*keys, "_b1"]).withColumn(
-        "_b2", _bin(v, F.col("_lo"), F.col("_hi"), F.col("_parts"))
-    ).groupBy(*keys, "n", "_b1", "_b2", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    block = [*keys, "_b1", "_b2"]
-    prior = Window.partitionBy(*keys).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = fine.groupBy(*block).agg(F.sum("cnt").alias("_rows")).select(
-        *block, F.coalesce(F.sum("_rows").over(prior), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy(*block).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        fine.withColumn("_upto", F.sum("cnt").over(inside))
-        .join(offsets, block)
-        .select(*keys, "value", "cnt", (F.col("_offset") + F.col("_upto") - F.col("cnt")).alias("below"), "n")
+    placed = sorted_blocks(long, keys, rows)
+    # One row per block, and one more for each key that begins inside a block.
+    totals = placed.groupBy(*keys, "_block").agg(F.sum("cnt").alias("_rows"), F.min(F.col("_upto") - F.col("cnt")).alias("_start"))
+    prior = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *keys, "_block", (F.coalesce(F.sum("_rows").over(prior), F.lit(0)) - F.col("_start")).alias("_offset"),
+        F.sum("_rows").over(Window.partitionBy(*keys)).alias("n"),
     )
+    return placed.join(small_side(offsets), [*keys, "_block"]).select(
+        *keys, "value", "cnt", (F.col("_offset") + F.col("_upto") - F.col("cnt")).alias("below"), "n")
 
 
 def quantiles_of_runs(
