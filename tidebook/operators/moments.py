@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.tails import normal_sf
 from ..functions.transforms import is_finite
 from .ordering import small_side
-from .ranks import quantiles_of_runs, value_runs
+from .ranks import merged_values, quantiles_of_runs, value_runs
 
 # Reported percentiles.
 PERCENTILES = {"p01": 0.01, "p05": 0.05, "q25": 0.25, "median": 0.5, "q75": 0.75, "p95": 0.95, "p99": 0.99}
@@ -43,19 +43,31 @@ def unbiased_kurtosis() -> Column:
     )
 
 
+def moments_of_runs(runs: DataFrame) -> DataFrame:
+    """``series`` and the columns of ``moments`` from merged values ``(series, value, cnt)``: central sums around the mean."""
+    v, c = F.col("value"), F.col("cnt")
+    first = small_side(runs.groupBy("series").agg(
+        F.sum(c).alias("n"), (F.sum(v * c) / F.sum(c)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")))
+    d = v - F.col("mean")
+    sums = runs.join(first, "series").groupBy("series").agg(*[F.sum(c * F.pow(d, F.lit(k))).alias(f"_s{k}") for k in (2, 3, 4)])
+    n, m2 = F.col("n"), F.col("_s2") / F.col("n")
+    return first.join(sums, "series").select(
+        "series", "n", "mean", m2.alias("m2"), F.when(m2 > 0, F.col("_s3") / n / F.pow(m2, F.lit(1.5))).alias("skew_b"),
+        F.when(m2 > 0, F.col("_s4") / n / (m2 * m2) - 3.0).alias("kurt_b"), "min", "max")
+
+
 def describe_series(long: DataFrame) -> DataFrame:
-    """Counts, moments and exact percentiles per series; ``missing`` counts unusable input rows."""
+    """Counts, moments and exact percentiles per series; ``missing`` counts unusable input rows. The rows are read once, all
+    else comes from their merged values."""
     v = F.col("value")
-    raw = long.groupBy("series").agg(
-        F.sum(F.when(is_finite(v), 0).otherwise(1)).alias("missing")
-    )
-    clean = long.filter(is_finite(v))
-    runs = value_runs(clean)
+    merged = merged_values(long.select("series", F.when(is_finite(v), v).alias("value")))
+    raw = merged.groupBy("series").agg(F.coalesce(F.sum(F.when(v.isNull(), F.col("cnt"))), F.lit(0)).alias("missing"))
+    usable = merged.filter(v.isNotNull())
     distinct = F.count(F.lit(1)).alias("unique")
-    q = quantiles_of_runs(runs, list(PERCENTILES.values()), extra=[distinct]).drop("n")
+    q = quantiles_of_runs(value_runs(usable, merged=usable), list(PERCENTILES.values()), extra=[distinct]).drop("n")
     n = F.col("n")
     return (
-        raw.join(moments(clean), "series", "left").join(q, "series", "left")
+        raw.join(moments_of_runs(usable), "series", "left").join(q, "series", "left")
         .select(
             "series",
             F.coalesce(n, F.lit(0)).alias("n"),

@@ -28,11 +28,18 @@ def _counted_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto, pa.int64())], names=[*batch.schema.names, "_upto"])
 
 
-def sorted_blocks(long: DataFrame, keys: Sequence[str] = ("series",), rows: int = ROWS_PER_BLOCK) -> DataFrame:
+def merged_values(long: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """``(keys, value, cnt)``: equal values merged, in one pass over the rows, and written."""
+    return materialized(long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def sorted_blocks(
+    long: DataFrame, keys: Sequence[str] = ("series",), rows: int = ROWS_PER_BLOCK, merged: DataFrame | None = None
+) -> DataFrame:
     """``(keys, value, cnt, _block, _upto)``: distinct values in ordered blocks of about ``rows`` runs, with the running count
-    inside a block."""
-    merged = materialized(long.filter(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt")))
-    least = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    inside a block. ``merged``: the values already merged by ``merged_values``."""
+    merged = (merged_values(long, keys) if merged is None else merged).filter(F.col("value").isNotNull())
+    least = int(merged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(least, -(-merged.count() // rows))
     ordered = merged.repartitionByRange(blocks, *keys, "value").sortWithinPartitions(*keys, "value").withColumn(
         "_block", F.spark_partition_id())
@@ -40,10 +47,12 @@ def sorted_blocks(long: DataFrame, keys: Sequence[str] = ("series",), rows: int
     return materialized(ordered.mapInArrow(_counted_up, schema))
 
 
-def value_runs(long: DataFrame, keys: Sequence[str] = ("series",), rows: int = ROWS_PER_BLOCK) -> DataFrame:
+def value_runs(
+    long: DataFrame, keys: Sequence[str] = ("series",), rows: int = ROWS_PER_BLOCK, merged: DataFrame | None = None
+) -> DataFrame:
     """``(keys, value, cnt, below, n)``: distinct values with the number of rows strictly below. Nulls are left out."""
     keys = list(keys)
-    placed = sorted_blocks(long, keys, rows)
+    placed = sorted_blocks(long, keys, rows, merged)
     # One row per block, and one more for each key that begins inside a block.
     totals = placed.groupBy(*keys, "_block").agg(F.sum("cnt").alias("_rows"), F.min(F.col("_upto") - F.col("cnt")).alias("_start"))
     prior = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
