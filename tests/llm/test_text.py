@@ -197,6 +197,24 @@ def test_toxicity_separates():
     assert ((score >= 0.7) == (np.array(marks[450:]) == 1)).mean() > 0.98
 
 
+@pytest.mark.parametrize("sf_dir,least,false", [("/root/testdata/sf0.01", 14, 1), ("/root/testdata/sf0.1", 75, 12)])
+def test_toxicity_of_rows_that_taught_nothing(spark, sf_dir, least, false):
+    from tidebook.llm.queries import REGISTRY
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    rows = REGISTRY["op1_toxicity"](spark, sf_dir).filter("held_out").join(labels, "doc_id").filter("toxic is not null").collect()
+    assert all((r.predicted == 1) == (r.score >= 0.7) for r in rows)
+    assert sum(r.predicted for r in rows if r.toxic == 1) >= least
+    assert sum(r.predicted for r in rows if r.toxic == 0) <= false
+
+
+def test_toxicity_of_repeated_ids(spark, labels):
+    rows = [(i % 10 + 1, f"text {i} of many") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("Score", F.lit("clash"))
+    out = toxicity.score(docs, toxicity.fit(docs, labels))
+    assert out.count() == 30 and out.columns == ["doc_id", "text", "score"]
+
+
 # pipeline
 
 def test_pipeline(spark):

@@ -17,7 +17,9 @@ def labelled_sample(
     The labels are counted on ids alone, and texts are filtered by hash before they are moved.
     """
     rank = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)).alias("rank")
-    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull())
+    # One row per id, so repeated ids and labels multiply nothing; of several labels the least holds.
+    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
+    known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
     marked = ids.join(known, "doc_id", "left" if None in bounds else "inner").select("doc_id", "label", rank)
     sizes = {r.label: r.n for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     limit, top = F.lit(-1.0), 0.0
