@@ -206,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column | None = None, seed: i
     """A model from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``; rows outside ``where`` teach nothing."""
     rows = docs if where is None else docs.filter(where)
     known = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("label"))
-    drawn = labelled_sample(rows, known, ["text"], {0: SAMPLE, 1: SAMPLE}, seed)
+    drawn = labelled_sample(rows, known, ["text"], {0: SAMPLE, 1: SAMPLE}, seed, once=True)
     found = drawn.groupBy(F.lit(1).alias("all")).applyInPandas(_fit, "toxic binary, ordinary binary, weights array<double>").collect()
     return Model(bytes(found[0]["toxic"]), bytes(found[0]["ordinary"]), np.array(found[0]["weights"])) if found else None
 
