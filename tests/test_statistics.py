@@ -328,3 +328,15 @@ def test_lag_products_of_all_kinds_in_one_pass(spark, monkeypatch):
     for (of, k), r in got.items():
         d = kinds[of] - kinds[of].mean()
         assert r.p == pytest.approx(d[k:] @ d[:-k], rel=1e-9, abs=1e-7) and r.n == 333 and r.m2 == pytest.approx(d @ d / 333)
+
+
+def test_density_from_cell_moments(spark):
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(size=4000), rng.normal(size=500) * 0.01 + 3, np.full(300, 1.25), [40.0]])
+    df = spark.createDataFrame([("s", i, float(v)) for i, v in enumerate(x)], "series string, idx long, value double")
+    got = P.gaussian_kde(df, 150).orderBy("point").toPandas()
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = np.exp(-((got["x"].to_numpy()[:, None] - x[None, :]) / h) ** 2 / 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.allclose(got["density"], want, rtol=1e-12, atol=1e-15 * want.max())
+    plan = P.gaussian_kde(df, 150)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 2 and plan.index("_m9") > 0

@@ -13,13 +13,27 @@ from .ranks import quantiles_of_runs, value_runs
 
 LOG_2PI = math.log(2 * math.pi)
 MIN_FIT = 50
+#: Cells of a bandwidth, terms of the series of a cell.
+CELLS, TERMS = 8, 10
 REACH = 38.0  # a standard normal density is zero in double precision beyond this
 
 
+def _hermite() -> list[list[float]]:
+    """Coefficients of the Hermite polynomials of the normal density up to ``TERMS``, each over its factorial."""
+    rows = [[1.0], [0.0, 1.0]]
+    for k in range(1, TERMS):
+        up, down = [0.0, *rows[k]], [*rows[k - 1], 0.0, 0.0]
+        rows.append([u - k * d for u, d in zip(up, down)])
+    return [[c / math.factorial(k) for c in row] for k, row in enumerate(rows)]
+
+
 def gaussian_kde(long: DataFrame, points: int = 400) -> DataFrame:
     """Density with Scott's bandwidth on ``points`` places between the 0.5 and 99.5 percentiles.
 
-    Works on value runs; a run only touches the grid places within its kernel's reach.
+    Values are gathered in cells of an eighth of a bandwidth by their moments around the cell's middle, and a cell adds a series of
+    Hermite polynomials to the places within its reach. Values lie at most a sixteenth of a bandwidth off, so the
+    ``TERMS`` = 10 terms leave less than 1e-15 of the largest density. Work beyond one pass grows with cells x places, not
+    with the rows.
     """
     runs = value_runs(long)
     lim = quantiles_of_runs(runs, [0.005, 0.995])
@@ -28,17 +42,25 @@ def gaussian_kde(long: DataFrame, points: int = 400) -> DataFrame:
         "series", F.col("n"), F.get("q", 0).alias("_lo"), F.get("q", 1).alias("_hi"),
         (F.col("_sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("_h"),
     ).withColumn("_step", (F.col("_hi") - F.col("_lo")) / (points - 1)))
-    rows = runs.drop("n").join(_hint(grid)(grid), "series")
     v, lo, step, h = F.col("value"), F.col("_lo"), F.col("_step"), F.col("_h")
-    first = F.greatest(F.ceil((v - REACH * h - lo) / step), F.lit(0))
-    last = F.least(F.floor((v + REACH * h - lo) / step), F.lit(points - 1))
-    # A row becomes up to ``points`` rows, so partitions are set by rows and not by bytes.
-    parts = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = rows.repartition(parts).withColumn("_a", first).withColumn("_z", last).filter("_a <= _z").withColumn(
-        "point", F.explode(F.sequence("_a", "_z"))
-    )
-    z = (lo + F.col("point") * step - v) / h
-    sums = near.groupBy("series", "point").agg(F.sum(F.col("cnt") * F.exp(-z * z / 2)).alias("_s"))
+    width = h / CELLS
+    placed = runs.drop("n").join(_hint(grid)(grid), "series").withColumn("_cell", F.floor((v - lo) / width))
+    middle = lo + (F.col("_cell") + 0.5) * width
+    off = placed.withColumn("_u", (v - middle) / h)
+    cells = off.groupBy("series", "_cell", "_lo", "_step", "_h").agg(
+        *[F.sum(F.col("cnt") * F.pow("_u", F.lit(k))).alias(f"_m{k}") for k in range(TERMS)])
+    # The series in powers of the distance: one polynomial per cell.
+    table = _hermite()
+    powers = [sum((F.col(f"_m{k}") * table[k][j] for k in range(j, TERMS) if table[k][j]), F.lit(0.0)) for j in range(TERMS)]
+    sums = cells.select("series", "_lo", "_step", "_h", middle.alias("_c"), *[p.alias(f"_p{j}") for j, p in enumerate(powers)])
+    c = F.col("_c")
+    near = sums.withColumn("_a", F.greatest(F.ceil((c - REACH * h - lo) / step), F.lit(0))).withColumn(
+        "_z", F.least(F.floor((c + REACH * h - lo) / step), F.lit(points - 1))).filter("_a <= _z").withColumn(
+        "point", F.explode(F.sequence("_a", "_z"))).withColumn("_d", (lo + F.col("point") * step - c) / h)
+    poly, d = F.col(f"_p{TERMS - 1}"), F.col("_d")
+    for j in range(TERMS - 2, -1, -1):
+        poly = poly * d + F.col(f"_p{j}")
+    sums = near.groupBy("series", "point").agg(F.sum(F.exp(-d * d / 2) * poly).alias("_s"))
     places = grid.withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
     return places.join(sums, ["series", "point"], "left").select(
         "series", "point", (lo + F.col("point") * step).alias("x"),
