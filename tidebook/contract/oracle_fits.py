@@ -129,3 +129,39 @@ SELECT h.*, sh.shapiro_stat AS "shapiro_W", sh.shapiro_p, tk.k2_stat, tk.k2_p, j
 FROM h LEFT JOIN ({ORACLE['s2_shapiro']}) sh USING (series) LEFT JOIN ({ORACLE['s3_k2_test']}) tk USING (series)
 LEFT JOIN ({ORACLE['s4_jarque_bera']}) jb USING (series) LEFT JOIN ({ORACLE['s8_adf']}) ad USING (series)
 LEFT JOIN ({ORACLE['s9_kpss']}) kp USING (series) LEFT JOIN ({ORACLE['s7_arch_lm']}) ar USING (series)"""
+
+
+def arch_battery(lags: int) -> str:
+    """LM and F tail of the ARCH test of raw values, as rows of the battery."""
+    f_tail = f_even if lags % 2 == 0 else f_series
+    chi2 = chi2_even("lm", lags) if lags % 2 == 0 else f"1 - list_sum(list_transform(range(0, 400), lambda i: exp({lags / 2} * ln(lm / 2) + i * ln(lm / 2) - lm / 2 - lgamma({lags / 2} + i + 1))))"
+    return f"""SELECT series, 'arch_lm.lags_{lags}.' || k AS path, CASE WHEN k = 'LM_p' THEN lp ELSE fp END AS value FROM (
+      {_START}, {arch('a', lags, 'raw')}, f AS (SELECT *, nobs * r2 AS lm, (r2 / {lags}) / ((1 - r2) / (nobs - {lags + 1})) AS f FROM a_s)
+      SELECT series, {r(chi2)} AS lp, {r(f_tail('f', lags, f'nobs - {lags + 1}'))} AS fp FROM f), (SELECT unnest(['LM_p', 'F_p']) AS k)"""
+
+
+def _paths(table: str, columns: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT series, '{path}' AS path, CAST({c} AS DOUBLE) AS value FROM ({table})" for path, c in columns.items())
+
+
+_SUMMARY = f"""WITH {SERIES}, {MOMENTS}, md AS (SELECT series, quantile_cont(value, 0.5) AS md FROM se GROUP BY series)
+SELECT series, n, {r('mu')} AS mean, {r(_STD)} AS std, {r(_SKEW)} AS skew, {r(_KURT)} AS kurt, {r('lo')} AS lo, {r('hi')} AS hi, {r('md')} AS md FROM mo JOIN md USING (series)"""
+_LB = " UNION ALL ".join(
+    f"SELECT series, 'autocorr.ljung_box_{name}.lags_' || lags AS path, lb_p AS value FROM ({ORACLE['s6_ljung_box']}) WHERE \"of\" = '{kind}'"
+    for kind, name in (("value", "returns"), ("square", "squared")))
+BATTERY = " UNION ALL ".join([
+    _paths(_SUMMARY, {f"summary.{p}": c for p, c in {"n": "n", "mean": "mean", "std": "std", "skew": "skew", "kurt": "kurt", "min": "lo", "max": "hi", "median": "md"}.items()}),
+    _paths(ORACLE["s4_jarque_bera"], {"normality.jb_stat": "jb_stat", "normality.jb_p": "jb_p"}),
+    _paths(ORACLE["s2_shapiro"], {"normality.shapiro_stat": "shapiro_stat", "normality.shapiro_p": "shapiro_p"}),
+    _paths(ORACLE["s5_anderson_normal"], {"normality.anderson_stat": "anderson_stat"}),
+    _paths(ORACLE["s8_adf"], {"stationarity.adf_stat": "adf_stat", "stationarity.adf_p": "adf_p"}),
+    _paths(ORACLE["s9_kpss"], {"stationarity.kpss_stat": "kpss_stat", "stationarity.kpss_p": "kpss_p"}),
+    _paths(ORACLE["s21_tsay_test"], {"tsay.F": "tsay_f", "tsay.p": "tsay_p", "tsay.df_diff": "df_diff"}),
+    _paths(ORACLE["s20_runs_test"], {"runs.z": "z", "runs.p": "p"}),
+    _LB, *[arch_battery(k) for k in (5, 10, 20)],
+])
+ORACLE["s22_battery_values"] = f"SELECT series, path, value FROM ({BATTERY}) WHERE value IS NOT NULL"
+_FIRST = ("normality.jb_p", "autocorr.ljung_box_returns.lags_20", "autocorr.ljung_box_squared.lags_20", "arch_lm.lags_10.LM_p",
+          "stationarity.adf_p", "stationarity.kpss_p", "tsay.p", "runs.p")
+ORACLE["s23_overview_values"] = f"""SELECT series, {", ".join(f"max(CASE WHEN path = '{p}' THEN value END) AS {p.replace('.', '_')}" for p in _FIRST)}
+FROM ({BATTERY}) GROUP BY series"""

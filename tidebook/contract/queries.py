@@ -726,3 +726,17 @@ def _(spark, sf):
 def _(spark, sf):
     shared_dir(spark)
     return X.battery_overview(X.run_battery(fx.return_series(spark, sf)).checkpoint())
+
+
+@query("s22_battery_values")
+def _(spark, sf):
+    """The numbers of the battery; lists along lags have queries of their own."""
+    return out(X.run_battery(fx.return_series(spark, sf)).filter("text IS NULL").select("series", "path", "value"))
+
+
+@query("s23_overview_values")
+def _(spark, sf):
+    shared_dir(spark)
+    rows = X.run_battery(fx.return_series(spark, sf)).filter("text IS NULL").checkpoint()
+    wide = X.battery_overview(rows, X.FIRST_PATHS)
+    return wide.select("series", *[r(F.col(f"`{p}`")).alias(p.replace(".", "_")) for p in X.FIRST_PATHS])

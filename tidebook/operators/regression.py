@@ -7,6 +7,7 @@ rows; the matrices are summed per series and solved once. Nothing but matrices l
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -81,44 +82,61 @@ def arch_lm(long: DataFrame, lags: int = 12, demean: bool = True, min_n: int | N
 
     Series shorter than ``min_n`` (default ``lags + 5``) get NULL.
     """
-    least = lags + 5 if min_n is None else min_n
-    base = _params(long, lags)
-    params = base.filter(F.col("n") >= max(least, 2 * lags + 2))
+    return arch_lm_many(long, [lags], demean, min_n)
+
+
+def arch_lm_many(long: DataFrame, lags: Sequence[int], demean: bool = True, min_n: int | None = None) -> DataFrame:
+    """The rows of ``arch_lm`` for several lag counts, from one pass.
+
+    The matrix of the largest count holds those of the smaller ones, but for the first rows, which come from the kept head of
+    the series.
+    """
+    lags, most = sorted(lags), max(lags)
+    base = _params(long, most)
+    params = base.filter(F.col("n") >= 2 * lags[0] + 2)
     if not demean:
         params = params.withColumn("shift", F.lit(0.0))
 
-    def design(x, own, first, k):
-        at = own[own + first >= k]
+    def rows(x, at, k):
         e = x * x
         return np.column_stack([np.ones(len(at)), _lagged(e, at, k), e[at]])
 
-    @F.pandas_udf("struct<lm:double,f:double,nobs:double>")
-    def solve(gram: pd.Series, k: pd.Series) -> pd.DataFrame:
+    def design(x, own, first, k):
+        return rows(x, own[own + first >= k], k)
+
+    @F.pandas_udf("array<struct<lags:int,lm:double,f:double,nobs:double>>")
+    def solve(gram: pd.Series, head: pd.Series, size: pd.Series) -> pd.Series:
         out = []
-        for g, m in zip(gram, k):
-            g = np.asarray(g).reshape(m + 2, m + 2)
-            nobs = g[0, 0]
-            rss = _rss(g, list(range(m + 1)))
-            tss = g[-1, -1] - g[0, -1] ** 2 / nobs
-            if tss <= 0:
-                out.append((None, None, nobs))
-                continue
-            r2 = 1 - rss / tss
-            rest = nobs - m - 1
-            f = (r2 / m) / ((1 - r2) / rest) if rest > 0 and r2 < 1 else None
-            out.append((nobs * r2, f, nobs))
-        return pd.DataFrame(out, columns=["lm", "f", "nobs"])
-
-    fitted = _grams(long, params, F.col("lags"), design).withColumn("r", solve("gram", F.lit(lags)))
-    out = base.select("series", "n").join(fitted, "series", "left").select(
-        "series", "n", F.lit(lags).alias("arch_lags"), F.col("r.lm").alias("arch_lm_stat"),
-        F.col("r.f").alias("arch_f_stat"), F.col("r.nobs").alias("_nobs"),
-    )
+        for g, h, n in zip(gram, head, size):
+            g, h, found = np.asarray(g).reshape(most + 2, most + 2), np.asarray(h), []
+            for k in lags:
+                if n < max(k + 5 if min_n is None else min_n, 2 * k + 2):
+                    continue
+                own = g[np.ix_(keep := [*range(k + 1), most + 1], keep)]
+                early = np.arange(k, min(most, len(h)))
+                if len(early):
+                    d = rows(h, early, k)
+                    own = own + d.T @ d
+                nobs, rss = own[0, 0], _rss(own, list(range(k + 1)))
+                tss = own[-1, -1] - own[0, -1] ** 2 / nobs
+                if tss <= 0:
+                    found.append({"lags": k, "lm": None, "f": None, "nobs": nobs})
+                    continue
+                r2, rest = 1 - rss / tss, nobs - k - 1
+                found.append({"lags": k, "lm": nobs * r2, "f": (r2 / k) / ((1 - r2) / rest) if rest > 0 and r2 < 1 else None, "nobs": nobs})
+            out.append(found)
+        return pd.Series(out)
+
+    grams = _grams(long, params, F.col("lags"), design).join(params.select("series", "n"), "series")
+    fitted = grams.select("series", F.explode(solve("gram", "head", "n")).alias("r")).select("series", "r.*")
+    asked = base.select("series", "n", F.explode(F.array(*[F.lit(k) for k in lags])).alias("lags"))
+    out = asked.join(fitted, ["series", "lags"], "left").select(
+        "series", "n", F.col("lags").alias("arch_lags"), F.col("lm").alias("arch_lm_stat"), F.col("f").alias("arch_f_stat"), F.col("nobs").alias("_nobs"))
     return out.select(
         "series", "n", "arch_lags", "arch_lm_stat",
         chi2_sf(F.col("arch_lm_stat"), F.col("arch_lags")).alias("arch_lm_p"),
         "arch_f_stat",
-        f_sf(F.col("arch_f_stat"), F.col("arch_lags"), F.col("_nobs") - lags - 1).alias("arch_f_p"),
+        f_sf(F.col("arch_f_stat"), F.col("arch_lags"), F.col("_nobs") - F.col("arch_lags") - 1).alias("arch_f_p"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from ..operators.dependence import lagged_mi, ljung_box, quantile_acf
 from ..operators.moments import describe_series, jarque_bera_of, k2_of, moments, runs_test
 from ..operators.moments import unbiased_kurtosis, unbiased_skew
-from ..operators.normality import anderson_normal, shapiro
+from ..operators.normality import ANDERSON_LEVELS, anderson_normal, shapiro
 from ..operators.ordering import dense_series
 from ..operators.ranks import quantiles
-from ..operators.regression import adf, arch_lm, kpss, tsay_test
+from ..operators.regression import adf, arch_lm, arch_lm_many, kpss, tsay_test
 
 # Column order of the overview.
 FIRST_PATHS = (
@@ -150,7 +151,8 @@ def run_battery(
 ) -> DataFrame:
     """Every test of every series as long rows ``(series, path, value, text)``.
 
-    The series are cleaned and written to the checkpoint folder once; each test reads that table.
+    The series are cleaned and written to the checkpoint folder once; each test reads that table. All Ljung-Box variants
+    share one pass of lag products, all ARCH lag counts one pass of cross products.
     """
     rows = dense_series(long).checkpoint()
     m = jarque_bera_of(moments(rows))
@@ -171,6 +173,7 @@ def run_battery(
         _entries(anderson_normal(rows), [
             ("normality.anderson_stat", F.col("anderson_stat")),
             (("normality.anderson_crit_vals",), F.to_json("anderson_crit_vals")),
+            (("normality.anderson_signif",), F.lit(json.dumps(list(ANDERSON_LEVELS)))),
         ]),
         _entries(adf(rows, 4).join(kpss(rows, 4).drop("n"), "series"), [
             ("stationarity.adf_stat", F.col("adf_stat")), ("stationarity.adf_p", F.col("adf_p")),
@@ -189,16 +192,17 @@ def run_battery(
             quantile_acf(rows, taus, qacf_max_lag), F.concat(F.lit("qacf."), F.col("tau").cast("string")), "lag", "qacf"
         ),
     ]
-    for of, name in (("value", "returns"), ("square", "squared")):
-        lb = ljung_box(rows, lb_lags, of)
-        parts.append(lb.select(
-            "series", F.concat(F.lit(f"autocorr.ljung_box_{name}.lags_"), "lags").alias("path"),
-            F.col("lb_p").alias("value"), F.lit(None).cast("string").alias("text"),
-        ))
-    for L in arch_lags:
-        parts.append(_entries(arch_lm(rows, L, demean=False, min_n=0), [
-            (f"arch_lm.lags_{L}.LM_p", F.col("arch_lm_p")), (f"arch_lm.lags_{L}.F_p", F.col("arch_f_p")),
-        ]))
+    lb = ljung_box(rows, lb_lags, ["value", "square"])
+    kind = F.when(F.col("of") == "value", "returns").otherwise("squared")
+    parts.append(lb.select(
+        "series", F.concat(F.lit("autocorr.ljung_box_"), kind, F.lit(".lags_"), "lags").alias("path"),
+        F.col("lb_p").alias("value"), F.lit(None).cast("string").alias("text"),
+    ))
+    arch = arch_lm_many(rows, arch_lags, demean=False, min_n=0)
+    parts.append(arch.select("series", F.explode(F.array(*[
+        F.struct(F.concat(F.lit("arch_lm.lags_"), "arch_lags", F.lit(f".{name}")).alias("path"), F.col(c).alias("value"))
+        for name, c in (("LM_p", "arch_lm_p"), ("F_p", "arch_f_p"))
+    ])).alias("e")).select("series", "e.path", "e.value", F.lit(None).cast("string").alias("text")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
