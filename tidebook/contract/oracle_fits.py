@@ -6,7 +6,7 @@ the last diagonal entry is the residual sum of squares on the first k, so nested
 
 from __future__ import annotations
 
-from .oracle import JB, K2, MOMENTS, ORACLE, SERIES, ljung, r
+from .oracle import BOXCOX, JB, K2, LINE, MOMENTS, ORACLE, SERIES, YEO, ljung, r, shapiro_ctes
 
 #: Values per series, standardized, as lists.
 LISTS = """
@@ -165,3 +165,60 @@ _FIRST = ("normality.jb_p", "autocorr.ljung_box_returns.lags_20", "autocorr.ljun
           "stationarity.adf_p", "stationarity.kpss_p", "tsay.p", "runs.p")
 ORACLE["s23_overview_values"] = f"""SELECT series, {", ".join(f"max(CASE WHEN path = '{p}' THEN value END) AS {p.replace('.', '_')}" for p in _FIRST)}
 FROM ({BATTERY}) GROUP BY series"""
+
+
+def lambda_levels(family: str, y: str, log: str, rows: str, levels: int = 11) -> str:
+    """CTEs that search the peak of a profile on ever finer grids of 21 places; the last is ``<family>_best``."""
+    out, before = [], ""
+    for k in range(levels):
+        step = f"{16.0 / 5**k!r}::DOUBLE"
+        places = f"(SELECT feature, unnest(range(-10, 11)) * {step} + lam AS lam FROM {before})" if before else (
+            f"(SELECT DISTINCT feature, unnest(range(-10, 11)) * {step} AS lam FROM {rows})")
+        out.append(f"""{family}_p{k} AS MATERIALIZED (SELECT feature, lam, -count(*) / 2.0 * ln(var_pop({y})) + (lam - 1) * sum({log}) AS llf
+            FROM {rows} JOIN {places} g USING (feature) GROUP BY feature, lam),
+{family}_b{k} AS MATERIALIZED (SELECT feature, arg_max(lam, llf) AS lam, max(llf) AS llf FROM {family}_p{k} WHERE isfinite(llf) GROUP BY feature)""")
+        before = f"{family}_b{k}"
+    return ", ".join(out) + f", {family}_best AS (SELECT * FROM {before})"
+
+
+_LAMBDAS = f"""{LINE},
+pl AS (SELECT * FROM ll WHERE feature IN (SELECT feature FROM ll GROUP BY feature HAVING min(value) > 0)),
+{lambda_levels('yj', YEO, 'sign(value) * ln(1 + abs(value))', 'll')}, {lambda_levels('bc', BOXCOX, 'ln(value)', 'pl')}"""
+ORACLE["t4_fit_lambda"] = f"""WITH {_LAMBDAS}
+SELECT feature, 'yeo-johnson' AS family, {r('lam', 3)} AS "lambda", {r('llf', 3)} AS llf FROM yj_best
+UNION ALL SELECT feature, 'box-cox', {r('lam', 3)}, {r('llf', 3)} FROM bc_best"""
+
+#: The value of a feature under a named transform, with columns ``value``, ``lam`` and ``o`` (the offset).
+NAMED = f"""CASE name WHEN 'asinh' THEN asinh(value) WHEN 'log' THEN CASE WHEN value + o > 0 THEN ln(value + o) END
+  WHEN 'sqrt' THEN CASE WHEN value + o >= 0 THEN sqrt(value + o) END WHEN 'yeo-johnson' THEN {YEO}
+  WHEN 'box-cox' THEN CASE WHEN value > 0 THEN {BOXCOX} END ELSE value END"""
+_CHOSEN = f"""{_LAMBDAS},
+fs AS (SELECT feature, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS std, min(value) AS lo, max(value) AS hi FROM ll GROUP BY feature),
+fk AS (SELECT feature, avg(pow(value - mean, 3)) / pow(any_value(std), 3) AS skew FROM ll JOIN fs USING (feature) GROUP BY feature),
+cn AS (SELECT feature, unnest(['identity', 'asinh', 'yeo-johnson', 'log', 'sqrt', 'box-cox']) AS name, lo FROM fs),
+cp AS (SELECT cn.feature, name, CASE name WHEN 'yeo-johnson' THEN round(yj_best.lam, 3) WHEN 'box-cox' THEN round(bc_best.lam, 3) END AS lam,
+       CASE name WHEN 'log' THEN CASE WHEN lo > 0 THEN 0.0 ELSE abs(lo) + 1.0 END WHEN 'sqrt' THEN CASE WHEN lo >= 0 THEN 0.0 ELSE abs(lo) + 0.1 END
+                 WHEN 'box-cox' THEN 0.0 END AS o
+       FROM cn LEFT JOIN yj_best USING (feature) LEFT JOIN bc_best USING (feature) WHERE name <> 'box-cox' OR (lo > 0 AND bc_best.lam IS NOT NULL)),
+cv AS MATERIALIZED (SELECT feature || '|' || name AS fc, feature, name, lam, o, {NAMED} AS value FROM ll JOIN cp USING (feature)), {shapiro_ctes('fc', 'cv')},
+c0 AS (SELECT fc, any_value(feature) AS feature, any_value(name) AS name, any_value(lam) AS lam, any_value(o) AS o, avg(value) AS mu, var_pop(value) AS v
+       FROM cv GROUP BY fc),
+c1 AS (SELECT cv.fc, avg(pow(value - mu, 3)) / pow(any_value(v), 1.5::DOUBLE) AS sk, avg(pow(value - mu, 4)) / pow(any_value(v), 2) - 3 AS ku
+       FROM cv JOIN c0 USING (fc) GROUP BY cv.fc),
+c2 AS (SELECT c0.*, sk, ku, sw.p AS sp, sw.p - 0.1 * abs(sk) - 0.05 * abs(ku) AS score FROM c0 JOIN c1 USING (fc) JOIN sw USING (fc)),
+ch AS (SELECT * FROM c2 QUALIFY row_number() OVER (PARTITION BY feature ORDER BY score DESC,
+       list_position(['identity', 'asinh', 'yeo-johnson', 'log', 'sqrt', 'box-cox'], name)) = 1)"""
+ORACLE["t6_fit_transforms"] = f"""WITH {_CHOSEN}
+SELECT feature, name AS transformation, {r('lam', 5)} AS "lambda", {r('o', 5)} AS "offset", {r('score', 5)} AS normality_score, {r('sp', 5)} AS shapiro_pvalue,
+       {r('sk', 5)} AS skewness, {r('ku', 5)} AS excess_kurtosis, n, {r('mean', 5)} AS mean, {r('std', 5)} AS std, {r('lo', 5)} AS min, {r('hi', 5)} AS max, {r('skew', 5)} AS skew,
+       {r('mu', 5)} AS new_mean, {r('sqrt(v)', 5)} AS new_std FROM ch JOIN fs USING (feature) JOIN fk USING (feature)"""
+
+
+def _applied(column: str) -> str:
+    value = NAMED.replace("value", f"li.{column}")
+    picked = ", ".join(f"(SELECT {c} FROM ch WHERE feature = '{column}') AS {c}" for c in ("name", "lam", "o"))
+    return f"(SELECT {r(value)} FROM (SELECT {picked}) q) AS {column}"
+
+
+ORACLE["t7_save_load_transforms"] = f"""WITH {_CHOSEN}
+SELECT {", ".join(_applied(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))} FROM lineitem li"""

@@ -542,7 +542,7 @@ def _(spark, sf):
 @query("t6_fit_transforms")
 def _(spark, sf):
     feats = fx.line_table(spark, sf)
-    return out(T.fit_transforms(feats, fx.LINE_FEATURES))
+    return out(T.fit_transforms(feats, fx.LINE_FEATURES), digits=5)
 
 
 @query("t7_save_load_transforms")

@@ -6,6 +6,7 @@ Fitting reads all rows given in long form ``(feature, value)``, a few aggregates
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
@@ -15,14 +16,14 @@ from pyspark.sql import functions as F
 from ..functions.transforms import apply_named, box_cox, is_finite, yeo_johnson
 from ..schema import FWD_PREFIX, NOT_TRANSFORMED
 from .normality import shapiro
-from .ordering import materialized, small_side
+from .ordering import small_side
 
 # Candidate order decides ties.
 CANDIDATES = ("identity", "asinh", "yeo-johnson", "log", "sqrt", "box-cox")
 LAMBDA_GRID = tuple(round(-2.0 + 0.1 * i, 1) for i in range(41))
-WIDE_GRID = tuple(float(i) for i in range(-10, 11))
-REFINE = (0.1, 0.01, 0.001)  # each grid spans one step of the grid before it, both ways
-WIDEN = 12  # tenfold, so up to 1e13
+FAMILIES = {"yeo-johnson": "yj", "box-cox": "bc"}
+#: Relative accuracy of lambda, the largest one, and most passes over the rows.
+TOLERANCE, FARTHEST, PASSES = 1e-7, 1e13, 60
 MIN_ROWS = 10
 
 
@@ -118,51 +119,107 @@ def lambda_profile(long: DataFrame, family: str, grid: Column) -> DataFrame:
     )
 
 
-def best_lambda(profile: DataFrame) -> DataFrame:
-    llf = F.col("llf")
-    return (
-        profile.filter(llf.isNotNull())
-        .groupBy("feature")
-        .agg(F.max_by("lambda", llf).alias("lambda"), F.max(llf).alias("llf"))
-    )
+def _power(u: Column, g: Column) -> tuple[Column, Column, Column]:
+    """``expm1(g u) / g`` and its first two derivatives by g; by their series where g u is small."""
+    t = g * u
+    near = F.abs(t) < 1e-3
+    y = F.when(near, u * (1.0 + t * (0.5 + t * (1 / 6 + t * (1 / 24 + t / 120))))).otherwise(F.expm1(t) / g)
+    d = F.when(near, u * u * (0.5 + t * (1 / 3 + t * (1 / 8 + t / 30)))).otherwise((u * F.exp(t) - F.expm1(t) / g) / g)
+    far = (u * u * F.exp(t) - 2.0 * (u * F.exp(t) - F.expm1(t) / g) / g) / g
+    return y, d, F.when(near, u * u * u * (1 / 3 + t * (1 / 4 + t * (1 / 10 + t / 36)))).otherwise(far)
+
 
+def _profile_sums(family: str, lam: Column) -> list[Column]:
+    """The sums that give a family's profile likelihood and its first two derivatives at ``lam``."""
+    x = F.col("value")
+    if family == "box-cox":
+        u = F.log(F.when(x > 0, x))
+        (y, d, c), log = _power(u, lam), u
+    else:
+        u = F.log1p(F.abs(x))
+        up, down = _power(u, lam), _power(u, 2.0 - lam)
+        y, d, c = (F.when(x >= 0, p).otherwise(q) for p, q in zip(up, (-down[0], down[1], -down[2])))
+        log = F.signum(x) * u
+    tag = FAMILIES[family]
+    return [
+        F.count(y).alias(f"n_{tag}"), F.sum(log).alias(f"s_{tag}"), F.var_pop(y).alias(f"v_{tag}"), F.covar_pop(y, d).alias(f"vd_{tag}"),
+        F.var_pop(d).alias(f"dd_{tag}"), F.covar_pop(y, c).alias(f"vc_{tag}"),
+    ]
 
-def fit_lambda(long: DataFrame, family: str, grid: Sequence[float] = WIDE_GRID) -> DataFrame:
-    """Maximum-likelihood lambda per feature to a thousandth (of itself, if larger): a coarse grid, widened tenfold as
-    long as a feature's best value is at its edge, then finer ones around the best.
 
-    The profile has one peak, so 21 values a pass are enough; each pass is one aggregate over all rows.
+class _Search:
+    """The peak of one profile by Newton steps on its derivative, kept inside a bracket that every pass narrows."""
+
+    def __init__(self):
+        self.lam, self.lo, self.hi, self.good, self.llf, self.done = 1.0, -math.inf, math.inf, None, None, False
+
+    def learn(self, n: float, s: float, v: float, vd: float, dd: float, vc: float) -> None:
+        ok = all(x is not None and math.isfinite(x) for x in (s, v, vd, dd, vc)) and v > 0
+        if not ok:
+            self.stray()
+            return
+        slope = -n * vd / v + s
+        bend = -n * ((dd + vc) / v - 2 * (vd / v) ** 2)
+        self.good, self.llf = self.lam, -n / 2 * math.log(v) + (self.lam - 1) * s
+        if slope > 0:
+            self.lo = max(self.lo, self.lam)
+        else:
+            self.hi = min(self.hi, self.lam)
+        step = -slope / bend if bend < 0 else math.copysign(max(1.0, abs(self.lam)), slope)
+        limit = 10 * max(1.0, abs(self.lam))
+        goal = self.lam + max(-limit, min(limit, step))
+        if not self.lo < goal < self.hi:
+            goal = (self.lo + self.hi) / 2 if math.isfinite(self.lo + self.hi) else self.lam + math.copysign(limit, slope)
+        self.done = abs(goal - self.lam) <= TOLERANCE * max(1.0, abs(self.lam)) or abs(goal) > FARTHEST
+        self.lam = goal
+
+    def stray(self) -> None:
+        """Values overflowed here: half way back to where they did not."""
+        if self.good is None:
+            self.done, self.lam = True, None
+            return
+        if self.lam > self.good:
+            self.hi = self.lam
+        else:
+            self.lo = self.lam
+        self.lam = (self.lam + self.good) / 2
+        self.done = abs(self.lam - self.good) <= TOLERANCE * max(1.0, abs(self.good))
+
+
+def fit_lambdas(long: DataFrame, families: Sequence[str] = ("yeo-johnson", "box-cox")) -> DataFrame:
+    """``(feature, family, lambda, llf)``: maximum-likelihood lambda, given to a thousandth, of every feature and family, and the
+    profile's peak; Box-Cox for positive features.
+
+    The profile has one peak. Every pass is one aggregate over the rows of the features that are still moving, for both families at once,
+    and gives value, slope and curvature; about six passes are enough, without a grid. Only these few numbers per
+    feature reach the driver. A feature without spread or usable values has no row.
     """
-    if family == "box-cox":
-        positive = long.groupBy("feature").agg(F.min("value").alias("_lo")).filter("_lo > 0")
-        long = long.join(small_side(positive), "feature").select("feature", "value")
-    lam, step = F.col("lambda"), F.col("_step")
-    first = F.array(*[F.lit(float(g)) for g in grid])
-    best = materialized(best_lambda(lambda_profile(long, family, first)).withColumn("_step", F.lit(float(grid[1] - grid[0]))))
-    lo, hi = float(grid[0]), float(grid[-1])
-    edge = (lam <= lo) | (lam >= hi)
-
-    def around(best: DataFrame, size: Column) -> DataFrame:
-        near = F.transform(F.sequence(F.lit(-10), F.lit(10)), lambda i: lam + i * size)
-        side = small_side(best.select("feature", near.alias("_grid"), size.alias("_step")))
-        found = best_lambda(lambda_profile(long.join(side.select("feature", "_grid"), "feature"), family, F.col("_grid")))
-        return found.join(side.select("feature", "_step", (F.col("_grid")[0]).alias("_lo"), (F.col("_grid")[20]).alias("_hi")), "feature")
-
-    settled, open_ = best.filter(~edge).select("feature", "lambda", "llf", "_step"), best.filter(edge)
-    for _ in range(WIDEN):
-        if open_.isEmpty():
+    spark = long.sparkSession
+    state: dict[tuple[str, str], _Search] = {}
+    for r in long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect():
+        for family in families:
+            if r.lo is not None and r.lo < r.hi and (family != "box-cox" or r.lo > 0):
+                state[r.feature, family] = _Search()
+    for _ in range(PASSES):
+        open_ = sorted({f for (f, _), search in state.items() if not search.done})
+        if not open_:
             break
-        wider = materialized(around(open_, step * 10))
-        at_edge = (lam <= F.col("_lo")) | (lam >= F.col("_hi"))
-        settled = settled.unionByName(wider.filter(~at_edge).select("feature", "lambda", "llf", "_step"))
-        open_ = wider.filter(at_edge)
-    best = materialized(settled.unionByName(open_.select("feature", "lambda", "llf", "_step")))
-    for _ in REFINE:
-        best = around(best, step / 10).select("feature", "lambda", "llf", "_step")
-    # Steps above a thousandth of lambda remain only where the grid had to be widened.
-    while not best.filter(step > F.greatest(F.lit(0.002), 0.002 * F.abs(lam))).isEmpty():
-        best = materialized(around(best, step / 10).select("feature", "lambda", "llf", "_step"))
-    return best.select("feature", F.when(step <= 0.002, F.round(lam, 3)).otherwise(lam).alias("lambda"), "llf")
+        at = [(f, *[state[f, k].lam if (f, k) in state else None for k in FAMILIES]) for f in open_]
+        side = spark.createDataFrame(at, "feature string, yj double, bc double")
+        sums = long.join(F.broadcast(side), "feature").groupBy("feature").agg(
+            *[c for family in families for c in _profile_sums(family, F.col(FAMILIES[family]))]).collect()
+        for r in sums:
+            for family in families:
+                search = state.get((r.feature, family))
+                if search and not search.done:
+                    search.learn(*[r[f"{c}_{FAMILIES[family]}"] for c in ("n", "s", "v", "vd", "dd", "vc")])
+    rows = [(f, k, round(search.lam, 3), search.llf) for (f, k), search in state.items() if search.lam is not None and search.good is not None]
+    return spark.createDataFrame(rows, "feature string, family string, `lambda` double, llf double")
+
+
+def fit_lambda(long: DataFrame, family: str) -> DataFrame:
+    """``(feature, lambda, llf)`` of one family."""
+    return fit_lambdas(long, [family]).drop("family")
 
 
 def normality_score(values: DataFrame, keys: Sequence[str] = ("feature", "candidate")) -> DataFrame:
@@ -199,10 +256,9 @@ def fit_transforms(df: DataFrame, feats: Sequence[str] | None = None) -> DataFra
     feats = list(feats or select_features(df))
     long = feature_long(df, feats)
     stats = feature_stats(long)
-    lambdas = (
-        fit_lambda(long, "yeo-johnson").select("feature", F.col("lambda").alias("yj_lambda"))
-        .join(fit_lambda(long, "box-cox").select("feature", F.col("lambda").alias("bc_lambda")), "feature", "left")
-    )
+    fitted = fit_lambdas(long)
+    lambdas = fitted.groupBy("feature").agg(*[
+        F.max(F.when(F.col("family") == family, F.col("lambda"))).alias(f"{tag}_lambda") for family, tag in FAMILIES.items()])
     values = candidate_values(long, stats, lambdas)
     scored = normality_score(values).join(usable_candidates(values), ["feature", "candidate"])
     order = F.array_position(F.array(*[F.lit(c) for c in CANDIDATES]), F.col("candidate"))
@@ -231,6 +287,7 @@ def transform_map(fitted: DataFrame) -> dict[str, dict]:
         params = {k: r[k] for k in ("lambda", "offset") if r[k] is not None}
         out[r["feature"]] = {
             "transformation": r["transformation"],
+            "rows": r["n"],
             "parameters": params,
             "normality_score": r["normality_score"],
             "normality_metrics": {
@@ -261,11 +318,12 @@ def apply_transforms(df: DataFrame, chosen: Mapping[str, Mapping]) -> DataFrame:
     return df.select(*[column(c) for c in df.columns])
 
 
-def save_transforms(spark: SparkSession, chosen: Mapping[str, Mapping], path: str, sample_size: int = 10_000) -> None:
-    """Write the map as one JSON document to any file system Spark can reach."""
+def save_transforms(spark: SparkSession, chosen: Mapping[str, Mapping], path: str, sample_size: int | None = None) -> None:
+    """Write the map as one JSON document to any file system Spark can reach. ``sample_size``: rows that the fit read
+    (without it: the most of any feature)."""
     doc = {
         "created_at": datetime.now(timezone.utc).isoformat(),
-        "sample_size": sample_size,
+        "sample_size": max((m.get("rows", 0) for m in chosen.values()), default=0) if sample_size is None else sample_size,
         "num_features": len(chosen),
         "context_included": True,
         "transformations": dict(chosen),
