@@ -137,7 +137,7 @@ def arch_battery(lags: int) -> str:
     chi2 = chi2_even("lm", lags) if lags % 2 == 0 else f"1 - list_sum(list_transform(range(0, 400), lambda i: exp({lags / 2} * ln(lm / 2) + i * ln(lm / 2) - lm / 2 - lgamma({lags / 2} + i + 1))))"
     return f"""SELECT series, 'arch_lm.lags_{lags}.' || k AS path, CASE WHEN k = 'LM_p' THEN lp ELSE fp END AS value FROM (
       {_START}, {arch('a', lags, 'raw')}, f AS (SELECT *, nobs * r2 AS lm, (r2 / {lags}) / ((1 - r2) / (nobs - {lags + 1})) AS f FROM a_s)
-      SELECT series, {r(chi2)} AS lp, {r(f_tail('f', lags, f'nobs - {lags + 1}'))} AS fp FROM f), (SELECT unnest(['LM_p', 'F_p']) AS k)"""
+      SELECT series, {r(chi2)} AS lp, {r(f_tail('f', lags, f'nobs - {lags + 1}'))} AS fp FROM f WHERE n >= {2 * lags + 2}), (SELECT unnest(['LM_p', 'F_p']) AS k)"""
 
 
 def _paths(table: str, columns: dict[str, str]) -> str:
