@@ -340,3 +340,16 @@ def test_density_from_cell_moments(spark):
     assert np.allclose(got["density"], want, rtol=1e-12, atol=1e-15 * want.max())
     plan = P.gaussian_kde(df, 150)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate explode") == 2 and plan.index("_m9") > 0
+
+
+def test_mixture_keeps_the_best_start(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    x = np.concatenate([rng.normal(0, 1, 900), rng.normal(9, 0.2, 60), rng.normal(10.5, 0.2, 60)])
+    df = spark.createDataFrame([("s", i, float(v)) for i, v in enumerate(x)], "series string, idx long, value double")
+    whole = P.fit_gmm(df, (3,)).first()
+    monkeypatch.setattr(P, "STARTS", 1)
+    one = P.fit_gmm(df, (3,)).first()
+    assert whole.loglik >= one.loglik - 1e-6 and whole.converged
+    w, m, v = (np.array(whole[c]) for c in ("w", "m", "v"))
+    each = np.log((w * np.exp(-((x[:, None] - m) ** 2) / v / 2) / np.sqrt(2 * np.pi * v)).sum(1)).sum()
+    assert whole.loglik == pytest.approx(each, rel=1e-9)

@@ -13,6 +13,7 @@ from .ranks import quantiles_of_runs, value_runs
 
 LOG_2PI = math.log(2 * math.pi)
 MIN_FIT = 50
+STARTS = 3
 #: Cells of a bandwidth, terms of the series of a cell.
 CELLS, TERMS = 8, 10
 REACH = 38.0  # a standard normal density is zero in double precision beyond this
@@ -91,9 +92,10 @@ def _iterate(
             params = step(params)
         params = materialized(params)
         if tol is not None and "loglik" in before.columns:
-            old = before.select("series", "components", F.col("loglik").alias("_old"))
+            keys = ["series", "components", "start"]
+            old = before.select(*keys, F.col("loglik").alias("_old"))
             gain = F.max(F.coalesce(F.abs(F.col("loglik") - F.col("_old")) / F.col("n"), F.lit(float("inf"))))
-            moved = params.join(old, ["series", "components"]).agg(gain).first()[0]
+            moved = params.join(old, keys).agg(gain).first()[0]
             if moved is None or moved <= tol:
                 break
     return params
@@ -183,13 +185,22 @@ def fit_student_t(long: DataFrame, rounds: int = 12) -> DataFrame:
     )
 
 
+def _slices(count: int, start: int) -> list[float]:
+    """Probabilities of a start's means: even, crowded at the low end, crowded at the high end."""
+    even = [(2 * j + 1) / (2 * count) for j in range(count)]
+    return [even, [p * p for p in even], [1 - (1 - p) ** 2 for p in even]][start]
+
+
 def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96, tol: float = 1e-3) -> DataFrame:
-    """Gaussian mixtures by EM; all series and all component counts share each round's aggregate.
+    """Gaussian mixtures by EM; all series, component counts and starts share each round's aggregate.
 
-    Starts from quantile slices of each series, so repeated runs agree.
+    Starts from ``STARTS`` sets of quantile slices of each series (even ones, and ones that crowd at either end), so repeated runs
+    agree; the start of the highest likelihood is kept, the earlier one of equals. ``converged`` says whether its mean
+    log-likelihood moved by at most ``tol`` in the last round.
     """
     runs = value_runs(long)
-    probs = sorted({(2 * j + 1) / (2 * c) for c in components for j in range(c)})
+    slices = {(c, i): _slices(c, i) for c in components for i in range(STARTS)}
+    probs = sorted({p for own in slices.values() for p in own})
     base = long.groupBy("series").agg(
         F.count(F.lit(1)).alias("n"), F.var_pop("value").alias("s2")
     ).filter((F.col("n") >= MIN_FIT) & (F.col("s2") > 0))
@@ -197,11 +208,12 @@ def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96,
     starts = F.array(*[
         F.struct(
             F.lit(c).alias("components"),
+            F.lit(i).alias("start"),
             F.array(*[F.lit(1.0 / c)] * c).alias("w"),
-            F.array(*[F.get("q", probs.index((2 * j + 1) / (2 * c))) for j in range(c)]).alias("m"),
+            F.array(*[F.get("q", probs.index(p)) for p in own]).alias("m"),
             F.array(*[F.col("s2") / (c * c)] * c).alias("v"),
         )
-        for c in components
+        for (c, i), own in slices.items()
     ])
     params = base.join(q, "series").select("series", "n", F.col("s2").alias("_s2"), F.explode(starts).alias("p")).select(
         "series", "n", "_s2", "p.*"
@@ -212,7 +224,7 @@ def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96,
 
     # The expressions are built once; a round only applies them.
     x, top = F.col("value"), F.col("_top")
-    model = ["series", "n", "_s2", "components"]
+    model = ["series", "n", "_s2", "components", "start"]
     logs = F.transform(
         F.arrays_zip("w", "m", "v"),
         lambda t: F.log(F.greatest(t["w"], F.lit(1e-300)))
@@ -256,10 +268,14 @@ def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96,
 
     final = materialized(_iterate(params, step, rounds, every=5, tol=tol))
     # A round reports the likelihood of the parameters that it was given; one more says that of the last ones.
-    final = final.drop("loglik").join(step(final).select("series", "components", "loglik"), ["series", "components"])
-    return final.select(
+    keys = ["series", "components", "start"]
+    last = step(final).select(*keys, F.col("loglik").alias("_last"))
+    final = final.join(last, keys).withColumn("converged", F.abs(F.col("_last") - F.col("loglik")) <= tol * F.col("n"))
+    pick = F.struct("n", "w", "m", "v", F.col("_last").alias("loglik"), "converged")
+    best = final.groupBy("series", "components").agg(F.max_by(pick, F.struct("_last", -F.col("start"))).alias("b"))
+    return best.select("series", "components", "b.*").select(
         "series", "n", F.concat(F.lit("GMM(K="), "components", F.lit(")")).alias("model"),
-        (3 * F.col("components") - 1).alias("k"), "w", "m", "v", "loglik",
+        (3 * F.col("components") - 1).alias("k"), "w", "m", "v", "loglik", "converged",
     )
 
 
