@@ -59,7 +59,10 @@ def books(rows):
 
 
 def test_batch_book_at_end_and_over_time(spark, feed, entries):
+    # Blocks of 9 messages, carried in ranges of 5 blocks.
+    few = [tuple(r) for r in M.book_intervals(entries, 9, 5).collect()]
     intervals = M.book_intervals(entries, 40).persist()
+    assert sorted(few, key=repr) == sorted((tuple(r) for r in intervals.collect()), key=repr)
     assert books(M.book_at_end(intervals).collect()) == {s: replay(feed, s) for s in "AB"}
     levels = M.sample_levels(intervals, M.last_time(entries), "5 minutes").collect()
     ticks = {r["tick"] for r in levels}

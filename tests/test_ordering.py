@@ -20,11 +20,12 @@ def frame():
     return pdf
 
 
-def test_blocked_window_equals_plain_window(spark, frame):
+@pytest.mark.parametrize("fan", [4, 10_000])
+def test_blocked_window_equals_plain_window(spark, frame, fan):
     df = spark.createDataFrame(frame).withColumn("b", F.expr("t div 100"))
     marked = F.when(F.col("flag"), F.col("t"))
     got = blocked_window(
-        df, ["k"], ["t"], "b", sums={"s": F.col("v")}, lasts={"l": marked}, nexts={"x": marked}
+        df, ["k"], ["t"], "b", sums={"s": F.col("v")}, lasts={"l": marked}, nexts={"x": marked}, fan=fan
     ).toPandas().sort_values("t").reset_index(drop=True)
     g = frame.assign(m=frame.t.where(frame.flag)).groupby("k")
     assert np.allclose(got.s, frame.groupby("k").v.cumsum())

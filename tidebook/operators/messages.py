@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .book import book_sides
-from .ordering import blocked_window
+from .ordering import FAN, carried, in_blocks, materialized, small_side
 
 KEYS = ["symbol", "id"]
 
@@ -23,39 +23,40 @@ def flatten_messages(messages: DataFrame) -> DataFrame:
         "symbol", "seq", F.coalesce("pos", F.lit(0)).alias("pos"), "ts", "action", "e.id", "e.price", "e.size", "e.side")
 
 
-def book_intervals(entries: DataFrame, block: int = 10_000) -> DataFrame:
+def book_intervals(entries: DataFrame, block: int = 10_000, fan: int = FAN) -> DataFrame:
     """``(symbol, id, price, size, side, valid_from, valid_to)``: when each level had which size.
 
     ``partial`` clears the book and loads; ``insert`` sets a level; ``update`` changes the size of a
-    live level; ``delete`` removes it. An open end is NULL. The feed is cut into blocks of ``block``
-    message numbers, which carry the epoch and the last opening entry forward; so a busy symbol or
-    level is spread over many tasks and no task holds more than a block of it.
+    live level; ``delete`` removes it. An open end is NULL. The feed is read once and cut into blocks of ``block``
+    message numbers by one exchange. What a block settles by itself is written; the last clear and the last opening
+    entry go forward, the next clear and the next entry of a level backward, over blocks and ranges of ``fan``
+    blocks. So a busy symbol or level is spread over many tasks and no task holds more than a block or a range of it.
     """
-    blocks = entries.withColumn("_block", F.floor(F.col("seq") / block)).withColumn(
-        "_start", (F.col("action") == "partial") & (F.col("pos") == 0)
+    by, order = "_block", ["seq", "pos"]
+    action, moment = F.col("action"), F.struct("seq", "ts")
+    clears = (action == "partial") & (F.col("pos") == 0)
+    # The clear before an entry and the one after it; an opener is void if a clear stands between it and the entry.
+    began, ends = {"_began": F.when(clears, F.col("seq"))}, {"_ends": F.when(clears, moment)}
+    opener = {"_open": F.when(action != "update", F.struct((action != "delete").alias("live"), "seq", "price", "side"))}
+    follows = {"_next": moment}
+
+    rows = entries.withColumn(by, F.floor(F.col("seq") / block)).repartition("symbol", by)
+    rows = in_blocks(rows, ["symbol", by], order, lasts=began, nexts=ends)
+    rows = materialized(in_blocks(rows, ["symbol", by, "id"], order, lasts=opener, nexts=follows))
+    levels = rows.filter(F.col("id").isNotNull())  # empty partials only clear
+    by_symbol = small_side(carried(rows, ["symbol"], order, by, lasts=began, nexts=ends, fan=fan).withColumnsRenamed(
+        {"_began": "_began_before", "_ends": "_ends_after"}))
+    by_level = carried(levels, KEYS, order, by, lasts=opener, nexts=follows, fan=fan).withColumnsRenamed(
+        {"_open": "_open_before", "_next": "_next_after"})
+    lines = levels.join(by_symbol, ["symbol", by]).join(by_level, [*KEYS, by]).select(
+        "symbol", "id", "size", "ts",
+        F.coalesce("_began", "_began_before").alias("began"), F.coalesce("_ends", "_ends_after").alias("ends"),
+        F.coalesce("_open", "_open_before").alias("open"), F.coalesce("_next", "_next_after").alias("next"),
     )
-    start = F.col("_start")
-    epochs = blocked_window(
-        blocks, ["symbol"], ["seq", "pos"], "_block",
-        sums={"_epoch": F.when(start, 1).otherwise(0)},
-        nexts={"_ends": F.when(start, F.struct("seq", "ts"))},
-    )
-    epochs = epochs.filter(F.col("id").isNotNull())  # empty partials have ended their epoch
-    action = F.col("action")
-    opener = F.when(
-        action != "update",
-        F.struct((action != "delete").alias("live"), "_epoch", "price", "side"),
-    )
-    lines = blocked_window(
-        epochs, KEYS, ["seq", "pos"], "_block",
-        lasts={"_open": opener},
-        nexts={"_next": F.struct("seq", "ts")},
-    )
-    live = F.col("_open.live") & (F.col("_open._epoch") == F.col("_epoch"))
-    ends = F.coalesce(F.least(F.col("_next"), F.col("_ends")), F.col("_next"), F.col("_ends"))
+    live = F.col("open.live") & (F.col("began").isNull() | (F.col("open.seq") >= F.col("began")))
     return lines.filter(live).select(
-        "symbol", "id", F.col("_open.price").alias("price"), "size", F.col("_open.side").alias("side"),
-        F.col("ts").alias("valid_from"), ends["ts"].alias("valid_to"),
+        "symbol", "id", F.col("open.price").alias("price"), "size", F.col("open.side").alias("side"),
+        F.col("ts").alias("valid_from"), F.least("next", "ends")["ts"].alias("valid_to"),
     )
 
 

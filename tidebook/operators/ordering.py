@@ -4,8 +4,8 @@ A window partitioned only by ``symbol`` or ``series`` sends a hot key to a singl
 helpers here split every key further:
 
 * ``blocked_window`` cuts a key into blocks that follow the order (for example one day of
-  time), computes inside each block and adds what earlier or later blocks carry over. Only one
-  row per block takes part in the key-wide window.
+  time), computes inside each block and adds what earlier or later blocks carry over. Blocks are
+  scanned within ranges of blocks, and only one row per range takes part in the key-wide window.
 * ``halo_chunks`` cuts a densely numbered series into equal chunks and copies the few edge rows
   a lag or lead needs, so every group has a fixed number of rows.
 """
@@ -21,6 +21,8 @@ from ..session import shared_dir
 
 CHUNK = 16_384
 BROADCAST_ROWS = 200_000
+#: Block numbers that are carried together.
+FAN = 10_000
 
 
 def materialized(df: DataFrame) -> DataFrame:
@@ -44,6 +46,80 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
 
 
+def in_blocks(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    sums: Mapping[str, Column] | None = None,
+    lasts: Mapping[str, Column] | None = None,
+    nexts: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """The part of ``blocked_window`` that each block settles by itself: ``group`` is the key with its block."""
+    ahead = Window.partitionBy(*group).orderBy(*order)
+    upto = ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    return df.select(
+        "*",
+        *[F.sum(e).over(upto).alias(n) for n, e in (sums or {}).items()],
+        *[F.last(e, ignorenulls=True).over(upto).alias(n) for n, e in (lasts or {}).items()],
+        *[F.last(e, ignorenulls=True).over(after).alias(n) for n, e in (nexts or {}).items()],
+    )
+
+
+def carried(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    block: str,
+    sums: Mapping[str, Column] | None = None,
+    lasts: Mapping[str, Column] | None = None,
+    nexts: Mapping[str, Column] | None = None,
+    fan: int = FAN,
+) -> DataFrame:
+    """One row per key and block with what earlier blocks (``sums``, ``lasts``) and later ones (``nexts``) bring to it.
+
+    Two levels: blocks are scanned within ranges of ``fan`` block numbers, and one row per range within the key. Only
+    one row per block is exchanged, once and by key; every further step finds its rows where they are.
+    """
+    sums, lasts, nexts = dict(sums or {}), dict(lasts or {}), dict(nexts or {})
+    wide = "_range"
+
+    def merged(place: Column, s, las, nex) -> list[Column]:
+        return [
+            *[F.sum(e).alias(n) for n, e in s.items()],
+            *[F.max_by(e, F.when(e.isNotNull(), place)).alias(n) for n, e in las.items()],
+            *[F.min_by(e, F.when(e.isNotNull(), place)).alias(n) for n, e in nex.items()],
+        ]
+
+    def brought(group: Sequence[str], by: str, suffix: str) -> list[Column]:
+        window = Window.partitionBy(*group)
+        prior = window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        later = window.orderBy(F.col(by).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        return [
+            *[F.sum(n).over(prior).alias(n + suffix) for n in sums],
+            *[F.last(n, ignorenulls=True).over(prior).alias(n + suffix) for n in lasts],
+            *[F.last(n, ignorenulls=True).over(later).alias(n + suffix) for n in nexts],
+        ]
+
+    totals = (
+        df.groupBy(*keys, block).agg(*merged(F.struct(*order), sums, lasts, nexts))
+        .withColumn(wide, F.floor(F.col(block) / fan)).repartition(*keys)
+    )
+    same = [{n: F.col(n) for n in part} for part in (sums, lasts, nexts)]
+    ranges = totals.groupBy(*keys, wide).agg(*merged(F.col(block), *same))
+    far = ranges.select(*keys, wide, *brought(keys, wide, "_far"))
+    near = totals.select(*keys, wide, block, *brought([*keys, wide], block, "_near"))
+    return near.join(far, [*keys, wide]).select(
+        *keys, block,
+        *[
+            F.when(F.col(f"{n}_near").isNotNull() | F.col(f"{n}_far").isNotNull(),
+                   F.coalesce(f"{n}_near", F.lit(0)) + F.coalesce(f"{n}_far", F.lit(0))).alias(n)
+            for n in sums
+        ],
+        *[F.coalesce(f"{n}_near", f"{n}_far").alias(n) for n in (*lasts, *nexts)],
+    )
+
+
 def blocked_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -52,52 +128,25 @@ def blocked_window(
     sums: Mapping[str, Column] | None = None,
     lasts: Mapping[str, Column] | None = None,
     nexts: Mapping[str, Column] | None = None,
+    fan: int = FAN,
 ) -> DataFrame:
     """Running sums, last non-null values (current row included) and next non-null values
     (strictly after the row) over ``order`` within ``keys``.
 
-    ``block`` is a column that never decreases along ``order`` within a key.
+    ``block`` is a column of whole numbers that never decreases along ``order`` within a key; ``fan`` block numbers
+    are carried together. Keys are not null.
     """
     sums, lasts, nexts = dict(sums or {}), dict(lasts or {}), dict(nexts or {})
-    group = [*keys, block]
-    ahead = Window.partitionBy(*group).orderBy(*order)
-    upto = ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    back = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order])
-    after = back.rowsBetween(Window.unboundedPreceding, -1)
-
-    place = F.struct(*order)
-    totals = df.groupBy(*group).agg(
-        *[F.sum(e).alias(f"_s_{n}") for n, e in sums.items()],
-        *[F.max_by(e, F.when(e.isNotNull(), place)).alias(f"_l_{n}") for n, e in lasts.items()],
-        *[F.min_by(e, F.when(e.isNotNull(), place)).alias(f"_n_{n}") for n, e in nexts.items()],
-    )
-    by_key = Window.partitionBy(*keys)
-    prior = by_key.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    later = by_key.orderBy(F.col(block).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        *group,
-        *[F.sum(f"_s_{n}").over(prior).alias(f"_cs_{n}") for n in sums],
-        *[F.last(f"_l_{n}", ignorenulls=True).over(prior).alias(f"_cl_{n}") for n in lasts],
-        *[F.last(f"_n_{n}", ignorenulls=True).over(later).alias(f"_cn_{n}") for n in nexts],
-    )
-    rows = df.select(
-        "*",
-        *[F.sum(e).over(upto).alias(f"_in_{n}") for n, e in sums.items()],
-        *[F.last(e, ignorenulls=True).over(upto).alias(f"_in_{n}") for n, e in lasts.items()],
-        *[F.last(e, ignorenulls=True).over(after).alias(f"_in_{n}") for n, e in nexts.items()],
-    )
-    kept = [c for c in df.columns]
-    return rows.join(carried, group).select(
-        *kept,
+    sides = [{f"{side}{n}": e for n, e in part.items()} for side in ("_in_", "_by_") for part in (sums, lasts, nexts)]
+    rows = in_blocks(df, [*keys, block], order, *sides[:3])
+    return rows.join(carried(df, keys, order, block, *sides[3:], fan=fan), [*keys, block]).select(
+        *df.columns,
         *[
-            F.when(
-                F.col(f"_in_{n}").isNotNull() | F.col(f"_cs_{n}").isNotNull(),
-                F.coalesce(f"_in_{n}", F.lit(0)) + F.coalesce(f"_cs_{n}", F.lit(0)),
-            ).alias(n)
+            F.when(F.col(f"_in_{n}").isNotNull() | F.col(f"_by_{n}").isNotNull(),
+                   F.coalesce(f"_in_{n}", F.lit(0)) + F.coalesce(f"_by_{n}", F.lit(0))).alias(n)
             for n in sums
         ],
-        *[F.coalesce(f"_in_{n}", f"_cl_{n}").alias(n) for n in lasts],
-        *[F.coalesce(f"_in_{n}", f"_cn_{n}").alias(n) for n in nexts],
+        *[F.coalesce(f"_in_{n}", f"_by_{n}").alias(n) for n in (*lasts, *nexts)],
     )
 
 
