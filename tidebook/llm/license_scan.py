@@ -4,7 +4,9 @@ All word pairs of every text are joined to the pairs of a fixed list of template
 themselves are compared). A hit of pair ``off`` of a template at word ``i`` votes for the diagonal ``i - off``; the votes of a
 diagonal are kept as bits, so repeated rows count once. Whole diagonals are places of the exact phrases; for longer
 notices neighbouring diagonals, which inserted or missing words cause, are merged, and the merged span is
-verified: it holds at least ``SHARE`` of the template's pairs within one and a half times its length.
+verified: it holds at least ``SHARE`` of the template's pairs within one and a half times its length. Where notices or
+their beginnings repeat, diagonals chain to spans that are too long; then the parts of a chain that begin at one of its
+diagonals and reach ``REACH`` further are verified, and the best one (largest share, shortest, first) stands for the chain.
 
 Words are runs of digits, letters a-z (A-Z lowered) and characters beyond ASCII. A null text is empty. Rows with equal
 ``doc_id`` and text get equal results, each its own row; a null ``doc_id`` is kept.
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHARE, GAP = 0.75, 3
+#: How many diagonals further a part of a chain may reach.
+REACH = (0, 3, 6, 12, 24)
 # Phrases that count wherever they stand.
 PHRASES = (
     ("cc-by", "cc by"),
@@ -84,18 +88,32 @@ def spans(docs: DataFrame) -> DataFrame:
     )
     along = Window.partitionBy("doc_id", "mark", "template").orderBy("diagonal")
     fresh = F.coalesce(F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(along) > GAP), F.lit(True))
+    chains = votes.withColumn("fresh", fresh.cast("int")).withColumn("span", F.sum("fresh").over(along))
+
+    def sound(bits: Column, start: Column, stop: Column) -> Column:
+        return (F.bit_count(bits) >= SHARE * F.col("pairs")) & (stop - start <= F.lit(1.5) * (F.col("pairs") + 1))
+
+    def part(reach: int) -> Column:
+        over = Window.partitionBy("doc_id", "mark", "template", "span").orderBy("diagonal").rangeBetween(0, reach)
+        bits, start, stop = F.bit_or("bits").over(over), F.min("low").over(over), F.max("high").over(over) + 1
+        own = F.struct(F.bit_count(bits).alias("n"), (start - stop).alias("less"), (-start).alias("first"))
+        return F.when(sound(bits, start, stop), own)
+
     merged = (
-        votes.withColumn("fresh", fresh.cast("int")).withColumn("span", F.sum("fresh").over(along))
+        chains.withColumn("part", F.when(~F.col("base"), F.greatest(*[part(reach) for reach in REACH])))
         .groupBy("doc_id", "mark", "template", "label", "base", "pairs", "span")
-        .agg(F.bit_or("bits").alias("bits"), F.min("low").alias("start"), (F.max("high") + 1).alias("stop"),
-             F.max("n_words").alias("n_words"), F.max("copies").alias("copies"))
+        .agg(F.bit_or("bits").alias("bits"), F.min("low").alias("low"), (F.max("high") + 1).alias("high"),
+             F.max("part").alias("part"), F.max("n_words").alias("n_words"), F.max("copies").alias("copies"))
     )
-    share = F.bit_count("bits") / F.col("pairs")
-    sound = F.when(F.col("base"), F.bit_count("bits") == F.col("pairs")).otherwise(
-        (share >= SHARE) & (F.col("stop") - F.col("start") <= F.lit(1.5) * (F.col("pairs") + 1)))
-    return merged.filter(F.col("template").isNull() | sound).select(
+    exact = F.col("base") & (F.bit_count("bits") == F.col("pairs"))
+    whole = exact | (~F.col("base") & sound(F.col("bits"), F.col("low"), F.col("high")))
+    found = F.when(whole, F.struct(
+        F.col("low").alias("start"), F.col("high").alias("stop"), F.bit_count("bits").alias("n"))
+    ).otherwise(F.when(F.col("part").isNotNull(), F.struct(
+        (-F.col("part.first")).alias("start"), (-F.col("part.first") - F.col("part.less")).alias("stop"), F.col("part.n").alias("n"))))
+    return merged.withColumn("found", found).filter(F.col("template").isNull() | F.col("found").isNotNull()).select(
         "doc_id", "mark", F.when(F.col("template").isNull(), F.col("copies")).alias("copies"), "n_words", "template", "label",
-        "base", "start", "stop", share.alias("share"))
+        "base", "found.start", "found.stop", (F.col("found.n") / F.col("pairs")).alias("share"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
