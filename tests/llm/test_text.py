@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidebook.llm import language_id, license_scan, mixing, quality, sentencepiece_sampling, toxicity
 from tidebook.llm.queries import REGISTRY
+from tidebook.llm.substring_dedup import remove_repeats
 
 BIG = "/root/testdata/sf0.01"
 
@@ -43,6 +44,20 @@ def test_fit_counts_is_the_best_subset(seed):
     assert got == best
 
 
+def test_names_that_differ_in_case(odd_docs, vocabulary):
+    """Columns that have a result's name in another case are replaced, as those of the same case are."""
+    added = {"Score": "score", "Size": "size", "N_Words": "n_words", "COPIES": "copies", "Pieces": "kept", "Decoded": "mark"}
+    docs = odd_docs.withColumnsRenamed({own: name for name, own in added.items()})
+    pieces = sentencepiece_sampling.decode(sentencepiece_sampling.encode(docs, vocabulary), vocabulary)
+    results = [
+        (mixing.mix_sources(docs), ["size", "copies"]), (language_id.identify(docs, None), ["score"]),
+        (quality.score(docs, None), ["score"]), (remove_repeats(docs), ["n_words"]), (pieces, ["pieces", "decoded"]),
+    ]
+    for out, names in results:
+        assert out.select(*names).count() == odd_docs.count()
+        assert all(n in out.columns for n in names) and len({c.lower() for c in out.columns}) == len(out.columns)
+
+
 def test_mix_of_odd_rows(odd_docs, no_docs):
     out = mixing.mix_sources(odd_docs)
     rows = out.collect()
@@ -80,6 +95,17 @@ def test_license_scan(spark):
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_license_scan_of_repeated_notices(spark):
+    """Repeated beginnings and repeated notices chain into spans that are too long as a whole."""
+    notice, start = "licensed under the apache license version 2 0", "licensed under the "
+    texts = {1: start * 3 + notice, 2: f"{notice} {notice} {notice}", 3: start * 9 + "gpl", 4: notice, 5: start * 5 + "apache license as version 2 0"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs).collect()}
+    assert got == {1: ("apache-2.0", 1.0), 2: ("apache-2.0", 1.0), 3: ("", 0.0), 4: ("apache-2.0", 1.0), 5: ("apache-2.0", 6 / 7)}
+    first = {r.doc_id: (r.start, r.stop) for r in license_scan.spans(docs).filter("template is not null").collect()}
+    assert first[1] == (9, 16) and first[4] == (0, 7)
+
+
 def test_license_scan_of_odd_rows(odd_docs):
     assert license_scan.scan(odd_docs).count() == odd_docs.count()
 

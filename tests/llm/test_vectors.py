@@ -52,7 +52,22 @@ def test_top_k_of_few_and_none(spark, vectors):
     assert topk.top_k(few, few.filter("id = 7"), 5).count() == 0
 
 
+def test_repeated_queries_and_huge_components(spark):
+    rows = [(50, [1.0, 2.0]), (50, [3.0, 0.0]), (51, [2e8, 1.0]), (52, [-1e300, 1.0]), (53, [1.0, 1.0]), (100, [1e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = topk.integer_vectors(df)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(whole, whole.filter("id % 50 = 0"), 5).collect())
+    most, near = 2**63 - 1, [51, 53, 52]
+    of_50 = [most, 256 * 51_200_000_000 + 512 * 256, 256 * 256 * 3, -(2**63)]
+    assert got[:4] == [(50, n + 1, j, s) for n, (j, s) in enumerate(zip([100, *near], of_50))]
+    assert [r[1:3] for r in got[4:]] == [(1, 50), (2, 50), (3, 51), (4, 53), (5, 52)] and got[4][3] == got[6][3] == most
+    sound = ann.sound_vectors(df.filter("vec_id < 52"))
+    assert [(r.rank, r.vec_id, r.score) for r in ann.nearest(sound, sound.filter("id = 50"), 3).collect()] == [(1, 51, 2e8 + 2)]
+
+
 def test_large_components_stay_exact():
+    huge = np.array([[1 << 62, 1 << 62], [-(1 << 62), 5]])
+    assert topk.products(huge, huge[:1]).tolist() == [[2**63 - 1], [-(2**63)]]
     q = np.array([[2**29, 3], [1, -(2**29)]])
     assert topk.products(q, q[:, ::-1]).tolist() == [[int(a @ b) for b in q[:, ::-1].astype(object)] for a in q.astype(object)]
 

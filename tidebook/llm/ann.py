@@ -12,6 +12,7 @@ The int8 tiles are multiplied as float32 matrices: every sum of up to 1,000 prod
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part; neither do rows with a null id.
 Vectors of different length are compared on what both have. Equal scores rank by smaller id.
+Rows repeated under one id are candidates each, except for the query's own id, and one query: the least vector by components.
 """
 
 from __future__ import annotations
@@ -105,6 +106,7 @@ def _tiles(k: int):
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score`` for queries ``(id, v)`` on vectors ``(id, v)``."""
+    queries = saved(queries.groupBy("id").agg(F.min("v").alias("v")), "queries")  # one row per query
     n, m = vectors.count(), queries.count()
     rows = min(max(-(-n // 16), BLOCK_ROWS[0]), BLOCK_ROWS[1])
     blocks, chunks = max(1, -(-n // rows)), max(1, -(-m // CHUNK))

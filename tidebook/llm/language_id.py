@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import free_name, slices, text_bytes, tidy
+from .words import carried, free_name, slices, text_bytes, tidy
 
 DIM, CENTROIDS, SAMPLE = 4096, 3, 1500
 REJECT, SHARPNESS, SEED = 0.002, 25.0, 1
@@ -166,9 +166,9 @@ def _predict(model: Model | None, names: list[str], lettered: str):
 
 def identify(docs: DataFrame, model: Model | None, columns: list[str] | None = None) -> DataFrame:
     """All rows with ``lang_pred``, ``score`` (the language's share against the others, by cosine) and ``rejected``.
-    Columns of these names are replaced."""
+    Columns of these names, whatever their case, are replaced."""
     added = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
-    names = [c for c in (columns or docs.columns) if c not in added.names]
+    names = carried(columns or docs.columns, added.names)
     need = list(dict.fromkeys([*names, "text"]))
     lettered = free_name("lettered", need)
     rows = docs.select(*need, F.col("text").rlike(LETTER).alias(lettered))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordering import positions, small_side
-from .words import free_name, saved
+from .words import carried, free_name, saved
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -121,9 +121,9 @@ def mix_sources(
     seed: int = 1, slack: int = SLACK, columns: list[str] | None = None,
 ) -> DataFrame:
     """All rows with ``size``, ``source_size``, ``target`` (its source's), ``copies`` and ``taken``
-    (``size * copies``). Names of results replace columns of ``docs``."""
+    (``size * copies``). Names of results replace columns of ``docs``, whatever their case."""
     added = ["size", "source_size", "target", "copies", "taken"]
-    names = [c for c in (columns or docs.columns) if c not in added]
+    names = carried(columns or docs.columns, added)
     need = list(dict.fromkeys([*names, "doc_id", "source"]))
     tag, order, passes, bound = (free_name(c, need) for c in ("source", "order", "passes", "bound"))
     # One non-null key per source: null is told from every text.

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .language_id import Grams
 from .sampling import labelled_sample
-from .words import Hasher, slices, text_bytes, tidy, word_spans
+from .words import carried, Hasher, slices, text_bytes, tidy, word_spans
 
 DIM, SOURCES, LANGS = 256, 32, 16
 LABELLED, POOL, ROUNDS, SHARE, SURE = 3000, 4000, 4, 0.05, 0.9
@@ -192,9 +192,9 @@ def _score(model: Model | None, names: list[str]):
 
 
 def score(docs: DataFrame, model: Model | None, columns: list[str] | None = None) -> DataFrame:
-    """All rows with ``content_score``, ``meta_score`` and the combined ``score``; columns of these names are replaced."""
+    """All rows with ``content_score``, ``meta_score`` and the combined ``score``; columns of these names, whatever their case, are replaced."""
     added = T.StructType.fromDDL("content_score double, meta_score double, score double")
-    names = [c for c in (columns or docs.columns) if c not in added.names]
+    names = carried(columns or docs.columns, added.names)
     need = list(dict.fromkeys([*names, *INPUTS]))
     schema = T.StructType([*(docs.schema[c] for c in names), *added.fields])
     return docs.select(*need).mapInArrow(_score(model, names), schema)

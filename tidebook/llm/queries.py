@@ -123,8 +123,16 @@ f AS (SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER a <= {license_sc
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM f),
 m AS (SELECT doc_id, template, label, base, pairs, span, bit_count(bit_or(bits)) AS n, min(low) AS start, max(high) + 1 AS stop
       FROM g GROUP BY ALL),
-k AS (SELECT *, n / pairs::DOUBLE AS share FROM m WHERE CASE WHEN base THEN n = pairs
-      ELSE n / pairs::DOUBLE >= {license_scan.SHARE} AND stop - start <= 1.5 * (pairs + 1) END),
+e(reach) AS (VALUES {', '.join(f'({reach})' for reach in license_scan.REACH)}),
+o AS (SELECT g.doc_id, g.template, g.span, reach, g.diagonal, bit_count(bit_or(x.bits)) AS n, min(x.low) AS start, max(x.high) + 1 AS stop
+      FROM g, e, g x WHERE NOT g.base AND x.doc_id = g.doc_id AND x.template = g.template AND x.span = g.span
+        AND x.diagonal BETWEEN g.diagonal AND g.diagonal + reach GROUP BY ALL),
+w AS (SELECT doc_id, template, span, max(n) AS best FROM o JOIN (SELECT DISTINCT template, pairs FROM t) USING (template)
+      WHERE n >= {license_scan.SHARE} * pairs AND stop - start <= 1.5 * (pairs + 1) GROUP BY ALL),
+k AS (SELECT * EXCLUDE (n), CASE WHEN fits THEN n ELSE best END / pairs::DOUBLE AS share
+      FROM (SELECT m.*, best, CASE WHEN base THEN n = pairs
+              ELSE n >= {license_scan.SHARE} * pairs AND stop - start <= 1.5 * (pairs + 1) END AS fits
+            FROM m LEFT JOIN w USING (doc_id, template, span)) WHERE fits OR best IS NOT NULL),
 s AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
              string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
              string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM k GROUP BY doc_id)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import Hasher, free_name, mix, slices, text_bytes, tidy
+from .words import Hasher, carried, free_name, mix, slices, text_bytes, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA, SEED = 1.0, 1
@@ -280,9 +280,9 @@ def _encode(vocabulary: Vocabulary, names: list[str], key: str, seed: int):
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, seed: int = SEED, columns: list[str] | None = None) -> DataFrame:
-    """All rows with ``pieces`` (ids) and ``n_pieces``; columns of these names are replaced."""
+    """All rows with ``pieces`` (ids) and ``n_pieces``; columns of these names, whatever their case, are replaced."""
     added = T.StructType.fromDDL("pieces array<int>, n_pieces long")
-    names = [c for c in (columns or docs.columns) if c not in added.names]
+    names = carried(columns or docs.columns, added.names)
     need = list(dict.fromkeys([*names, "text"]))
     key = free_name("key", docs.columns)
     rows = docs.select(*need, F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias(key))
@@ -307,8 +307,8 @@ def _decode(vocabulary: Vocabulary, names: list[str]):
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: list[str] | None = None) -> DataFrame:
-    """All rows with ``decoded``, the text of ``pieces``; a column of this name is replaced."""
-    names = [c for c in (columns or encoded.columns) if c != "decoded"]
+    """All rows with ``decoded``, the text of ``pieces``; a column of this name, whatever its case, is replaced."""
+    names = carried(columns or encoded.columns, ["decoded"])
     need = list(dict.fromkeys([*names, "pieces"]))
     return encoded.select(*need).mapInArrow(
         _decode(vocabulary, names), T.StructType([*(encoded.schema[c] for c in names), T.StructField("decoded", T.StringType())]))

@@ -31,7 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import Hasher, free_name, gram_hashes, joined_words, mix, release_memory, saved, slices, text_bytes, tidy, word_spans
+from .words import (
+    Hasher, carried, free_name, gram_hashes, joined_words, mix, release_memory, saved, slices, text_bytes, tidy, word_spans,
+)
 
 LAST = (1 << 63) - 1
 SPOTS = 1 << 20
@@ -311,9 +313,10 @@ def remove_repeats(
     docs: DataFrame, k: int = 13, m: int = 2, columns: list[str] | None = None, hot_from: int = HOT
 ) -> DataFrame:
     """All rows with ``n_words``, ``n_removed``, ``kept_text`` (the words left, joined by one space) and
-    its ``kept_sha256``. ``columns``: which columns of ``docs`` to keep (default: all)."""
+    its ``kept_sha256``. ``columns``: which columns of ``docs`` to keep (default: all);
+    those of a result's name, whatever their case, are replaced."""
     added = T.StructType.fromDDL("n_words long, n_removed long, kept_text string, kept_sha256 string")
-    names = [c for c in (columns or docs.columns) if c not in added.names]
+    names = carried(columns or docs.columns, added.names)
     need = list(dict.fromkeys([*names, "doc_id", "text"]))
     own = [free_name(c, docs.columns) for c in ("doc", "mark", "ranges")]
     ranges = saved(repeated_ranges(docs, k, m, hot_from).toDF(*own), "ranges")

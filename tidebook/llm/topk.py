@@ -14,10 +14,11 @@ Pivots (from a bounded sample) and the ring table (pivots x rings rows at most)
 the driver. A ring that holds many rows, such as one vector repeated, is cut into blocks by a hash of its id, and
 queries are dealt in chunks, so no group grows with the data.
 
-Components are integers here (``floor(scale * x)``); scores are exact: float64 products while sums stay below 2^53,
-64-bit integers beyond. Vectors that are null, empty or hold null or non-finite components take no part; vectors of
+Components are integers here (``floor(scale * x)``, at most the largest long); scores are exact: float64 products while
+sums stay below 2^53, integers beyond; a score beyond 64 bits counts as the largest or smallest long. Vectors that are null, empty or hold null or non-finite components take no part; vectors of
 another length than most are compared on what both have (missing components count as 0). Rows with a null id take no
-part. Equal scores rank by smaller id; rows repeated under one id are candidates each, except for the query's own id.
+part. Equal scores rank by smaller id; rows repeated under one id are candidates each, except for the query's own id,
+and one query: the least vector by components.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ PIVOTS, RINGS = 16, 16
 #: Most and least rows of a block (between them, 1 / 128 of all rows), and queries of a chunk.
 BLOCK_ROWS, LEAST_ROWS, CHUNK = 4096, 256, 512
 SAMPLE = 4096
+LEAST = -(1 << 63)
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 256, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -55,17 +57,19 @@ def matrix(lists: list, dim: int) -> np.ndarray:
 
 
 def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * q.shape[1]
+    """Exact inner products of integer rows; those beyond 64 bits become the largest or smallest long."""
+    most = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(v.astype(np.float64)).max(initial=0)) * q.shape[1]
     if most < 2.0**53:
         return (q.astype(np.float64) @ v.astype(np.float64).T).astype(np.int64)
-    return q @ v.T
+    if most < 2.0**62:
+        return q @ v.T
+    return np.clip(q.astype(object) @ v.astype(object).T, LEAST, -LEAST - 1).astype(np.int64)
 
 
 class Index:
     """Pivots in the widened space, ring width and norm bound; a few kilobytes that travel with the tasks."""
 
-    def __init__(self, pivots: np.ndarray, dim: int, norm2: int, rings: int):
+    def __init__(self, pivots: np.ndarray, dim: int, norm2: float, rings: int):
         self.pivots, self.dim, self.norm2, self.rings = pivots, dim, norm2, rings
         self.width = max(2.0 * float(np.sqrt(norm2)) / rings, 1e-9)
 
@@ -118,10 +122,11 @@ def _wanted(index: Index, rings: pd.DataFrame, k: int, first: bool):
                 start = order[: int(np.searchsorted(held, k + 1)) + 1]
                 if not first:
                     bound = batch.column("bound")[i].as_py()
-                    if bound is None:
+                    if bound is None or bound == LEAST:
                         own = order
                     else:
-                        reach = np.sqrt(max(float((q[i] * q[i]).sum()) + index.norm2 - 2.0 * bound, 0.0))
+                        wide = q[i].astype(np.float64)
+                        reach = np.sqrt(max(float(wide @ wide) + index.norm2 - 2.0 * bound, 0.0))
                         own = np.flatnonzero(least[i] <= reach + slack)
                     start = np.setdiff1d(own, start)
                 at.append(np.full(len(start), i))
@@ -148,7 +153,7 @@ def _scored(dim: int, k: int):
             ids = ids[order]
             scores = products(matrix(list(queries["q"]), dim), matrix([block["v"].iloc[i] for i in order], dim))
             for q, row in zip(queries["query_id"].to_numpy(np.int64), scores):
-                best = np.argsort(-row, kind="stable")
+                best = np.argsort(~row, kind="stable")  # like -row, without overflow
                 best = best[ids[best] != q][:k]
                 out.append(pd.DataFrame({"query_id": q, "vec_id": ids[best], "score": row[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
@@ -160,7 +165,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     """``query_id, rank, vec_id, score`` for queries ``(id, v)`` on vectors ``(id, v)`` of integers."""
     spark = vectors.sparkSession
     result = "query_id long, rank int, vec_id long, score long"
-    square = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    queries = saved(queries.groupBy("id").agg(F.min("v").alias("v")), "queries")
     shape = vectors.agg(F.max(square).alias("m"), F.max(F.size("v")).alias("d"), F.count(F.lit(1)).alias("n")).first()
     if not shape.n:
         return spark.createDataFrame([], result)
@@ -171,7 +177,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVO
     points = np.unique(matrix([r.v for r in sample], dim), axis=0) if sample else np.zeros((1, dim), np.int64)
     chosen = points[np.random.default_rng(seed).permutation(len(points))[:pivots]].astype(np.float64)
     last = np.sqrt(np.maximum(shape.m - (chosen**2).sum(1), 0))
-    index = Index(np.concatenate([chosen, last[:, None]], 1), dim, int(shape.m), rings)
+    index = Index(np.concatenate([chosen, last[:, None]], 1), dim, shape.m, rings)
 
     placed = saved(vectors.mapInArrow(_placed(index), "id long, v array<long>, ring long, near double"), "placed")
     table = placed.groupBy("ring").agg(
