@@ -395,7 +395,12 @@ tb AS (SELECT symbol, tick, max(price) FILTER (side = 'Buy') AS bb, min(price) F
 SELECT symbol, tick AS tick_us, {r('CASE WHEN ba IS NOT NULL THEN bb END')} AS best_bid, {r('CASE WHEN bb IS NOT NULL THEN ba END')} AS best_ask,
        {r('ba - bb')} AS top_spread FROM tb"""
 ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
-ORACLE["b5_encode_snapshots"] = f"WITH {LEVELS} SELECT symbol, {ISO} AS timestamp, count(*) FILTER (is_bid) AS n_bids FROM lv GROUP BY sid, symbol, ts"
+_SIDE_SUMS = ", ".join(
+    f"{r(f'coalesce(sum({c}) FILTER ({side}), 0)')} AS {name}"
+    for side, stem in (("is_bid", "bids"), ("NOT is_bid", "asks")) for c, name in (("p", f"{stem}_price"), ("v", f"{stem}_volume"))
+)
+ORACLE["b5_encode_snapshots"] = f"""WITH {LEVELS} SELECT symbol, {ISO} AS timestamp, count(*) FILTER (is_bid) AS n_bids,
+  count(*) FILTER (NOT is_bid) AS n_asks, {_SIDE_SUMS} FROM lv GROUP BY sid, symbol, ts"""
 ORACLE["b6_write_daily"] = f"WITH {LEVELS} SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS rows FROM sn GROUP BY 1"
 ORACLE["b7_damaged_files"] = f"WITH {LEVELS} SELECT count(*) AS rows, 'date=2024-02-01/broken.parquet' AS bad FROM sn"
 

@@ -175,7 +175,14 @@ def _typed(df):
 @query("b5_encode_snapshots")
 def _(spark, sf):
     text = M.encode_snapshots(fx.snapshots(spark, sf), "timestamp")
-    return text.select("symbol", "timestamp", (F.size(F.from_json("bids", "array<array<double>>"))).cast("long").alias("n_bids"))
+    sides = text.select("symbol", "timestamp", *[F.from_json(c, "array<array<double>>").alias(c) for c in ("bids", "asks")])
+
+    def total(side, place):
+        return F.aggregate(side, F.lit(0.0), lambda a, x: a + x[place])
+
+    return out(sides.select(
+        "symbol", "timestamp", *[F.size(c).cast("long").alias(f"n_{c}") for c in ("bids", "asks")],
+        *[total(c, i).alias(f"{c}_{name}") for c in ("bids", "asks") for i, name in enumerate(("price", "volume"))]))
 
 
 @query("b6_write_daily")
