@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidebook.llm import substring_dedup
 from tidebook.llm.graph import components
 from tidebook.llm.near_dedup import drop_near_duplicates, near_duplicates
 from tidebook.llm.substring_dedup import remove_repeats
@@ -130,6 +132,36 @@ def test_repeats_equal_brute_force(spark, odd_docs, hot_from):
     assert sum(r.n_removed for r in got) > 1000
 
 
+def test_buckets_beyond_the_classes():
+    minimisers = np.random.default_rng(1).integers(0, 1 << 63, 20000, dtype=np.uint64)
+    kind = substring_dedup._class(minimisers, 64)
+    few, many = (substring_dedup._bucket(minimisers, 64, n) for n in (16, 1000))
+    assert (few == kind % 16).all() and (many % 64 == kind).all()
+    assert 1000 <= len(set(many.tolist())) <= 1024 and np.bincount(many).max() < 60
+    assert (substring_dedup._bucket(minimisers, 64, 1000) == many).all()
+
+
+def test_repeats_in_more_buckets_than_classes(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BUCKET", 1)
+    rng = random.Random(4)
+    passages = [" ".join(f"p{j}x{i}" for i in range(20)) for j in range(40)]
+    rows = [(i, " ".join([passages[i % 40], *(f"r{rng.randrange(400)}" for _ in range(40)), passages[rng.randrange(40)]])) for i in range(200)]
+    compare_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_rows_without_number_keep_their_own_ranges(spark):
+    """Many texts without ``doc_id``: none may lose what only another one repeats."""
+    passage = " ".join(f"p{i}" for i in range(20))
+    docs = spark.range(100_000).selectExpr(
+        "cast(null as long) as doc_id",
+        f"case when id % 1000 = 0 then concat('u', id, ' {passage} v', id) else concat_ws(' ', transform(sequence(0, 24), i -> concat(id, 'w', i))) end as text")
+    first = spark.createDataFrame([(1, passage)], "doc_id long, text string")
+    out = remove_repeats(docs.unionByName(first)).filter("n_removed > 0")
+    got = out.select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert len(got) == 100 and all((r.doc_id, r.n_words, r.n_removed) == (None, 22, 20) for r in got)
+    assert {r.kept_text for r in got} == {f"u{i} v{i}" for i in range(0, 100_000, 1000)}
+
+
 def test_repeats_keep_columns(odd_docs, no_docs):
     out = remove_repeats(odd_docs)
     assert [c for c in odd_docs.columns if c != "n_words"] + ["n_words", "n_removed", "kept_text", "kept_sha256"] == out.columns

@@ -9,7 +9,8 @@ sorted and compared word by word, which decides exactly which of them start in a
   counters per task, summed map-side). Classes far above the mean are left out of the buckets; their
   windows are dealt by their own words instead, with the least document found by a map-side
   aggregate and the way back salted. Nothing is dropped, whatever repeats.
-* The classes' counts are bounded by ``classes`` numbers; only these reach the driver.
+* The classes' counts stay a table; the driver gets their sum and the hot classes alone (fewer than one in eight by
+  their definition, in practice a handful). Where buckets outnumber the classes, every class is dealt into several.
 * Only documents that may lose words meet their ranges in a shuffle; a bounded table of hashed document numbers lets
   the others pass where they are.
 
@@ -44,8 +45,8 @@ BUCKET, CLASS, HOT = 30_000, 4096, 65_536
 
 
 def _key() -> tuple[Column, Column]:
-    """Document number (null last), and a mark that tells rows with equal numbers apart by their text."""
-    return F.coalesce("doc_id", F.lit(LAST)), F.shiftright(F.xxhash64("text"), 32).cast("int")
+    """Document number (null last), and a mark of 64 bits that tells rows with equal numbers apart by their text."""
+    return F.coalesce("doc_id", F.lit(LAST)), F.xxhash64("text")
 
 
 def _super_kmers(batch: pa.RecordBatch, hasher: Hasher, k: int, m: int):
@@ -97,6 +98,15 @@ def _count_classes(k: int, m: int, classes: int):
     return tidy(run)
 
 
+def _bucket(minimiser: np.ndarray, classes: int, buckets: int) -> np.ndarray:
+    """Up to ``classes`` buckets join whole classes; beyond, each class is dealt into several by its minimisers."""
+    kind = _class(minimiser, classes)
+    if buckets <= classes:
+        return kind % buckets
+    deal = mix(minimiser) // np.uint64(classes) % np.uint64(-(-buckets // classes))
+    return kind + classes * deal.astype(np.int64)
+
+
 def _packs(k: int, m: int, classes: int, buckets: int, hot: np.ndarray):
     """Super-k-mers of all classes that are not hot, packed per bucket."""
 
@@ -126,15 +136,14 @@ def _packs(k: int, m: int, classes: int, buckets: int, hot: np.ndarray):
                 if (found := _super_kmers(part, hasher, k, m)) is None:
                     continue
                 data, starts, ends, heads, counts, rows, places, least = found
-                kind = _class(least, classes)
-                cold = np.flatnonzero(~hot[kind])
+                cold = np.flatnonzero(~np.isin(_class(least, classes), hot))
                 if not len(cold):
                     continue
                 raw, a = data.tobytes(), starts[heads[cold]].tolist()
                 b = ends[heads[cold] + counts[cold] + k - 2].tolist()
                 doc, mark = (part.column(c).to_numpy(zero_copy_only=False)[rows[cold]] for c in ("doc", "mark"))
                 held.append((
-                    kind[cold] % buckets, doc.astype(np.int64), mark.astype(np.int32),
+                    _bucket(least[cold], classes, buckets), doc.astype(np.int64), mark.astype(np.int64),
                     places[cold].astype(np.int32), counts[cold].astype(np.int32),
                     [raw[x:y] for x, y in zip(a, b)],
                 ))
@@ -168,10 +177,10 @@ def _settle(k: int):
             raw = opener.decompress(pack)
             n = int(np.frombuffer(raw, np.int32, 1)[0])
             parts.append((
-                np.frombuffer(raw, np.int64, n, 4), np.frombuffer(raw, np.int32, n, 4 + 8 * n),
-                np.frombuffer(raw, np.int32, n, 4 + 12 * n), np.frombuffer(raw, np.int32, n, 4 + 16 * n),
+                np.frombuffer(raw, np.int64, n, 4), np.frombuffer(raw, np.int64, n, 4 + 8 * n),
+                np.frombuffer(raw, np.int32, n, 4 + 16 * n), np.frombuffer(raw, np.int32, n, 4 + 20 * n),
             ))
-            texts.append(raw[4 + 20 * n :])
+            texts.append(raw[4 + 24 * n :])
         doc, mark, place, windows = (np.concatenate([p[i] for p in parts]) for i in range(4))
         raw = b"\n".join(texts)
         data = np.frombuffer(raw, np.uint8)
@@ -220,7 +229,7 @@ def _hot_windows(k: int, m: int, classes: int, hot: np.ndarray):
                 if (found := _super_kmers(part, hasher, k, m)) is None:
                     continue
                 data, starts, ends, heads, counts, rows, places, least = found
-                own = np.flatnonzero(hot[_class(least, classes)])
+                own = np.flatnonzero(np.isin(_class(least, classes), hot))
                 if not len(own):
                     continue
                 n = counts[own]
@@ -230,20 +239,20 @@ def _hot_windows(k: int, m: int, classes: int, hot: np.ndarray):
                 doc, mark = (part.column(c).to_numpy(zero_copy_only=False)[rows[own]] for c in ("doc", "mark"))
                 yield pa.RecordBatch.from_pydict({
                     "window": pa.array([raw[x:y] for x, y in zip(starts[at].tolist(), ends[at + k - 1].tolist())], pa.binary()),
-                    "doc": np.repeat(doc.astype(np.int64), n), "mark": np.repeat(mark.astype(np.int32), n),
+                    "doc": np.repeat(doc.astype(np.int64), n), "mark": np.repeat(mark.astype(np.int64), n),
                     "place": (np.repeat(places[own], n) + inner).astype(np.int32),
                 })
 
     return tidy(run)
 
 
-RANGES = "doc long, mark int, from int, to int"
+RANGES = "doc long, mark long, from int, to int"
 
 
 def _hot_ranges(rows: DataFrame, k: int, m: int, classes: int, hot: np.ndarray) -> DataFrame:
     """The least document of each hot window by a map-side aggregate; the way back is salted."""
     windows = saved(
-        rows.mapInArrow(_hot_windows(k, m, classes, hot), "window binary, doc long, mark int, place int"), "windows"
+        rows.mapInArrow(_hot_windows(k, m, classes, hot), "window binary, doc long, mark long, place int"), "windows"
     )
     least = windows.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     least = least.filter("least < most").select("window", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
@@ -265,15 +274,17 @@ def repeated_ranges(docs: DataFrame, k: int = 13, m: int = 2, hot_from: int = HO
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = size // 40 + 1
     classes = 1 << min(24, max(10, int(expected // CLASS).bit_length()))
-    counts = np.zeros(classes, np.int64)
-    for kind, n in rows.select("text").mapInArrow(_count_classes(k, m, classes), "class long, n long").groupBy("class").agg(F.sum("n")).collect():
-        counts[kind] = n
-    total = int(counts.sum())
-    hot = counts > max(hot_from, 8 * total / classes)
-    buckets = min(classes, max(256, total // BUCKET))
+    counts = saved(
+        rows.select("text").mapInArrow(_count_classes(k, m, classes), "class long, n long").groupBy("class").agg(F.sum("n").alias("n")),
+        "classes",
+    )
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    limit = max(hot_from, 8 * total / classes)
+    hot = np.array([r["class"] for r in counts.filter(F.col("n") > limit).select("class").collect()], np.int64)
+    buckets = max(256, total // BUCKET)
     packs = rows.mapInArrow(_packs(k, m, classes, buckets, hot), "bucket long, pack binary")
     ranges = packs.groupBy("bucket").applyInPandas(_settle(k), RANGES)
-    if hot.any():
+    if len(hot):
         ranges = ranges.unionByName(_hot_ranges(rows, k, m, classes, hot))
     return ranges.groupBy("doc", "mark").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
 
