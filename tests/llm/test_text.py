@@ -193,6 +193,75 @@ def test_quality_of_odd_rows(odd_docs, no_docs, labels):
     assert {r.score for r in quality.score(odd_docs, None).collect()} == {0.5}
 
 
+def test_quality_views_share_nothing():
+    def views(texts, source, lang, n):
+        return quality.Views()(pa.RecordBatch.from_pydict({
+            "text": pa.array(texts, pa.large_string()), "source": pa.array(source, pa.string()),
+            "lang": pa.array(lang, pa.string()), "n_chars": pa.array(n, pa.int64())}))
+
+    one = views(["Some text.\nMore of it!", None, ""], ["a", None, "b"], ["en", "de", None], [22, None, 0])
+    text = views(["1 2 3 !!", "Words", "x " * 5000], ["a", None, "b"], ["en", "de", None], [22, None, 0])
+    columns = views(["Some text.\nMore of it!", None, ""], ["c", "c", "c"], [None, "en", "fr"], [1 << 60, -1, 5])
+    assert (one[1] == text[1]).all() and (one[0] == columns[0]).all()
+    assert (one[0] != text[0]).any(axis=1).all() and (one[1] != columns[1]).any(axis=1).all()
+    assert all(np.isfinite(x).all() for pair in (one, text, columns) for x in pair)
+
+
+@pytest.mark.parametrize("alike", [True, False])
+def test_logistic_is_the_best_by_its_slope(alike):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([np.ones(300), rng.normal(size=(300, 4))])
+    y = (x @ [-1, 2, 0, -1, 0.5] + rng.normal(size=300) > 0).astype(float)
+    w = quality.logistic(x, y, alike)
+    weight = np.where(y > 0.5, 0.5 / y.mean(), 0.5 / (1 - y.mean())) if alike else np.ones(300)
+
+    def loss(v):
+        z = x @ v
+        return (weight * (np.logaddexp(0, z) - y * z)).sum() + quality.RIDGE / 2 * (v @ v)
+
+    assert all(loss(w) < loss(w + d * step) for step in np.eye(5) for d in (-1e-2, 1e-2))
+
+
+def test_cotraining_equals_a_plain_restatement():
+    """Rounds written out with sets and lists: who labels what, then calibration and combination."""
+    rng = np.random.default_rng(6)
+    truth = (rng.random(900) < 0.6).astype(int)
+    both = tuple(np.column_stack([np.ones(900), rng.normal(size=(900, 6)) + 0.9 * (truth * 2 - 1)[:, None] * rng.random(6)]) for _ in range(2))
+    y = np.where(rng.random(900) < 0.1, truth, -1)
+    model = quality.cotrain(both, y)
+
+    known = [i for i in range(900) if y[i] >= 0]
+    kept = known[3::4]
+    seen = [i for i in known if i not in set(kept)]
+    unknown = [i for i in range(900) if y[i] < 0]
+    learned = [{i: float(y[i]) for i in seen} for _ in range(2)]
+    pace = {1: round(len(unknown) * quality.SHARE * np.mean(y[seen])), 0: round(len(unknown) * quality.SHARE * (1 - np.mean(y[seen])))}
+    handed = 0
+    for turn in range(quality.ROUNDS + 1):
+        fits, logits = [], []
+        for x, own in zip(both, learned):
+            rows = sorted(own)
+            w = quality.logistic(x[rows], np.array([own[i] for i in rows]))
+            a, b = quality.logistic(np.array([[1.0, x[i] @ w] for i in kept]), y[kept].astype(float), False)
+            fits.append(w)
+            logits.append(a + max(b, 0) * (x @ w))
+        if turn == quality.ROUNDS:
+            break
+        for me in (0, 1):
+            free = [i for i in unknown if i not in learned[1 - me]]
+            chance = {i: 1 / (1 + np.exp(-logits[me][i])) for i in free}
+            for mark in (1, 0):
+                best = sorted(free, key=lambda i: -chance[i] if mark else chance[i])[: max(1, pace[mark])]
+                sure = [i for i in best if (chance[i] if mark else 1 - chance[i]) >= quality.SURE]
+                learned[1 - me].update((i, float(mark)) for i in sure)
+                handed += len(sure)
+    last = quality.logistic(np.array([[1.0, logits[0][i], logits[1][i]] for i in kept]), y[kept].astype(float), False)
+    want = 1 / (1 + np.exp(-(last[0] + last[1] * logits[0] + last[2] * logits[1])))
+    assert handed > 100
+    assert np.abs(model.scores(both)[2] - want).max() < 1e-9
+    assert ((model.scores(both)[2] > 0.5) == truth).mean() > 0.85
+
+
 def test_quality_held_out(spark):
     got = REGISTRY["op8_quality"](spark, BIG).join(spark.read.parquet(f"{BIG}/labels.parquet"), "doc_id")
     assert got.filter("held_out").agg(F.avg((F.col("quality") == F.col("predicted")).cast("int"))).first()[0] > 0.95

@@ -1,17 +1,17 @@
 """Quality classification by co-training of two views of a page.
 
-* Content view: hashed n-gram profile, word repetition, word length and letter case of the text.
-* Metadata view: source, language, length, line layout and character classes of the page.
+* Content view: hashed n-gram profile, word repetition, word length, line layout and character classes of the text.
+* Metadata view: the columns source, language and stated length (smooth and in steps of half an octave). It never reads
+  the text, so the views share no feature.
 
-Each view has a logistic classifier (Newton steps with a ridge). In every round each classifier labels the unlabelled
-rows that it is most sure of, as many good as bad in proportion to the labelled ones, and hands them to the other.
-Afterwards each view is calibrated on labelled rows that no classifier saw, and a last logistic step combines both
-calibrated scores. The combined score is the probability of label 1 (good), for every document.
+Each view has a logistic classifier (Newton steps with a ridge), calibrated on labelled rows that no classifier learns
+from. In every round each classifier labels the unlabelled rows that it is most sure of by its calibrated score, as many
+good as bad in proportion to the labelled ones, and hands them to the other. A last logistic step combines both calibrated scores. The combined score is the probability of label 1 (good), for every document.
 
 The fit uses bounded samples, chosen by hash: at most ``LABELLED`` rows of each label and ``POOL`` unlabelled rows (documented
 bounds), in one task; everything else is row by row. The model is a few kilobytes and travels with the tasks.
 
-Defined results: a null or empty text is scored by its metadata and an empty profile. Null source, language or length
+Defined results: a null or empty text is scored by its metadata and an empty profile, a very long one as a whole. Null source, language or length
 have their own values. Rows labelled twice count twice. Without labels of both kinds every score is 0.5.
 """
 
@@ -31,7 +31,7 @@ from .language_id import Grams
 from .sampling import labelled_sample
 from .words import carried, Hasher, slices, text_bytes, tidy, word_spans
 
-DIM, SOURCES, LANGS = 256, 32, 16
+DIM, SOURCES, LANGS, LENGTHS = 256, 32, 16, 48
 LABELLED, POOL, ROUNDS, SHARE, SURE = 3000, 4000, 4, 0.05, 0.9
 RIDGE, SEED = 1.0, 1
 
@@ -59,7 +59,7 @@ class Views:
         again = np.array([same[b] - same[a + 1] if b > a else 0.0 for a, b in zip(first[:-1], first[1:])]).reshape(n)
         distinct = np.array([len(np.unique(words[a:b])) for a, b in zip(first[:-1], first[1:])]).reshape(n)
         letters = np.maximum(kinds[:, 0] + kinds[:, 1] + kinds[:, 6], 1)
-        some, size = np.maximum(count, 1), np.maximum(sizes, 1)
+        some, size, lines = np.maximum(count, 1), np.maximum(sizes, 1), kinds[:, 4] + 1
         ones = np.ones(n)
 
         counts = self.grams.counts(data, offsets)
@@ -67,16 +67,17 @@ class Views:
         profile /= np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-9)
         content = np.column_stack([
             ones, profile, again / some, np.log1p(again), distinct / some, np.log1p(distinct), letters / some / 10,
-            kinds[:, 1] / letters, kinds[:, 5] / size])
+            kinds[:, 1] / letters, np.log1p(lines), np.log1p(sizes / lines), np.log1p(count / lines), kinds[:, [1, 2, 3, 5]] / size[:, None],
+            kinds[:, 5] / some])
 
         source = [zlib.crc32(x.encode()) % (SOURCES - 1) + 1 if x is not None else 0 for x in batch.column("source").to_pylist()]
         lang = [zlib.crc32(x.encode()) % (LANGS - 1) + 1 if x is not None else 0 for x in batch.column("lang").to_pylist()]
         told = np.array([x if x is not None else -1 for x in batch.column("n_chars").to_pylist()], float).reshape(n)
-        lines = kinds[:, 4] + 1
+        length = np.log1p(np.maximum(told, 0))
+        step = np.where(told < 0, 0, np.minimum(2 * length / np.log(2), LENGTHS - 2).astype(np.int64) + 1)
         meta = np.column_stack([
-            ones, np.eye(SOURCES)[source].reshape(n, SOURCES), np.eye(LANGS)[lang].reshape(n, LANGS), np.log1p(np.maximum(told, 0)),
-            told < 0, np.log1p(lines), np.log1p(sizes / lines), np.log1p(count / lines), kinds[:, [1, 2, 3, 5]] / size[:, None],
-            kinds[:, 5] / some])
+            ones, np.eye(SOURCES)[source].reshape(n, SOURCES), np.eye(LANGS)[lang].reshape(n, LANGS), length,
+            np.eye(LENGTHS)[step].reshape(n, LENGTHS)])
         return content, meta
 
 
@@ -119,16 +120,24 @@ def cotrain(both: tuple[np.ndarray, np.ndarray], y: np.ndarray, rounds: int = RO
         return None
     if len({*y[kept].tolist()}) < 2:
         kept = seen
+    truth = y[kept].astype(float)
+
+    def scale(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Offset and factor (not below 0) that turn a view's values into log-odds."""
+        return np.maximum(logistic(np.column_stack([np.ones(len(kept)), x[kept] @ w]), truth, False), [-np.inf, 0])
+
     label = [y.astype(float).copy(), y.astype(float).copy()]
     usable = [np.isin(np.arange(len(y)), seen) for _ in range(2)]
     views: list[np.ndarray] = []
+    scales: list[np.ndarray] = []
     for turn in range(rounds + 1):
         views = [logistic(x[u], t[u]) for x, u, t in zip(both, usable, label)]
+        scales = [scale(x, w) for x, w in zip(both, views)]
         if turn == rounds:
             break
         for me, other in ((0, 1), (1, 0)):
             free = np.flatnonzero((y < 0) & ~usable[other])
-            p = _chance(both[me][free] @ views[me])
+            p = _chance(scales[me][0] + scales[me][1] * (both[me][free] @ views[me]))
             good = max(1, round(len(np.flatnonzero(y < 0)) * share * y[seen].mean()))
             bad = max(1, round(len(np.flatnonzero(y < 0)) * share * (1 - y[seen].mean())))
             order = np.argsort(p, kind="stable")
@@ -136,10 +145,7 @@ def cotrain(both: tuple[np.ndarray, np.ndarray], y: np.ndarray, rounds: int = RO
                 own = own[(p[own] >= SURE) if mark else (p[own] <= 1 - SURE)]
                 label[other][free[own]] = mark
                 usable[other][free[own]] = True
-    truth = y[kept].astype(float)
-    z = [x[kept] @ w for x, w in zip(both, views)]
-    scales = [np.maximum(logistic(np.column_stack([np.ones(len(v)), v]), truth, False), [-np.inf, 0]) for v in z]
-    calibrated = [s[0] + s[1] * v for s, v in zip(scales, z)]
+    calibrated = [s[0] + s[1] * (x[kept] @ w) for x, w, s in zip(both, views, scales)]
     last = logistic(np.column_stack([np.ones(len(truth)), *calibrated]), truth, False)
     return Model(views, scales, last)
 
