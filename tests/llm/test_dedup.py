@@ -96,6 +96,13 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert near_duplicates(no_docs).count() == 0 and drop_near_duplicates(no_docs).count() == 0
 
 
+def test_different_texts_under_one_number_stay(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (1, "another text under the same number"), (1, None), (2, " ".join(words)), (3, "alone")]
+    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted({rows[0], rows[2], rows[3], rows[5]}, key=str)
+
+
 def brute_repeats(rows, k=13):
     """By (number, text): words, removed words and digest; null numbers are the largest."""
     key = lambda i: (i is None, i)

@@ -283,8 +283,8 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` that represent their component, with all their columns; of rows repeated under
-    one ``doc_id`` one stays, and rows without ``doc_id`` stay."""
+    """The rows of ``docs`` that represent their component, with all their columns; of rows with equal ``doc_id`` and
+    text one stays, different texts under one ``doc_id`` all stay, and so do rows without ``doc_id``."""
     found = near_duplicates(docs, **params)
     gone = saved(found.filter("not kept and doc_id is not null").select("doc_id").distinct(), "gone")
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -293,4 +293,4 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     if twice.isEmpty():
         return left
     once = left.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+    return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
