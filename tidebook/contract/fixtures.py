@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import returns as R
-from ..operators.ordering import materialized, positions, spread
+from ..operators.ordering import materialized, positions, spread, tasks_for
 from ..session import scratch_path
 from ..sources.messages import MICROS
 
@@ -35,20 +35,21 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten events make one snapshot; even events are bids, odd ones asks."""
+    """Ten events make one snapshot; even events are bids, odd ones asks. Levels stand in the events' order, so every run gives the same rows."""
     sid = F.expr("event_id div 10")
     base = F.lit(1000.0) + (sid % 97) * 0.5
     off = F.col("value") * 0.01
     is_bid = F.col("event_id") % 2 == 0
     volume = (F.lit(1) + F.col("user_id") % 50).cast("double")
     pair = F.array(F.when(is_bid, base - 0.5 - off).otherwise(base + 0.5 + off), volume)
+    level = F.struct("event_id", pair.alias("pair"))
     return (
         events(spark, sf_dir)
         .groupBy(sid.alias("sid"))
         .agg(
             F.max("ts").alias("timestamp"),
-            F.collect_list(F.when(is_bid, pair)).alias("bids"),
-            F.collect_list(F.when(~is_bid, pair)).alias("asks"),
+            *[F.transform(F.sort_array(F.collect_list(F.when(own, level))), lambda e: e["pair"]).alias(side)
+              for side, own in (("bids", is_bid), ("asks", ~is_bid))],
         )
         .select(F.concat(F.lit("S"), F.col("sid") % 2).alias("symbol"), "timestamp", "bids", "asks")
     )
@@ -103,7 +104,9 @@ def delayed_files(spark: SparkSession, sf_dir: str, files: int = 5, delay: int =
     rows = materialized(messages(spark, sf_dir))
     share = events(spark, sf_dir).count() // files + 1
     arrival = F.col("seq") + F.when(F.col("seq") % 7 == 0, delay).otherwise(0)
-    for k in range(files + 1):  # one after the other, as files are read by their time
+    # One after the other, as files are read by their time. Message numbers may have gaps, so the files are those that occur.
+    found = rows.select(F.floor(arrival / share).alias("k")).filter("k IS NOT NULL").distinct().orderBy("k").collect()
+    for k in [r.k for r in found]:
         own = rows.filter(F.floor(arrival / share) == k)
         own.coalesce(1).write.mode("append").option("timestampFormat", MICROS).json(path)
     return path
@@ -113,7 +116,8 @@ def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four numeric columns as a feature table with a dense row number."""
     columns = list(dict.fromkeys([*LINE_ORDER, *LINE_FEATURES]))
     items = table(spark, sf_dir, "lineitem").select(*columns)
-    keyed = items.withColumn("_all", F.lit(0)).withColumn("_block", F.expr("l_orderkey div 50000"))
+    keyed = items.withColumn("_all", F.lit(0)).withColumn("_block", F.expr("l_orderkey div 50000")).repartition(
+        tasks_for(spark, items.count()), "_all", "_block")
     return materialized(positions(keyed, ["_all"], list(LINE_ORDER), "_block").select("idx", *LINE_FEATURES))
 
 

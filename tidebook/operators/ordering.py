@@ -14,13 +14,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
 CHUNK = 16_384
 BROADCAST_ROWS = 200_000
+#: Rows that one task sorts or joins where the number of tasks is set by the rows.
+ROWS_PER_TASK = 500_000
 #: Block numbers that are carried together.
 FAN = 10_000
 
@@ -46,6 +48,11 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
 
 
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks of an exchange of so many rows: more rows give more tasks, not larger ones."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
 def in_blocks(
     df: DataFrame,
     group: Sequence[str],
