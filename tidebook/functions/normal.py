@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +73,20 @@ def with_quantile(df: DataFrame, p: str, name: str) -> DataFrame:
     return staged.withColumn(name, F.when((F.col(p) > 0) & (F.col(p) < 1), value)).drop(f"_{name}_q", f"_{name}_r", f"_{name}_n")
 
 
+def quantile_array(p: np.ndarray) -> np.ndarray:
+    """The quantile of an array of probabilities inside (0, 1)."""
+    q = p - 0.5
+    near = 0.180625 - q * q
+    out = q * np.polyval(CENTRAL[0], near) / np.polyval(CENTRAL[1], near)
+    outer = np.flatnonzero(np.abs(q) > 0.425)
+    r = np.sqrt(-np.log(np.where(q[outer] <= 0, p[outer], 1.0 - p[outer])))
+    value = np.polyval(MIDDLE[0], r - 1.6) / np.polyval(MIDDLE[1], r - 1.6)
+    far = r > 5
+    value[far] = np.polyval(FAR[0], r[far] - 5.0) / np.polyval(FAR[1], r[far] - 5.0)
+    out[outer] = np.where(q[outer] < 0, -value, value)
+    return out
+
+
 def quantile_sql(p: str) -> str:
     """``p`` must be a plain column name."""
     q, r = f"({p} - 0.5::DOUBLE)", f"sqrt(-ln(CASE WHEN {p} <= 0.5 THEN {p} ELSE 1 - {p} END))"

@@ -7,16 +7,20 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime, timezone
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.transforms import apply_named, box_cox, is_finite, yeo_johnson
 from ..schema import FWD_PREFIX, NOT_TRANSFORMED
-from .normality import shapiro
-from .ordering import small_side
+from .normality import SCORES, normal_scores, shapiro, shapiro_of, shapiro_sums
+from .ordering import materialized, small_side
+from .packed import merged_of, packed, pieces
+from .ranks import value_runs
 
 # Candidate order decides ties.
 CANDIDATES = ("identity", "asinh", "yeo-johnson", "log", "sqrt", "box-cox")
@@ -59,11 +63,11 @@ def _sqrt_offset(lo: Column) -> Column:
     return F.when(lo >= 0, 0.0).when(lo >= -1e6, F.abs(lo) + 0.1)
 
 
-def candidate_values(long: DataFrame, stats: DataFrame, lambdas: DataFrame | None = None) -> DataFrame:
-    """Every value under every admissible candidate: ``(feature, candidate, lambda, offset, value)``.
+def candidate_values(long: DataFrame, stats: DataFrame, lambdas: DataFrame | None = None, rest: Sequence[str] = ()) -> DataFrame:
+    """Every value under every admissible candidate: ``(feature, candidate, lambda, offset, value)`` and the columns ``rest``.
 
     ``lambdas`` has ``(feature, yj_lambda, bc_lambda)``; without it the two power families are left
-    out. A candidate with one non-finite value is dropped by ``usable_candidates``.
+    out. A candidate with one non-finite value is dropped by ``score_candidates``.
     """
     x, lo = F.col("value"), F.col("min")
     none = F.lit(None).cast("double")
@@ -92,59 +96,123 @@ def candidate_values(long: DataFrame, stats: DataFrame, lambdas: DataFrame | Non
         ]
     return (
         long.join(small_side(side), "feature")
-        .select("feature", F.explode(F.array_compact(F.array(*made))).alias("c"))
-        .select("feature", "c.candidate", "c.lambda", "c.offset", "c.value")
+        .select("feature", *rest, F.explode(F.array_compact(F.array(*made))).alias("c"))
+        .select("feature", "c.candidate", "c.lambda", "c.offset", "c.value", *rest)
     )
 
 
-def _llf(x: Column, lam: Column, family: str) -> tuple[Column, Column]:
-    if family == "box-cox":
-        return box_cox(x, lam), F.log(x)
-    return yeo_johnson(x, lam), F.signum(x) * F.log1p(F.abs(x))
+def _profile_rows(family: str):
+    """Per packed row and lambda of its list ``_g``: rows, sum of the log terms, sums of the transformed values around a middle that
+    all rows of a feature share, and of their squares."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            middles, grids, names, out = batch.column("_middle"), batch.column("_g"), batch.column("feature"), []
+            for i, x, c in pieces(batch):
+                u = np.log(np.where(x > 0, x, np.nan)) if family == "box-cox" else np.log1p(np.abs(x))
+                x0 = middles[i].as_py()
+                u0 = (math.log(x0) if x0 > 0 else math.nan) if family == "box-cox" else math.log1p(abs(x0))
+                terms = float(c @ (u if family == "box-cox" else np.sign(x) * u))
+                for lam in grids[i].as_py():
+                    y = _transformed(family, x >= 0, u, lam) - float(_transformed(family, np.array([x0 >= 0]), np.array([u0]), lam)[0])
+                    out.append((names[i].as_py(), lam, float(c.sum()), terms, float(c @ y), float(c @ (y * y))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 6, (pa.string(), *[pa.float64()] * 5))],
+                names=["feature", "lambda", "_n", "_t", "_y", "_yy"])
+
+    return run
+
+
+def _transformed(family: str, up: np.ndarray, u: np.ndarray, lam: float) -> np.ndarray:
+    """Box-Cox or Yeo-Johnson values from the logarithms ``u``."""
+
+    def power(g: float) -> np.ndarray:
+        return u if g == 0 else np.expm1(g * u) / g
+
+    with np.errstate(all="ignore"):
+        if family == "box-cox" or up.all():
+            return power(lam)
+        return np.where(up, power(lam), -power(2.0 - lam))
 
 
 def lambda_profile(long: DataFrame, family: str, grid: Column) -> DataFrame:
     """``(feature, lambda, llf)``: one aggregate over the sample for the whole grid.
 
-    ``grid`` is an array column, so a row is copied only within its task before the partial sums.
+    ``grid`` is an array column. Equal values are merged first, and a task holds the values of a packed row under one lambda at a time.
     """
-    x, lam = F.col("value"), F.col("lambda")
-    y, term = _llf(x, lam, family)
-    rows = long.withColumn("lambda", F.explode(grid)).select("feature", "lambda", y.alias("_y"), term.alias("_t"))
-    return (
-        rows.groupBy("feature", "lambda")
-        .agg(F.count(F.lit(1)).alias("n"), F.var_pop("_y").alias("_v"), F.sum("_t").alias("_s"))
-        .withColumn("llf", -F.col("n") / 2 * F.log("_v") + (lam - 1.0) * F.col("_s"))
-        .select("feature", "lambda", F.when(is_finite(F.col("llf")), F.col("llf")).alias("llf"))
-    )
+    lam, n = F.col("lambda"), F.col("_n")
+    rows = _with_middle(packed(long, "feature")).withColumn("_g", grid)
+    parts = rows.mapInArrow(_profile_rows(family), "feature string, `lambda` double, _n double, _t double, _y double, _yy double")
+    llf = -n / 2 * F.log(F.col("_yy") / n - F.col("_y") / n * F.col("_y") / n) + (lam - 1.0) * F.col("_t")
+    return parts.groupBy("feature", "lambda").agg(*[F.sum(c).alias(c) for c in ("_n", "_t", "_y", "_yy")]).withColumn(
+        "llf", llf).select("feature", "lambda", F.when(is_finite(F.col("llf")), F.col("llf")).alias("llf"))
 
 
-def _power(u: Column, g: Column) -> tuple[Column, Column, Column]:
+def _with_middle(rows: DataFrame) -> DataFrame:
+    """Packed rows with a value near the mean of their feature."""
+    total = F.aggregate(F.zip_with("values", "counts", lambda v, c: v * c), F.lit(0.0), lambda s, x: s + x)
+    many = F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)
+    middle = rows.groupBy("feature").agg((F.sum(total) / F.sum(many)).alias("_middle"))
+    return rows.join(small_side(middle), "feature")
+
+
+def _power(u: np.ndarray, g: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``expm1(g u) / g`` and its first two derivatives by g; by their series where g u is small."""
     t = g * u
-    near = F.abs(t) < 1e-3
-    y = F.when(near, u * (1.0 + t * (0.5 + t * (1 / 6 + t * (1 / 24 + t / 120))))).otherwise(F.expm1(t) / g)
-    d = F.when(near, u * u * (0.5 + t * (1 / 3 + t * (1 / 8 + t / 30)))).otherwise((u * F.exp(t) - F.expm1(t) / g) / g)
-    far = (u * u * F.exp(t) - 2.0 * (u * F.exp(t) - F.expm1(t) / g) / g) / g
-    return y, d, F.when(near, u * u * u * (1 / 3 + t * (1 / 4 + t * (1 / 10 + t / 36)))).otherwise(far)
-
-
-def _profile_sums(family: str, lam: Column) -> list[Column]:
-    """The sums that give a family's profile likelihood and its first two derivatives at ``lam``."""
-    x = F.col("value")
-    if family == "box-cox":
-        u = F.log(F.when(x > 0, x))
-        (y, d, c), log = _power(u, lam), u
+    near = np.abs(t) < 1e-3
+    if not near.all():
+        e = np.expm1(t)
+        y = e / g
+        ue = u * (e + 1.0)
+        d = (ue - y) / g
+        c = (u * ue - 2.0 * d) / g
     else:
-        u = F.log1p(F.abs(x))
-        up, down = _power(u, lam), _power(u, 2.0 - lam)
-        y, d, c = (F.when(x >= 0, p).otherwise(q) for p, q in zip(up, (-down[0], down[1], -down[2])))
-        log = F.signum(x) * u
-    tag = FAMILIES[family]
-    return [
-        F.count(y).alias(f"n_{tag}"), F.sum(log).alias(f"s_{tag}"), F.var_pop(y).alias(f"v_{tag}"), F.covar_pop(y, d).alias(f"vd_{tag}"),
-        F.var_pop(d).alias(f"dd_{tag}"), F.covar_pop(y, c).alias(f"vc_{tag}"),
-    ]
+        y, d, c = np.empty_like(u), np.empty_like(u), np.empty_like(u)
+    if near.any():
+        v, t = u[near], t[near]
+        y[near] = v * (1.0 + t * (0.5 + t * (1 / 6 + t * (1 / 24 + t / 120))))
+        d[near] = v * v * (0.5 + t * (1 / 3 + t * (1 / 8 + t / 30)))
+        c[near] = v * v * v * (1 / 3 + t * (1 / 4 + t * (1 / 10 + t / 36)))
+    return y, d, c
+
+
+def _slopes(family: str, up: np.ndarray, u: np.ndarray, lam: float) -> np.ndarray:
+    """Transformed values and their first two derivatives by lambda, as three rows."""
+    if family == "box-cox" or up.all():
+        return np.array(_power(u, lam))
+    y, d, c = _power(u, 2.0 - lam)
+    return np.where(up, np.array(_power(u, lam)), np.array((-y, d, -c)))
+
+
+SUMS = ("n", "s", "y", "d", "c", "yy", "yd", "dd", "yc")
+
+
+def _search_sums(families: Sequence[str]):
+    """Per packed row the sums that give the profiles' likelihood and its first two derivatives at the lambdas ``yj`` and ``bc``,
+    around the values of the feature's middle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, middles, out = batch.column("feature"), batch.column("_middle"), []
+            for i, x, k in pieces(batch):
+                x0 = middles[i].as_py()
+                for family in families:
+                    lam = batch.column(FAMILIES[family])[i].as_py()
+                    if lam is None:
+                        continue
+                    with np.errstate(all="ignore"):
+                        u = np.log(np.append(x, x0)) if family == "box-cox" else np.log1p(np.abs(np.append(x, x0)))
+                        all_ = _slopes(family, np.append(x, x0) >= 0, u, lam)
+                        (y, d, c), u = all_[:, :-1] - all_[:, -1:], u[:-1]
+                        terms = u if family == "box-cox" else np.sign(x) * u
+                        ky, kd = k * y, k * d
+                        out.append((names[i].as_py(), family, *map(float, (
+                            k.sum(), k @ terms, ky.sum(), kd.sum(), k @ c, ky @ y, ky @ d, kd @ d, ky @ c))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 11, (pa.string(), pa.string(), *[pa.float64()] * 9))],
+                names=["feature", "family", *SUMS])
+
+    return run
 
 
 class _Search:
@@ -186,33 +254,35 @@ class _Search:
         self.done = abs(self.lam - self.good) <= TOLERANCE * max(1.0, abs(self.good))
 
 
-def fit_lambdas(long: DataFrame, families: Sequence[str] = ("yeo-johnson", "box-cox")) -> DataFrame:
+def fit_lambdas(
+    long: DataFrame, families: Sequence[str] = ("yeo-johnson", "box-cox"), values: DataFrame | None = None
+) -> DataFrame:
     """``(feature, family, lambda, llf)``: maximum-likelihood lambda, given to a thousandth, of every feature and family, and the
     profile's peak; Box-Cox for positive features.
 
     The profile has one peak. Every pass is one aggregate over the rows of the features that are still moving, for both families at once,
     and gives value, slope and curvature; about six passes are enough, without a grid. Only these few numbers per
-    feature reach the driver. A feature without spread or usable values has no row.
+    feature reach the driver. A feature without spread or usable values has no row. ``values``: the rows already ``packed``.
     """
     spark = long.sparkSession
     state: dict[tuple[str, str], _Search] = {}
-    for r in long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect():
+    values = materialized(_with_middle(packed(long, "feature") if values is None else values))
+    ends = values.groupBy("feature").agg(F.min(F.element_at("values", 1)).alias("lo"), F.max(F.element_at("values", -1)).alias("hi"))
+    for r in ends.collect():
         for family in families:
             if r.lo is not None and r.lo < r.hi and (family != "box-cox" or r.lo > 0):
                 state[r.feature, family] = _Search()
+    schema = "feature string, family string, " + ", ".join(f"{c} double" for c in SUMS)
     for _ in range(PASSES):
-        open_ = sorted({f for (f, _), search in state.items() if not search.done})
-        if not open_:
+        moving = {f for (f, _), search in state.items() if not search.done}
+        if not moving:
             break
-        at = [(f, *[state[f, k].lam if (f, k) in state else None for k in FAMILIES]) for f in open_]
+        at = [(f, *[state[f, k].lam if (f, k) in state and not state[f, k].done else None for k in FAMILIES]) for f in sorted(moving)]
         side = spark.createDataFrame(at, "feature string, yj double, bc double")
-        sums = long.join(F.broadcast(side), "feature").groupBy("feature").agg(
-            *[c for family in families for c in _profile_sums(family, F.col(FAMILIES[family]))]).collect()
-        for r in sums:
-            for family in families:
-                search = state.get((r.feature, family))
-                if search and not search.done:
-                    search.learn(*[r[f"{c}_{FAMILIES[family]}"] for c in ("n", "s", "v", "vd", "dd", "vc")])
+        parts = values.join(F.broadcast(side), "feature").mapInArrow(_search_sums(families), schema)
+        for r in parts.groupBy("feature", "family").agg(*[F.sum(c).alias(c) for c in SUMS]).collect():
+            n, y, d, c = r.n, r.y / r.n, r.d / r.n, r.c / r.n
+            state[r.feature, r.family].learn(n, r.s, r.yy / n - y * y, r.yd / n - y * d, r.dd / n - d * d, r.yc / n - y * c)
     rows = [(f, k, round(search.lam, 3), search.llf) for (f, k), search in state.items() if search.lam is not None and search.good is not None]
     return spark.createDataFrame(rows, "feature string, family string, `lambda` double, llf double")
 
@@ -234,6 +304,10 @@ def normality_score(values: DataFrame, keys: Sequence[str] = ("feature", "candid
         F.kurtosis(v).alias("excess_kurtosis"),
     )
     tested = shapiro(values, keys).select(*keys, F.col("shapiro_p").alias("shapiro_pvalue"))
+    return _scores(moments, tested, keys)
+
+
+def _scores(moments: DataFrame, tested: DataFrame, keys: Sequence[str]) -> DataFrame:
     few = F.col("n") < 3
     score = F.col("shapiro_pvalue") - 0.1 * F.abs("skewness") - 0.05 * F.abs("excess_kurtosis")
     return moments.join(tested, keys, "left").select(
@@ -245,22 +319,45 @@ def normality_score(values: DataFrame, keys: Sequence[str] = ("feature", "candid
     )
 
 
-def usable_candidates(values: DataFrame) -> DataFrame:
-    """Candidates without a single non-finite value."""
-    bad = F.max(F.when(is_finite(F.col("value")), 0).otherwise(1)).alias("_bad")
-    return values.groupBy("feature", "candidate").agg(bad, F.max("lambda").alias("lambda"), F.max("offset").alias("offset")).filter("_bad = 0").drop("_bad")
+def score_candidates(values: DataFrame, stats: DataFrame, lambdas: DataFrame) -> DataFrame:
+    """From ``packed`` rows, the ``normality_score`` of every candidate without a single non-finite value, with its ``lambda`` and ``offset``.
+
+    All candidates rise with the value, so the rows are merged, ordered and given their normal scores once for all of
+    them, and the candidates are formed on the merged values.
+    """
+    merged = merged_of(values, "feature")
+    runs = value_runs(merged, ["feature"], merged=merged)
+    key = ["feature", "candidate"]
+    x, cnt, n = F.col("value"), F.col("cnt"), F.col("n")
+    rest = ("n", "below", "cnt")
+    bad = F.max(F.when(is_finite(x), 0).otherwise(1)).alias("_bad")
+    means = small_side(candidate_values(runs, stats, lambdas, rest).groupBy(*key).agg(
+        bad, F.max("lambda").alias("lambda"), F.max("offset").alias("offset"),
+        (F.sum(cnt * x) / F.sum(cnt)).alias("mean"), (F.min(x) < F.max(x)).alias("_spread")).filter("_bad = 0").drop("_bad"))
+    rows = candidate_values(normal_scores(runs), stats, lambdas, (*rest, *SCORES)).drop("lambda", "offset").join(means, key)
+    dev = x - F.col("mean")
+    names = ["lambda", "offset", "mean", "_spread"]
+    sums = rows.groupBy(*key, "n", *names).agg(
+        F.sum(cnt * dev * dev * dev).alias("_c"), F.sum(cnt * dev * dev * dev * dev).alias("_d"), *shapiro_sums(x, F.col("mean")))
+    sums = materialized(sums)
+    tested = shapiro_of(sums, key).select(*key, F.col("shapiro_p").alias("shapiro_pvalue"))
+    spread = F.when(F.col("_spread"), F.col("ss")).otherwise(0.0) / n
+    wide = sums.withColumn("_m2", spread).select(
+        *key, *names[:3], "n", F.sqrt("_m2").alias("std"),
+        F.when(F.col("_m2") > 0, F.col("_c") / n / F.pow("_m2", F.lit(1.5))).alias("skewness"),
+        F.when(F.col("_m2") > 0, F.col("_d") / n / (F.col("_m2") * F.col("_m2")) - 3.0).alias("excess_kurtosis"))
+    return _scores(wide, tested, key).join(wide.select(*key, "lambda", "offset"), key)
 
 
 def fit_transforms(df: DataFrame, feats: Sequence[str] | None = None) -> DataFrame:
     """One row per feature: the candidate with the highest score, ties to the earlier candidate."""
     feats = list(feats or select_features(df))
     long = feature_long(df, feats)
-    stats = feature_stats(long)
-    fitted = fit_lambdas(long)
+    stats, values = materialized(feature_stats(long)), packed(long, "feature")
+    fitted = fit_lambdas(long, values=values)
     lambdas = fitted.groupBy("feature").agg(*[
         F.max(F.when(F.col("family") == family, F.col("lambda"))).alias(f"{tag}_lambda") for family, tag in FAMILIES.items()])
-    values = candidate_values(long, stats, lambdas)
-    scored = normality_score(values).join(usable_candidates(values), ["feature", "candidate"])
+    scored = score_candidates(values, stats, lambdas)
     order = F.array_position(F.array(*[F.lit(c) for c in CANDIDATES]), F.col("candidate"))
     first = Window.partitionBy("feature").orderBy(F.col("score").desc_nulls_last(), order)
     chosen = scored.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.normal import log_cdf, once, tail, with_quantile
+from ..functions.normal import log_cdf, once, quantile_array, tail, with_quantile
 from .ordering import small_side
 from .ranks import expand_runs, value_runs
 
@@ -23,6 +25,9 @@ LARGE_SD = (-0.4803, -0.082676, 0.0030302)
 # Anderson-Darling critical values for 15, 10, 5, 2.5 and 1 percent.
 ANDERSON_CRITICAL = (0.576, 0.656, 0.787, 0.918, 1.092)
 ANDERSON_LEVELS = (15.0, 10.0, 5.0, 2.5, 1.0)
+#: Places that a task holds at once.
+PLACES = 1_000_000
+SCORES = ("_mm", "_m", "_mi")
 
 
 def _poly(coef: Sequence[float], x: Column) -> Column:
@@ -32,6 +37,52 @@ def _poly(coef: Sequence[float], x: Column) -> Column:
     return out
 
 
+def _score_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the normal scores of the places that a piece of a run holds, at most about a million places at a time."""
+    for batch in batches:
+        below, cnt, n = (batch.column(c).to_numpy() for c in ("below", "cnt", "n"))
+        sums = np.zeros((3, len(cnt)))
+        upto = np.cumsum(cnt)
+        a = 0
+        while a < len(cnt):
+            z = max(a + 1, int(np.searchsorted(upto, upto[a] - cnt[a] + PLACES, side="right")))
+            many, starts = cnt[a:z], np.concatenate(([0], np.cumsum(cnt[a:z])[:-1]))
+            i = np.repeat(below[a:z] - starts, many) + np.arange(int(many.sum())) + 1
+            size = np.repeat(n[a:z], many)
+            m = quantile_array((i - 0.375) / (size + 0.25))
+            for j, x in enumerate((m * m, np.where((i > 1) & (i < size), m, 0.0), np.where((i > 2) & (i < size - 1), m, 0.0))):
+                sums[j, a:z] = np.add.reduceat(x, starts)
+            a = z
+        yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(x) for x in sums]], names=[*batch.schema.names, *SCORES])
+
+
+def normal_scores(runs: DataFrame, piece: int = 65_536) -> DataFrame:
+    """Value runs with the sums of their places' normal scores: squares (``_mm``), without the outermost places (``_m``) and without
+    the two outermost on each side (``_mi``). A run of more than ``piece`` places is cut and its pieces are spread over all tasks."""
+    cores = runs.sparkSession.sparkContext.defaultParallelism
+    start = F.explode(F.sequence(F.lit(0), F.col("cnt") - 1, F.lit(piece))).alias("_from")
+    rest = [c for c in runs.columns if c not in ("below", "cnt")]
+    cut = runs.filter(F.col("cnt") > piece).select("*", start).repartition(2 * cores, "value", "_from").select(
+        *rest, (F.col("below") + F.col("_from")).alias("below"), F.least(F.lit(piece), F.col("cnt") - F.col("_from")).alias("cnt"))
+    rows = runs.filter(F.col("cnt") <= piece).select(*rest, "below", "cnt").unionByName(cut)
+    schema = rows.select("*", *[F.lit(0.0).alias(c) for c in SCORES]).schema
+    return rows.mapInArrow(_score_sums, schema)
+
+
+def shapiro_sums(value: Column, mean: Column) -> list[Column]:
+    """The sums over ``normal_scores`` rows that ``shapiro_of`` needs, for a value that never falls along the runs."""
+    n, lo, cnt = F.col("n"), F.col("below"), F.col("cnt")
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((lo < place) & (place <= lo + cnt), value))
+
+    return [
+        F.sum("_mm").alias("mm"), F.sum(F.col("_m") * value).alias("mx"), F.sum(F.col("_mi") * value).alias("mx_inner"),
+        F.sum(cnt * (value - mean) * (value - mean)).alias("ss"),
+        at(F.lit(1)).alias("x1"), at(F.lit(2)).alias("x2"), at(n - 1).alias("y2"), at(n).alias("y1"),
+    ]
+
+
 def shapiro(long: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
     """``keys, n, shapiro_stat, shapiro_p`` over all rows of every group, by Royston's (1995) approximation.
 
@@ -39,22 +90,17 @@ def shapiro(long: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
     normal scores, so a group of any size is spread over all tasks. NULL below three rows or without spread.
     """
     keys = list(keys)
-    n, v = F.col("n"), F.col("value")
-    places = expand_runs(value_runs(long, keys), keys).select(
-        *keys, "n", "value", (F.col("place") + 1).alias("i"), ((F.col("place") + 0.625) / (n + 0.25)).alias("_p"))
-    places = with_quantile(places, "_p", "m")
-    i, m = F.col("i"), F.col("m")
-
-    def at(place: Column, c: Column) -> Column:
-        return F.max(F.when(i == place, c))
-
-    inner = (i > 2) & (i < n - 1)
-    sums = places.groupBy(*keys, "n").agg(
-        F.sum(m * m).alias("mm"), F.sum(F.when((i > 1) & (i < n), m * v)).alias("mx"),
-        F.sum(F.when(inner, m * v)).alias("mx_inner"), (F.var_pop("value") * n).alias("ss"),
-        at(F.lit(1), v).alias("x1"), at(F.lit(2), v).alias("x2"), at(n - 1, v).alias("y2"), at(n, v).alias("y1"),
-        at(n, m).alias("m1"), at(n - 1, m).alias("m2"),
-    )
+    runs = value_runs(long, keys)
+    means = runs.groupBy(*keys).agg((F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")).alias("_mean"))
+    rows = normal_scores(runs).join(small_side(means), keys)
+    return shapiro_of(rows.groupBy(*keys, "n").agg(*shapiro_sums(F.col("value"), F.col("_mean"))), keys)
+
+
+def shapiro_of(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, n, shapiro_stat, shapiro_p`` from a table with ``keys``, ``n`` and ``shapiro_sums``."""
+    n = F.col("n")
+    for name, i in (("m1", n), ("m2", n - 1)):
+        sums = with_quantile(sums.withColumn("_p", (i - 0.375) / (n + 0.25)), "_p", name)
     root = 1.0 / F.sqrt(n)
     weighted = sums.withColumn(
         "last", F.when(n == 3, math.sqrt(0.5)).otherwise(_poly(LAST_WEIGHT, root) + F.col("m1") / F.sqrt("mm"))
