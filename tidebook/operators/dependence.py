@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tails import chi2_sf
-from .ordering import CHUNK, halo_chunks, materialized, shifted, small_side
+from .ordering import CHUNK, halo_chunks, materialized, small_side, tasks_for
 from .ranks import average_ranks, quantiles
 
 MI_BINS = 10
@@ -84,29 +84,25 @@ def ljung_box(long: DataFrame, lags: Sequence[int] = (10, 20, 40), of: str | Seq
 def quantile_acf(long: DataFrame, taus: Sequence[float] = (0.01, 0.05, 0.10), max_lag: int = 20) -> DataFrame:
     """Correlation of the indicator ``value <= quantile(tau)`` with its own lags."""
     q = quantiles(long, taus)
-    hit = long.join(small_side(q), "series").select(
-        "series", "idx", "n",
-        *[(F.col("value") <= F.get("q", i)).cast("int").alias(f"_i{i}") for i in range(len(taus))],
-    )
-    lagged = shifted(hit, ["series"], {
-        f"_l{i}_{k}": (F.col(f"_i{i}"), k) for i in range(len(taus)) for k in range(1, max_lag + 1)
-    })
-
-    # Indicators are 0/1, so counts give the correlation exactly.
-    entries = F.explode(F.array(*[
-        F.struct(
-            F.lit(float(tau)).alias("tau"), F.lit(k).alias("lag"),
-            F.col(f"_i{i}").alias("x"), F.col(f"_l{i}_{k}").alias("y"),
-        )
-        for i, tau in enumerate(taus) for k in range(1, max_lag + 1)
-    ])).alias("e")
-    x, y = F.col("x"), F.col("y")
-    sums = (
-        lagged.select("series", entries).select("series", "e.*").filter(y.isNotNull())
-        .groupBy("series", "tau", "lag")
-        .agg(F.count(F.lit(1)).cast("double").alias("m"), F.sum(x).cast("double").alias("sx"),
-             F.sum(y).cast("double").alias("sy"), F.sum(x * y).cast("double").alias("sxy"))
-    )
+    rows = halo_chunks(long.select("series", "idx", "value").join(small_side(q), "series"), "idx", CHUNK, back=max_lag)
+
+    def counts(key: tuple, table: pa.Table) -> pa.Table:
+        """Indicators are 0/1, so counts give the correlation exactly."""
+        v, there, own = _chunk_in_order(table)
+        first, found = int(np.flatnonzero(own)[0]) if own.any() else len(v), []
+        for tau, cut in zip(taus, table["q"][0].as_py()):
+            hit = there & (v <= cut)
+            for k in range(1, max_lag + 1):
+                start = max(first, k)  # only the first chunk has rows without a row k before them
+                x, y, ok = hit[start:], hit[start - k : len(v) - k], there[start - k : len(v) - k]
+                if start < len(v):
+                    found.append((key[0].as_py(), float(tau), k, *(int(np.count_nonzero(c)) for c in (ok, x & ok, y, x & y))))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*found) if found else [[]] * 7, (
+            pa.string(), pa.float64(), pa.int32(), *[pa.int64()] * 4))], names=["series", "tau", "lag", "m", "sx", "sy", "sxy"])
+
+    parts = rows.groupBy("series", "chunk").applyInArrow(
+        counts, "series string, tau double, lag int, m long, sx long, sy long, sxy long")
+    sums = parts.groupBy("series", "tau", "lag").agg(*[F.sum(c).cast("double").alias(c) for c in ("m", "sx", "sy", "sxy")]).filter("m > 0")
     m, sx, sy = F.col("m"), F.col("sx"), F.col("sy")
     denom = F.sqrt((m * sx - sx * sx) * (m * sy - sy * sy))
     return sums.select(
@@ -115,6 +111,14 @@ def quantile_acf(long: DataFrame, taus: Sequence[float] = (0.01, 0.05, 0.10), ma
     )
 
 
+def _chunk_in_order(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of a chunk along ``idx``, which of them are not null, and which rows are the chunk's own."""
+    order = np.argsort(table["idx"].to_numpy())
+    value = table["value"].combine_chunks()
+    there = value.is_valid().to_numpy(zero_copy_only=False)
+    return value.to_numpy(zero_copy_only=False)[order], there[order], table["own"].to_numpy(zero_copy_only=False)[order]
+
+
 def _numbered_long(df: DataFrame, key: str, feats: Sequence[str]) -> DataFrame:
     """``(idx, series, value)`` of rows where all features are finite."""
     return df.dropna(subset=list(feats)).select(
@@ -150,11 +154,12 @@ def _rank_products(names: Sequence[str], pairs: Sequence[tuple[str, str]], middl
 
 def _spearman(df: DataFrame, key: str, left: Sequence[str], right: Sequence[str] | None) -> DataFrame:
     names = list(dict.fromkeys([*left, *(right or [])]))
-    ranks = average_ranks(_numbered_long(df, key, names))
-    wide = ranks.groupBy("idx").agg(
+    n = df.dropna(subset=names).count()
+    parts = tasks_for(df.sparkSession, n * len(names))
+    ranks = average_ranks(_numbered_long(df, key, names), parts=parts)
+    wide = ranks.repartition(parts, "idx").groupBy("idx").agg(
         *[F.max(F.when(F.col("series") == f, F.col("rank"))).alias(f) for f in names]
     ).drop("idx")
-    n = df.dropna(subset=names).count()
     # The mean of average ranks is (n + 1) / 2, so centred sums need no pass of their own.
     sums = wide.mapInArrow(
         _rank_products(names, _pair_list(left, right), (n + 1) / 2),
@@ -187,14 +192,6 @@ def pair_summary(pairs: DataFrame, value: str = "rho") -> DataFrame:
     )
 
 
-def _bin_of(v: Column, edges: Column, bins: int) -> Column:
-    """Number of inner edges at or below the value."""
-    total = F.lit(0)
-    for i in range(bins - 1):
-        total = total + (v >= F.get(edges, i)).cast("int")
-    return total
-
-
 def _edges(long: DataFrame, bins: int) -> DataFrame:
     return quantiles(long, [i / bins for i in range(1, bins)]).drop("n")
 
@@ -257,18 +254,29 @@ def mi_targets(df: DataFrame, feats: Sequence[str], targets: Sequence[str], bins
 
 def lagged_mi(long: DataFrame, max_lag: int = 20, bins: int = MI_BINS) -> DataFrame:
     """Mutual information of a series with its own lags; NULL below 50 pairs."""
-    binned = long.join(small_side(_edges(long, bins)), "series").select(
-        "series", "idx", _bin_of(F.col("value"), F.col("q"), bins).alias("b")
-    )
-    lagged = shifted(binned, ["series"], {f"_l{k}": (F.col("b"), k) for k in range(1, max_lag + 1)})
-    entries = F.array(*[
-        F.struct(F.lit(k).alias("lag"), F.col(f"_l{k}").alias("x"), F.col("b").alias("y")) for k in range(1, max_lag + 1)
-    ])
-    counts = (
-        lagged.select("series", F.explode(entries).alias("e")).select("series", "e.*")
-        .filter(F.col("x").isNotNull())
-        .groupBy("series", "lag", "x", "y").agg(F.count(F.lit(1)).alias("c"))
-    )
+    edges = small_side(_edges(long, bins))
+    rows = halo_chunks(long.select("series", "idx", "value").join(edges, "series"), "idx", CHUNK, back=max_lag)
+
+    def joint(key: tuple, table: pa.Table) -> pa.Table:
+        v, there, own = _chunk_in_order(table)
+        b = np.where(there, np.searchsorted(np.array(table["q"][0].as_py(), float), v, side="right"), bins)  # ``bins``: no value
+        first, lags, cells = int(np.flatnonzero(own)[0]) if own.any() else len(v), [], []
+        for k in range(1, max_lag + 1):
+            start = max(first, k)
+            if start < len(v):
+                cells.append(np.bincount(b[start - k : len(v) - k] * (bins + 1) + b[start:], minlength=(bins + 1) ** 2))
+                lags.append(k)
+        table = np.array(cells, np.int64).reshape(-1, (bins + 1) ** 2)
+        row, cell = np.nonzero(table)
+        kept = cell < bins * (bins + 1)
+        row, cell = row[kept], cell[kept]
+        y = cell % (bins + 1)
+        return pa.table({
+            "series": pa.array([key[0].as_py()] * len(row), pa.string()), "lag": pa.array(np.array(lags, np.int32)[row]),
+            "x": pa.array((cell // (bins + 1)).astype(np.int32)), "y": pa.array(y.astype(np.int32), mask=y == bins), "c": pa.array(table[row, cell])})
+
+    counts = rows.groupBy("series", "chunk").applyInArrow(joint, "series string, lag int, x int, y int, c long").groupBy(
+        "series", "lag", "x", "y").agg(F.sum("c").alias("c"))
     return _mi_from_counts(counts, ["series", "lag"]).select(
         "series", "lag", F.col("n").cast("long").alias("pairs"),
         F.when(F.col("n") >= MIN_PAIRS, F.col("mi")).alias("mi"),

@@ -95,11 +95,12 @@ def quantiles(long: DataFrame, probs: Sequence[float], keys: Sequence[str] = ("s
     return quantiles_of_runs(value_runs(long, keys), probs, keys)
 
 
-def average_ranks(long: DataFrame, row_key: str = "idx", keys: Sequence[str] = ("series",)) -> DataFrame:
+def average_ranks(long: DataFrame, row_key: str = "idx", keys: Sequence[str] = ("series",), parts: int | None = None) -> DataFrame:
     """Add ``rank`` (1-based, ties share their mean rank).
 
     A value held by more than one row in 2,000 is hot; there are at most 2,000 hot values per
     series and their ranks come from a size-checked side table, so they are never shuffled by value.
+    ``parts``: tasks of the join of rows with ranks (default: the session's).
     """
     keys = list(keys)
     runs = value_runs(long, keys).withColumn("rank", F.col("below") + (F.col("cnt") + 1) / 2)
@@ -109,7 +110,10 @@ def average_ranks(long: DataFrame, row_key: str = "idx", keys: Sequence[str] = (
         "_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0))
     )
     cold = runs.select(*keys, "value", F.lit(0).cast("long").alias("_salt"), "rank")
-    return rows.join(cold, [*keys, "value", "_salt"], "left").select(
+    by = [*keys, "value", "_salt"]
+    if parts:
+        rows, cold = rows.repartition(parts, *by), cold.repartition(parts, *by)
+    return rows.join(cold, by, "left").select(
         *long.columns, F.coalesce("_hot", "rank").alias("rank")
     )
 
