@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import BROADCAST_ROWS, materialized, small_side
+from .ordering import BROADCAST_ROWS, materialized
+from .packed import packed, pieces
 from .ranks import quantiles_of_runs, value_runs
 
 LOG_2PI = math.log(2 * math.pi)
@@ -138,35 +141,44 @@ def fit_student_t(long: DataFrame, rounds: int = 12) -> DataFrame:
     def with_grid(base: DataFrame, nus: Column) -> DataFrame:
         return base.withColumn("nu", F.explode(nus)).select("series", "n", "nu", "mu", "s2")
 
-    def joined(params: DataFrame) -> DataFrame:
-        return long.select("series", "value").join(hint(
-            params.groupBy("series").agg(F.collect_list(F.struct("nu", "mu", "s2")).alias("_p"))
-        ), "series").select("series", "value", F.explode("_p").alias("p")).select("series", "value", "p.*")
+    values = packed(long)
 
-    v, nu, mu, s2 = F.col("value"), F.col("nu"), F.col("mu"), F.col("s2")
-    d2 = (v - mu) * (v - mu)
+    def summed(params: DataFrame, sums: Callable[[np.ndarray, np.ndarray, float, float], tuple], names: Sequence[str]) -> DataFrame:
+        """Per series and degrees of freedom: the sums over all rows, and the parameters that they were taken at."""
+        own = params.groupBy("series").agg(F.collect_list(F.struct("nu", "mu", "s2", "n")).alias("_p"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                series, given, out = batch.column("series"), batch.column("_p"), []
+                for i, x, k in pieces(batch):
+                    for p in given[i].as_py():
+                        d = x - p["mu"]
+                        out.append((series[i].as_py(), p["nu"], p["n"], p["mu"], p["s2"], *map(float, sums(d * d, d, k, p["nu"], p["s2"]))))
+                types = (pa.string(), pa.float64(), pa.int64(), *[pa.float64()] * (2 + len(names)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(types), types)],
+                    names=["series", "nu", "n", "mu", "s2", *names])
+
+        schema = "series string, nu double, n long, mu double, s2 double, " + ", ".join(f"{c} double" for c in names)
+        return values.join(hint(own), "series").mapInArrow(run, schema).groupBy("series", "nu").agg(
+            *[F.max(c).alias(c) for c in ("n", "mu", "s2")], *[F.sum(c).alias(c) for c in names])
+
+    # Moments around the previous location keep the sums well conditioned.
+    def weighted(d2, d, k, nu, s2):
+        w = k * (nu + 1.0) / (nu + d2 / s2)
+        return w.sum(), w @ d, w @ d2
+
+    def body(d2, d, k, nu, s2):
+        return (k @ (-(nu + 1.0) / 2.0 * np.log1p(d2 / (s2 * nu)) - math.log(s2) / 2.0),)
 
-    # Moments around the previous location keep the sums well conditioned. Built once, used each round.
-    w = (nu + 1.0) / (nu + d2 / s2)
-    sums = [
-        F.count(F.lit(1)).alias("n"), F.sum(w).alias("_w"), F.sum(w * (v - mu)).alias("_wx"),
-        F.sum(w * d2).alias("_wxx"), F.max(mu).alias("_mu"),
-    ]
     move = F.col("_wx") / F.col("_w")
-    updated = [
-        (F.col("_mu") + move).alias("mu"),
-        ((F.col("_wxx") - F.col("_w") * move * move) / F.col("n")).alias("s2"),
-    ]
+    updated = [(F.col("mu") + move).alias("mu"), ((F.col("_wxx") - F.col("_w") * move * move) / F.col("n")).alias("s2")]
 
     def step(params: DataFrame) -> DataFrame:
-        return joined(params).groupBy("series", "nu").agg(*sums).select("series", "n", "nu", *updated)
+        return summed(params, weighted, ("_w", "_wx", "_wxx")).select("series", "n", "nu", *updated)
 
     def likelihood(params: DataFrame) -> DataFrame:
-        body = -(nu + 1.0) / 2.0 * F.log1p(d2 / (s2 * nu)) - F.log(s2) / 2.0
-        agg = joined(params).groupBy("series", "nu").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(body).alias("_b"), F.max(mu).alias("mu"), F.max(s2).alias("s2")
-        )
-        return agg.withColumn("loglik", F.col("_b") + F.col("n") * _t_constant(nu))
+        return summed(params, body, ("_b",)).withColumn("loglik", F.col("_b") + F.col("n") * _t_constant(F.col("nu")))
 
     def best(scored: DataFrame) -> DataFrame:
         pick = F.max_by(F.struct("n", "nu", "mu", "s2", "loglik"), "loglik").alias("b")
@@ -191,6 +203,33 @@ def _slices(count: int, start: int) -> list[float]:
     return [even, [p * p for p in even], [1 - (1 - p) ** 2 for p in even]][start]
 
 
+_SUMS_OF_PIECE = ("series string, n long, _s2 double, components int, start int, m array<double>, loglik double, "
+                  "_r array<double>, _d array<double>, _q array<double>")
+
+
+def _responsibilities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per packed row and mixture: the likelihood, and per component the sums of the rows' shares, times deviation and its square."""
+    types = (pa.string(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.float64(), *[pa.list_(pa.float64())] * 3)
+    for batch in batches:
+        series, given, out = batch.column("series"), batch.column("_p"), []
+        for i, x, k in pieces(batch):
+            for p in given[i].as_py():
+                w, m, v = (np.array(p[c])[:, None] for c in "wmv")
+                d = x - m
+                logs = np.log(np.maximum(w, 1e-300)) - 0.5 * (LOG_2PI + np.log(v) + d * d / v)
+                top = logs.max(axis=0)
+                e = np.exp(logs - top)
+                total = e.sum(axis=0)
+                r = e * (k / total)
+                rd = r * d
+                out.append((
+                    series[i].as_py(), p["n"], p["_s2"], p["components"], p["start"], p["m"], float(k @ (top + np.log(total))),
+                    r.sum(axis=1).tolist(), rd.sum(axis=1).tolist(), np.einsum("ij,ij->i", rd, d).tolist()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(types), types)],
+            names=["series", "n", "_s2", "components", "start", "m", "loglik", "_r", "_d", "_q"])
+
+
 def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96, tol: float = 1e-3) -> DataFrame:
     """Gaussian mixtures by EM; all series, component counts and starts share each round's aggregate.
 
@@ -222,25 +261,12 @@ def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96,
     params = materialized(params)
     hint = _hint(params)
 
-    # The expressions are built once; a round only applies them.
-    x, top = F.col("value"), F.col("_top")
     model = ["series", "n", "_s2", "components", "start"]
-    logs = F.transform(
-        F.arrays_zip("w", "m", "v"),
-        lambda t: F.log(F.greatest(t["w"], F.lit(1e-300)))
-        - 0.5 * (LOG_2PI + F.log(t["v"]) + (x - t["m"]) * (x - t["m"]) / t["v"]),
-    ).alias("_l")
-    peak = F.array_max("_l").alias("_top")
-    row_ll = (top + F.log(F.aggregate("_l", F.lit(0.0), lambda s, a: s + F.exp(a - top)))).alias("_ll")
-    shares = F.transform("_l", lambda a: F.exp(a - F.col("_ll"))).alias("_r")
+    most = max(components)
     # One aggregate a round: a fixed, small number of sums per component.
-    sums = [F.sum("_ll").alias("loglik")]
-    for k in range(max(components)):
-        r, d = F.get("_r", k), x - F.get("m", k)
-        sums += [
-            F.sum(r).alias(f"_r{k}"), F.sum(r * d).alias(f"_d{k}"), F.sum(r * d * d).alias(f"_q{k}"),
-            F.max(F.get("m", k)).alias(f"_m{k}"),
-        ]
+    sums = [F.sum("loglik").alias("loglik")]
+    for k in range(most):
+        sums += [*[F.sum(F.get(c, k)).alias(f"{c}{k}") for c in ("_r", "_d", "_q")], F.max(F.get("m", k)).alias(f"_m{k}")]
 
     def each(build) -> Column:
         return F.array_compact(F.array(*[
@@ -255,16 +281,12 @@ def fit_gmm(long: DataFrame, components: Sequence[int] = (3,), rounds: int = 96,
         each(lambda r, d, q, m: m + d / r).alias("m"),
         each(lambda r, d, q, m: F.when(r.isNotNull(), F.greatest(q / r - d / r * d / r, floor))).alias("v"),
     ]
-    values = long.select("series", "value")
+    values = packed(long)
 
     def step(p: DataFrame) -> DataFrame:
-        rows = values.join(hint(p.drop("loglik")), "series")
-        return (
-            rows.select(*model, "value", "m", logs).select("*", peak).select("*", row_ll)
-            .select(*model, "value", "m", "_ll", shares)
-            .groupBy(*model).agg(*sums)
-            .select(*model, *updated, "loglik")
-        )
+        own = p.groupBy("series").agg(F.collect_list(F.struct("n", "_s2", "components", "start", "w", "m", "v")).alias("_p"))
+        return values.join(hint(own), "series").mapInArrow(_responsibilities, _SUMS_OF_PIECE).groupBy(*model).agg(*sums).select(
+            *model, *updated, "loglik")
 
     final = materialized(_iterate(params, step, rounds, every=5, tol=tol))
     # A round reports the likelihood of the parameters that it was given; one more says that of the last ones.
