@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidebook.llm import substring_dedup
+from tidebook.llm import near_dedup, substring_dedup
 from tidebook.llm.graph import components
 from tidebook.llm.near_dedup import drop_near_duplicates, near_duplicates
 from tidebook.llm.substring_dedup import remove_repeats
@@ -83,6 +83,30 @@ def test_near_duplicates_equal_brute_force(spark):
     assert kept == {i for i in texts if want[i] == i}
 
 
+def test_crowds_are_counted_once_per_document(spark, monkeypatch):
+    """What is counted for the bounds of a crowd with many leads stays below the documents' own sets."""
+    rows, write = [], near_dedup.saved
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "outside":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "saved", counted)
+    rng = random.Random(6)
+    texts = {}
+    for i in range(300):
+        own = [f"b{j}" for j in range(120)]
+        for _ in range(rng.randrange(0, 14)):
+            own[rng.randrange(120)] = f"c{rng.randrange(10**6)}"
+        texts[i * 3] = " ".join(own)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want, sets = brute_components(texts)
+    assert {r.doc_id: r.component_id for r in near_duplicates(df).collect()} == want
+    assert 0 < sum(rows) <= sum(map(len, sets.values()))
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     got = near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count()

@@ -13,10 +13,12 @@ with probability 3.5e-5, at 0.8 with 6e-7.
 4. Each table's members are linked with its least member first (never all pairs); the pairs are confirmed
    on full sets, and confirmed links are contracted to components.
 5. Members of one table that are still in different components are compared as well, and the components are
-   contracted again. Left out are pairs already refused, and those that cannot reach the threshold: with the table's
-   least member L (and with a partner from the middle of L's crowd), two sets share at most
-   ``min(|x & L|, |y & L|)`` plus those elements outside L that several of L's partners have. That refuses whole crowds of
-   loose copies around one text, one row each, before pairs are made. So every pair of different sets that meets in a table is either confirmed or refused on full sets, or joined through others.
+   contracted again. Left out are pairs already refused, and those that cannot reach the threshold: every document of a
+   crowd is compared with one home H, a text from the middle of the crowd, and two sets of one home share at most
+   ``min(|x & H|, |y & H|)`` elements inside H (fewer, where they lack different ones), plus those outside H that another
+   document of H has. Where a whole table has one home, that refuses loose copies one row each, before pairs are made.
+   So every pair of different sets that meets in a table is either confirmed or refused on full sets, or joined through
+   others. Each document has one home at most, so what is counted for the bounds is never more than its own set.
 
 Defined results: texts without words have empty sets and link with nothing. A null ``doc_id`` keeps its
 row, with null ``component_id`` and ``kept`` false. Rows with equal ``doc_id`` count as linked.
@@ -35,9 +37,9 @@ from .graph import components
 from .words import Hasher, gram_hashes, mix, saved, slices, text_bytes, tidy, word_spans
 
 SHINGLE, PERCENT = 5, 75
-#: From so many partners on, a least member's pairs also get the figures that bound what partners share.
+#: A least member of more partners than this is the lead of a crowd, unless all are linked with it.
 CROWD = 16
-#: Words of 64 bits that say what a document lacks of the middle of its crowd.
+#: Words of 64 bits that say what a document lacks of its home.
 MASKS = 4
 MASK_NAMES = [f"mask{w}" for w in range(MASKS)]
 
@@ -115,34 +117,58 @@ def _full_sets(shingle: int):
     return tidy(run)
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int, crowd: int = 0) -> DataFrame:
-    """``a, b, shared, linked`` of all pairs, by their full sets. With ``crowd``, pairs whose ``a`` has more partners and
-    some unlinked one also get ``common``: how many elements of b outside a another partner of a has, too."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b, shared, linked`` of all pairs, by their full sets."""
     left, right = sets.select("id", "grams").toDF("a", "_ga"), sets.select("id", "grams").toDF("b", "_gb")
     shared = F.size(F.array_intersect("_ga", "_gb"))
     union = F.size("_ga") + F.size("_gb") - shared
-    tested = saved(
+    return saved(
         pairs.join(left, "a").join(right, "b").select("a", "b", shared.alias("shared"), (100 * shared >= percent * union).alias("linked")),
         "compared",
     )
-    if not crowd:
-        return tested
-    busy = tested.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"))
-    crowded = tested.join(busy.filter(F.col("n") > crowd).filter(~F.col("all_linked")).select("a"), "a").select("a", "b")
-    outside = (
-        crowded.join(left, "a").join(right, "b")
-        .select("a", "b", F.explode(F.array_except("_gb", "_ga")).alias("gram"))
-        .select("a", "b", F.xxhash64("a", "gram").alias("gram"))  # equal hashes can only loosen the bound
+
+
+def _homes(tested: DataFrame) -> DataFrame:
+    """``id, home``, one row for each document of a crowd. A lead's middle is the partner that shares most with it. A lead
+    follows the lead of most partners among itself and those that it is a partner of, and a document the best of
+    its leads, so a crowd has few homes."""
+    leads = saved(
+        tested.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"),
+                                F.min(F.struct((-F.col("shared")).alias("less"), "b")).alias("m"))
+        .filter(F.col("n") > CROWD).filter(~F.col("all_linked"))
+        .select("a", F.struct("n", "a", F.col("m.b").alias("home")).alias("lead")),
+        "leads",
+    )
+    above = tested.select("a", "b").join(leads.select(F.col("a").alias("b")), "b", "left_semi").join(leads, "a")
+    follow = (
+        leads.unionByName(above.select(F.col("b").alias("a"), "lead")).groupBy("a").agg(F.max("lead").alias("lead"))
+    )
+    follow = saved(follow, "follow")
+    own = follow.withColumnRenamed("a", "id").unionByName(tested.join(follow, "a").select(F.col("b").alias("id"), "lead"))
+    return own.groupBy("id").agg(F.max("lead").alias("lead")).select("id", F.col("lead.home").alias("home"))
+
+
+def _at_home(tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of each document with a home: ``shared`` elements and ``linked`` with it, ``common`` elements outside it that another
+    document of this home has, and which of MASKS * 64 hashed places of the home's elements it lacks something at."""
+    own, home = sets.select("id", F.col("grams").alias("_g")), sets.select(F.col("id").alias("home"), F.col("grams").alias("_gh"))
+    gone = F.array_except("_gh", "_g")
+    shared = F.col("home_n") - F.size("_gone")
+    met = saved(
+        _homes(tested).join(own, "id").join(home, "home")
+        .select("id", "home", F.size("_g").alias("n"), F.size("_gh").alias("home_n"), gone.alias("_gone"), F.array_except("_g", "_gh").alias("outside"))
+        .select("id", "home", "home_n", shared.alias("shared"), (100 * shared >= percent * (F.col("n") + F.col("home_n") - shared)).alias("linked"),
+                *[_mask(F.col("_gone"), w).alias(m) for w, m in enumerate(MASK_NAMES)], "outside"),
+        "at-home",
+    )
+    outside = saved(
+        met.select("id", "home", F.explode("outside").alias("gram"))
+        .select("id", F.xxhash64("home", "gram").alias("gram")),  # equal hashes can only loosen the bound
+        "outside",
     )
-    outside = saved(outside, "outside")
-    twice = outside.groupBy("gram").agg(F.min("b").alias("b1"), F.max("b").alias("b2")).filter("b1 < b2").select("gram")
-    common = outside.join(twice, "gram").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
-    # Which of MASKS * 64 hashed places of a's elements b lacks something at.
-    lacks = crowded.join(left, "a").join(right, "b").select(
-        "a", "b", F.size("_ga").alias("size_a"), F.array_except("_ga", "_gb").alias("_gone")
-    ).select("a", "b", "size_a", *[_mask(F.col("_gone"), w).alias(f"mask{w}") for w in range(MASKS)])
-    marked = lacks.join(common, ["a", "b"], "left").withColumn("common", F.coalesce("common", F.lit(0)))
-    return saved(tested.join(marked, ["a", "b"], "left"), "tested")
+    twice = outside.groupBy("gram").agg(F.min("id").alias("id1"), F.max("id").alias("id2")).filter("id1 < id2").select("gram")
+    common = outside.join(twice, "gram").groupBy("id").agg(F.count(F.lit(1)).alias("common"))
+    return saved(met.drop("outside").join(common, "id", "left").withColumn("common", F.coalesce("common", F.lit(0))), "homes")
 
 
 def _mask(grams: Column, word: int) -> Column:
@@ -206,59 +232,36 @@ def near_duplicates(
     sets = saved(
         texts.mapInArrow(_full_sets(shingle), "id long, grams array<long>").dropDuplicates(["id"])
         .withColumn("n", F.size("grams")), "sets")
-    tested = _compared(stars, sets, percent, CROWD)
-
-    # The partner with fewest elements of its own stands in the middle of a crowd: all are compared with it, too.
-    own = F.col("n") - F.col("shared") - F.col("common")
-    middle = (
-        tested.filter("common is not null").join(sets.select(F.col("id").alias("b"), "n"), "b")
-        .groupBy("a").agg(F.min(F.struct(own.alias("own"), (-F.col("common")).alias("c"), F.col("b").alias("mid"))).alias("m"))
-        .select(F.col("a").alias("lead"), "m.mid")
-    )
-    crowds = saved(tested.filter("common is not null").select(F.col("a").alias("lead"), "b", "shared", "common").join(middle, "lead"), "crowds")
-    second = _compared(crowds.filter("b <> mid").select(F.col("mid").alias("a"), "b").distinct(), sets, percent, CROWD)
-    links = tested.unionByName(second).filter("linked").select("a", "b")
+    tested = _compared(stars, sets, percent)
+    homes = _at_home(tested, sets, percent)
+    links = tested.filter("linked").select("a", "b").unionByName(
+        homes.filter("linked and id <> home").select(F.col("home").alias("a"), F.col("id").alias("b")))
     found = saved(components(links), "components")
 
     # Tables whose members (their least one, which all were compared with, left aside) are not all in one component yet.
-    members = entries.select("key", "id", "n", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n")).filter("id <> lead")
-    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "n", "lead", "lead_n", F.coalesce("component", "id").alias("component"))
-    split = (
-        placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"),
-                                  F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-        .filter("c1 <> c2").select("key", "least_n", "most_n")
+    members = entries.filter(F.col("id") != F.col("lead.id")).select("key", "id", "n")
+    placed = (
+        members.join(found.withColumnRenamed("node", "id"), "id", "left")
+        .join(homes.select("id", "home", "home_n", "shared", "common", *MASK_NAMES), "id", "left")
+        .withColumn("component", F.coalesce("component", "id"))
     )
-    bounds = (
-        crowds.join(second.filter("common is not null").select(F.col("a").alias("mid"), "b", F.col("shared").alias("shared2"),
-                                                               F.col("common").alias("common2")), ["mid", "b"], "left")
-        .select("lead", F.col("b").alias("id"), "shared", "common", "shared2", "common2")
+    split = (
+        placed.groupBy("key").agg(
+            F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("n").alias("least_n"),
+            ((F.min("home") == F.max("home")) & (F.count("home") == F.count(F.lit(1)))).alias("one_home"))
+        .filter("c1 <> c2").select("key", "least_n", "one_home")
     )
-    rest = placed.join(split, "key").join(bounds, ["lead", "id"], "left")
-    # Two sets share at most the lesser share of a third set, and elements outside it that other partners have.
+    # Two sets share at most what either shares with a third set, and elements outside it that others have, too.
     partner = F.greatest(F.col("least_n"), F.ceil(F.col("n") * percent / 100))
-    reach = F.least(F.col("shared") + F.col("common"), F.col("shared2") + F.col("common2"))
-    # Only where sizes let every member be a partner of the lead.
-    complete = (100 * F.col("least_n") >= percent * F.col("lead_n")) & (percent * F.col("most_n") <= 100 * F.col("lead_n"))
-    hopeless = complete & ((100 + percent) * reach < percent * (F.col("n") + partner))
-    # Apart from its tables, every document is bound by the best known middle that it was compared with.
-    second = second.filter("common is not null")
-    fame = second.groupBy("a").agg(F.count(F.lit(1)).alias("fame"))
-    homes = (
-        second.join(fame, "a").groupBy("b").agg(F.max(F.struct("fame", "a", "size_a", "common", *MASK_NAMES)).alias("h"))
-        .select(F.col("b").alias("id"), F.col("h.a").alias("home"), F.col("h.size_a").alias("home_n"), F.col("h.common").alias("common3"),
-                *[F.col(f"h.mask{w}").alias(f"mask{w}") for w in range(MASKS)])
-    )
-    rest = rest.filter(~F.coalesce(hopeless, F.lit(False))).join(homes, "id", "left")
-    rest = saved(rest.select("key", "id", "n", "component", "shared", "common", "shared2", "common2", "home", "home_n", "common3", *MASK_NAMES), "rest")
-    names = ("id", "n", "c", "s", "o", "t", "p", "h", "u", "q", *MASK_NAMES)
+    reach = F.col("shared") + F.col("common")
+    hopeless = F.col("one_home") & ((100 + percent) * reach < percent * (F.col("n") + partner))
+    rest = placed.join(split, "key").filter(~F.coalesce(hopeless, F.lit(False)))
+    rest = saved(rest.select("key", "id", "n", "component", "home", "home_n", "shared", "common", *MASK_NAMES), "rest")
+    names = ("id", "n", "c", "h", "u", "s", "q", *MASK_NAMES)
     one, two = (rest.toDF("key", *[f"{x}{side}" for x in names]) for side in "ab")
     # What either lacks of its home is not shared; hashed places can only hide that, so the bound is safe.
     lost = sum(F.bit_count(F.col(f"{m}a").bitwiseOR(F.col(f"{m}b"))) for m in MASK_NAMES)
-    at_home = F.when(F.col("ha") == F.col("hb"), F.col("ua") - lost + F.least("qa", "qb"))
-    most = F.least(
-        F.when(F.col("sa").isNotNull() & F.col("sb").isNotNull(), F.least("sa", "sb") + F.least("oa", "ob")),
-        F.when(F.col("ta").isNotNull() & F.col("tb").isNotNull(), F.least("ta", "tb") + F.least("pa", "pb")), at_home)
+    most = F.when(F.col("ha") == F.col("hb"), F.least(F.col("ua") - lost, "sa", "sb") + F.least("qa", "qb"))
     short = (100 + percent) * most < percent * (F.col("na") + F.col("nb"))
     more = (
         one.join(two, "key").filter("ida < idb and ca <> cb")
