@@ -40,7 +40,7 @@ SHINGLE, PERCENT = 5, 75
 #: A least member of more partners than this is the lead of a crowd, unless all are linked with it.
 CROWD = 16
 #: Words of 64 bits that say what a document lacks of its home.
-MASKS = 4
+MASKS = 16
 MASK_NAMES = [f"mask{w}" for w in range(MASKS)]
 
 
@@ -129,23 +129,21 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _homes(tested: DataFrame) -> DataFrame:
-    """``id, home``, one row for each document of a crowd. A lead's middle is the partner that shares most with it. A lead
-    follows the lead of most partners among itself and those that it is a partner of, and a document the best of
-    its leads, so a crowd has few homes."""
+    """``id, home``, one row for each document of a crowd. A lead's home is the partner that shares most with it; a
+    document gets that of the lead of most partners among its own leads, its partners' and its leads' ones, so a
+    crowd has few homes."""
     leads = saved(
         tested.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("linked").alias("all_linked"),
                                 F.min(F.struct((-F.col("shared")).alias("less"), "b")).alias("m"))
         .filter(F.col("n") > CROWD).filter(~F.col("all_linked"))
-        .select("a", F.struct("n", "a", F.col("m.b").alias("home")).alias("lead")),
+        .select(F.col("a").alias("id"), F.struct("n", "a", F.col("m.b").alias("home")).alias("lead")),
         "leads",
     )
-    above = tested.select("a", "b").join(leads.select(F.col("a").alias("b")), "b", "left_semi").join(leads, "a")
-    follow = (
-        leads.unionByName(above.select(F.col("b").alias("a"), "lead")).groupBy("a").agg(F.max("lead").alias("lead"))
-    )
-    follow = saved(follow, "follow")
-    own = follow.withColumnRenamed("a", "id").unionByName(tested.join(follow, "a").select(F.col("b").alias("id"), "lead"))
-    return own.groupBy("id").agg(F.max("lead").alias("lead")).select("id", F.col("lead.home").alias("home"))
+    best, pairs = leads, tested.select("a", "b")
+    for known, other in (("a", "b"), ("b", "a"), ("a", "b")):
+        met = pairs.join(best.withColumnRenamed("id", known), known).select(F.col(other).alias("id"), "lead")
+        best = saved(best.unionByName(met).groupBy("id").agg(F.max("lead").alias("lead")), "best")
+    return best.select("id", F.col("lead.home").alias("home"))
 
 
 def _at_home(tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
